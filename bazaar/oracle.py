@@ -128,3 +128,63 @@ def gold_sql(name: str) -> str:
     k = ", ".join(keys)
     return (f"SELECT {k}, {', '.join(aggs)}, 'gold' AS gold_layer "
             f"FROM ({silver_sql(src)}) s GROUP BY {k}")
+
+
+def share_sql(c: str, alias: str = "share_pct") -> str:
+    return (f"CAST(round(CAST(CAST({c} AS DECIMAL(38,0)) * 100 / sum({c}) OVER () AS DECIMAL(28,8)), 2)"
+            f" AS DOUBLE) AS {alias}")
+
+
+SALES_KPI_SQL = (
+    "SELECT date_trunc('day', event_timestamp) AS window_start,"
+    " date_trunc('day', event_timestamp) + INTERVAL 1 DAY AS window_end,"
+    f" {r2sum('item_total')} AS total_revenue, count(DISTINCT order_id) AS total_orders,"
+    f" {r2avg('item_total')} AS avg_order_value"
+    f" FROM ({silver_sql('order_items')}) s GROUP BY 1, 2")
+
+CUSTOMER_METRICS_SQL = (
+    "SELECT customer_id, count(*) AS total_orders,"
+    " coalesce(round(sum(paid), 2), 0) AS total_spent,"
+    " CAST(coalesce(sum(n_payments), 0) AS BIGINT) AS total_payments,"
+    " min(order_date) AS first_order_date, max(order_date) AS last_order_date"
+    f" FROM (SELECT order_id, min(customer_id) AS customer_id, min(order_date) AS order_date"
+    f"       FROM ({silver_sql('orders')}) so GROUP BY order_id) o"
+    f" LEFT JOIN (SELECT order_id, sum(payment_value) AS paid, count(*) AS n_payments"
+    f"       FROM ({silver_sql('payments')}) sp GROUP BY order_id) p USING (order_id)"
+    " GROUP BY customer_id")
+
+
+def serving_sql() -> dict[str, str]:
+    inv_alert = (f"SELECT event_date, inventory_status, total_products, avg_stock, units_sold"
+                 f" FROM ({gold_sql('inventory_kpi')}) g"
+                 " WHERE inventory_status IN ('STOCKOUT', 'LOW_STOCK', 'OVERSTOCK')")
+    return {
+        "serving_sales_kpi": SALES_KPI_SQL,
+        "serving_headline": (
+            "SELECT coalesce(round(sum(total_revenue), 2), 0) AS total_revenue,"
+            " CAST(coalesce(sum(total_orders), 0) AS BIGINT) AS total_orders,"
+            f" coalesce({r2avg('avg_order_value')}, 0) AS avg_order_value FROM ({SALES_KPI_SQL}) k"),
+        "serving_sales_window": f"SELECT window_start, total_revenue FROM ({SALES_KPI_SQL}) k",
+        "serving_sentiment": (
+            f"SELECT review_sentiment, total_reviews, {share_sql('total_reviews')} FROM ("
+            " SELECT review_sentiment, CAST(sum(total_reviews) AS BIGINT) AS total_reviews"
+            f" FROM ({gold_sql('review_analytics')}) g GROUP BY review_sentiment) x"),
+        "serving_inventory_alert": inv_alert,
+        "serving_inventory_status": (
+            f"SELECT inventory_status, total_products, {share_sql('total_products')} FROM ("
+            " SELECT inventory_status, CAST(sum(total_products) AS BIGINT) AS total_products"
+            f" FROM ({inv_alert}) a GROUP BY inventory_status) x"),
+        "serving_sources": (
+            f"SELECT traffic_source, total_sessions, {share_sql('total_sessions')} FROM ("
+            " SELECT traffic_source, CAST(sum(total_sessions) AS BIGINT) AS total_sessions"
+            f" FROM ({gold_sql('traffic_kpi')}) g GROUP BY traffic_source) x"),
+        "serving_customer_metrics": CUSTOMER_METRICS_SQL,
+        "serving_top_customers": (
+            f"SELECT * FROM ({CUSTOMER_METRICS_SQL}) c ORDER BY total_orders DESC, customer_id ASC LIMIT 10"),
+        "serving_fraud_alerts": (
+            "SELECT order_id, payment_method, payment_value, installments, payment_category,"
+            f" event_timestamp, event_date FROM ({silver_sql('payments')}) p WHERE fraud_flag = 1"),
+        "serving_delivery": (
+            "SELECT event_date, shipping_status, total_shipments, avg_delivery_days, avg_shipping_fee"
+            f" FROM ({gold_sql('shipping_kpi')}) g"),
+    }

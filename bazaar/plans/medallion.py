@@ -21,3 +21,15 @@ def silver_table(spark: SparkSession, sf_dir: str, name: str, **kw) -> DataFrame
 def gold_table(spark: SparkSession, sf_dir: str, name: str, **kw) -> DataFrame:
     src, build = G.GOLD[name]
     return build(silver_table(spark, sf_dir, src), **kw)
+
+
+# --- serving tables ------------------------------------------------------
+def sales_kpi(spark, sf_dir, window: str = "1 day", **kw) -> DataFrame:
+    from bazaar.operators import serving as S
+    return S.sales_kpi(silver_table(spark, sf_dir, "order_items"), window=window, **kw)
+
+
+def customer_metrics(spark, sf_dir) -> DataFrame:
+    from bazaar.operators import serving as S
+    return S.customer_metrics(silver_table(spark, sf_dir, "orders"),
+                              silver_table(spark, sf_dir, "payments"))

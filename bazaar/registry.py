@@ -30,3 +30,30 @@ for _n in GOLD:
     ORACLE[f"gold_{_n}"] = O.gold_sql(_n)
 
 QUERIES["gold_daily_sales_approx"] = partial(_gold, "daily_sales", distinct="approx")
+
+
+def _serving():
+    from bazaar.operators import serving as S
+
+    g = M.gold_table
+    table = {
+        "serving_sales_kpi": lambda s, d: M.sales_kpi(s, d),
+        "serving_headline": lambda s, d: S.headline(M.sales_kpi(s, d)),
+        "serving_sales_window": lambda s, d: S.sales_window(M.sales_kpi(s, d)),
+        "serving_sentiment": lambda s, d: S.sentiment_distribution(g(s, d, "review_analytics")),
+        "serving_inventory_alert": lambda s, d: S.inventory_alert(g(s, d, "inventory_kpi")),
+        "serving_inventory_status": lambda s, d: S.inventory_status_distribution(
+            S.inventory_alert(g(s, d, "inventory_kpi"))),
+        "serving_sources": lambda s, d: S.sessions_by_source(g(s, d, "traffic_kpi")),
+        "serving_customer_metrics": lambda s, d: M.customer_metrics(s, d),
+        "serving_top_customers": lambda s, d: S.top_customers(M.customer_metrics(s, d)),
+        "serving_fraud_alerts": lambda s, d: S.fraud_alert(M.silver_table(s, d, "payments")),
+        "serving_delivery": lambda s, d: S.delivery_kpi(g(s, d, "shipping_kpi")),
+    }
+    sql = O.serving_sql()
+    for k, fn in table.items():
+        QUERIES[k] = fn
+        ORACLE[k] = sql[k]
+
+
+_serving()
