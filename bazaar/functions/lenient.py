@@ -70,4 +70,4 @@ def normalize_event_date(c, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(c)
     s = c.cast("string")
-    return F.coalesce(*[F.try_to_date(s, F.lit(fmt)) for fmt in DATE_LAYOUTS])
+    return F.coalesce(*[F.try_to_date(s, fmt) for fmt in DATE_LAYOUTS])

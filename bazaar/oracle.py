@@ -188,3 +188,147 @@ def serving_sql() -> dict[str, str]:
             "SELECT event_date, shipping_status, total_shipments, avg_delivery_days, avg_shipping_fee"
             f" FROM ({gold_sql('shipping_kpi')}) g"),
     }
+
+
+# --- daily roll-ups, feature table, time-series features --------------------
+def avg6(x: str) -> str:
+    return f"CAST(round(CAST(avg(CAST({x} AS DECIMAL(18,2))) AS DECIMAL(28,8)), 6) AS DOUBLE)"
+
+
+def i64sum(x: str) -> str:
+    return f"CAST(sum({x}) AS BIGINT)"
+
+
+ROLLUPS = {
+    "traffic_daily": ("traffic_kpi", [
+        f"{i64sum('total_sessions')} AS total_sessions", f"{i64sum('unique_visitors')} AS unique_visitors",
+        f"{i64sum('page_views')} AS page_views", f"{avg6('avg_pages_per_session')} AS avg_pages_per_session"]),
+    "payment_daily": ("payment_analytics", [
+        f"{i64sum('total_transactions')} AS total_transactions", "round(sum(payment_total), 2) AS payment_total",
+        f"{avg6('avg_payment')} AS avg_payment", f"{i64sum('fraud_transactions')} AS fraud_transactions"]),
+    "inventory_daily": ("inventory_kpi", [
+        f"{i64sum('units_sold')} AS inv_units_sold", f"{avg6('avg_stock')} AS avg_stock"]),
+    "returns_daily": ("returns_kpi", [
+        f"{i64sum('total_returns')} AS total_returns", f"{i64sum('returned_orders')} AS returned_orders"]),
+    "reviews_daily": ("review_analytics", [
+        f"{i64sum('total_reviews')} AS total_reviews", f"{avg6('avg_rating')} AS avg_rating"]),
+}
+
+
+def rollup_sql(name: str) -> str:
+    src, aggs = ROLLUPS[name]
+    return f"SELECT event_date, {', '.join(aggs)} FROM ({gold_sql(src)}) g GROUP BY event_date"
+
+
+_FT_NUMERIC = {
+    "ds": ["gross_revenue", "shipping_revenue", "total_revenue", "total_orders", "total_products",
+           "avg_order_value"],
+    "t": ["total_sessions", "unique_visitors", "page_views", "avg_pages_per_session"],
+    "p": ["total_transactions", "payment_total", "avg_payment", "fraud_transactions"],
+    "i": ["inv_units_sold", "avg_stock"],
+    "r": ["total_returns", "returned_orders"],
+    "v": ["total_reviews", "avg_rating"],
+}
+
+
+def feature_table_sql() -> str:
+    ctes = {
+        "ds": (f"SELECT * FROM ({gold_sql('daily_sales')}) g WHERE event_date IS NOT NULL"
+               " AND event_date >= DATE '2001-01-01' AND event_date < DATE '2030-01-01'"),
+        "t": rollup_sql("traffic_daily"), "p": rollup_sql("payment_daily"),
+        "i": rollup_sql("inventory_daily"), "r": rollup_sql("returns_daily"),
+        "v": rollup_sql("reviews_daily"),
+    }
+    with_ = ", ".join(f"{k} AS ({v})" for k, v in ctes.items())
+    cols = ["spine.event_date", "ds.gold_layer"]
+    for alias, names in _FT_NUMERIC.items():
+        cols += [f"coalesce({alias}.{c}, 0) AS {c}" for c in names]
+    joins = " ".join(f"LEFT JOIN {a} ON spine.event_date = {a}.event_date" for a in _FT_NUMERIC)
+    return (f"WITH {with_}, spine AS (SELECT DISTINCT event_date FROM ds) "
+            f"SELECT {', '.join(cols)} FROM spine {joins}")
+
+
+def _ft(body: str) -> str:
+    return f"WITH ft AS ({feature_table_sql()}) {body}"
+
+
+CALENDAR_SQL = _ft(
+    "SELECT event_date, CAST(year(event_date) AS INTEGER) AS year, CAST(month(event_date) AS INTEGER) AS month,"
+    " CAST(day(event_date) AS INTEGER) AS day, CAST(isodow(event_date) - 1 AS INTEGER) AS day_of_week,"
+    " CAST(dayofyear(event_date) AS INTEGER) AS day_of_year, CAST(weekofyear(event_date) AS INTEGER) AS week_of_year,"
+    " CAST(isodow(event_date) >= 6 AS INTEGER) AS is_weekend, CAST(quarter(event_date) AS INTEGER) AS quarter,"
+    " round(sin(2 * pi() * month(event_date) / 12), 6) AS month_sin,"
+    " round(cos(2 * pi() * month(event_date) / 12), 6) AS month_cos,"
+    " round(sin(2 * pi() * (isodow(event_date) - 1) / 7), 6) AS dow_sin,"
+    " round(cos(2 * pi() * (isodow(event_date) - 1) / 7), 6) AS dow_cos FROM ft")
+
+LAG_SQL = _ft(
+    "SELECT event_date, total_revenue, "
+    + ", ".join(f"lag(total_revenue, {k}) OVER w AS revenue_lag_{k}" for k in (1, 2, 3, 7, 14, 28))
+    + ", " + ", ".join(f"lag(total_sessions, {k}) OVER w AS sessions_lag_{k}, "
+                       f"lag(unique_visitors, {k}) OVER w AS unique_visitors_lag_{k}" for k in (1, 7))
+    + " FROM ft WINDOW w AS (ORDER BY event_date)")
+
+
+def _roll(target: str, n: int, prefix: str, part: str = "") -> list[str]:
+    frame = f"OVER ({part}ORDER BY event_date ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+    full = f"count({target}) {frame} = {n}"
+    return [f"CASE WHEN {full} THEN round({fn}({target}) {frame}, 4) END AS {prefix}_roll_{nm}_{n}"
+            for fn, nm in (("avg", "mean"), ("stddev_samp", "std"), ("max", "max"))]
+
+
+ROLLING_SQL = _ft("SELECT event_date, "
+                  + ", ".join(c for n in (7, 14, 28) for c in _roll("total_revenue", n, "revenue"))
+                  + " FROM ft")
+
+RATIO_SQL = _ft(
+    "SELECT event_date,"
+    " round(CASE WHEN total_sessions > 0 THEN total_orders / total_sessions ELSE 0 END, 6) AS conversion_rate,"
+    " round(CASE WHEN total_orders > 0 THEN returned_orders / total_orders ELSE 0 END, 6) AS return_rate,"
+    " round(CASE WHEN total_orders > 0 THEN total_revenue / total_orders ELSE 0 END, 6) AS avg_revenue_per_order,"
+    " round(CASE WHEN unique_visitors > 0 THEN total_revenue / unique_visitors ELSE 0 END, 6)"
+    " AS revenue_per_visitor FROM ft")
+
+# Rows survive the NULL drop once every lag/rolling window is complete: the
+# 28 leading days.  Then position and size decide the split.
+SPLIT_SQL = _ft(
+    "SELECT event_date, CAST(rn AS INTEGER) AS rn, n_rows,"
+    " CASE WHEN rn <= floor(n_rows * 0.7) THEN 'train' WHEN rn <= floor(n_rows * 0.85) THEN 'val'"
+    " ELSE 'test' END AS split FROM ("
+    " SELECT event_date, row_number() OVER (ORDER BY event_date) AS rn, count(*) OVER () AS n_rows FROM ("
+    "  SELECT event_date FROM (SELECT event_date, row_number() OVER (ORDER BY event_date) AS k FROM ft) a"
+    "  WHERE k > 28) b) c")
+
+SPLIT_SUMMARY_SQL = (f"SELECT split, count(*) AS rows, min(event_date) AS first_date,"
+                     f" max(event_date) AS last_date FROM ({SPLIT_SQL}) s GROUP BY split")
+
+PRODUCT_ROLLING_SQL = (
+    "SELECT event_date, product_id, round(product_revenue, 4) AS product_revenue,"
+    " round(lag(product_revenue, 1) OVER w, 4) AS rev_lag_1, round(lag(product_revenue, 7) OVER w, 4) AS rev_lag_7, "
+    + ", ".join(_roll("product_revenue", 7, "rev", "PARTITION BY product_id "))
+    + f" FROM ({gold_sql('top_products')}) g WINDOW w AS (PARTITION BY product_id ORDER BY event_date)")
+
+DATE_NORMALIZE_SQL = (
+    "SELECT * FROM (SELECT order_id, date_text, CAST(coalesce(try_strptime(date_text, '%Y-%m-%d'),"
+    " try_strptime(date_text, '%Y%m%d'), try_strptime(date_text, '%d/%m/%Y')) AS DATE) AS event_date FROM ("
+    " SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 11 = 0 THEN 'bad'"
+    "  WHEN o_orderkey % 3 = 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d')"
+    "  WHEN o_orderkey % 3 = 1 THEN strftime(CAST(o_orderdate AS DATE), '%Y%m%d')"
+    "  ELSE strftime(CAST(o_orderdate AS DATE), '%d/%m/%Y') END AS date_text FROM orders) o) x"
+    " WHERE event_date IS NOT NULL AND event_date >= DATE '2001-01-01' AND event_date < DATE '2030-01-01'")
+
+
+def features_sql() -> dict[str, str]:
+    out = {f"rollup_{k}": rollup_sql(k) for k in ROLLUPS}
+    out.update({
+        "feature_table": feature_table_sql(),
+        "calendar_features": CALENDAR_SQL,
+        "lag_features": LAG_SQL,
+        "rolling_features": ROLLING_SQL,
+        "ratio_features": RATIO_SQL,
+        "ts_split": SPLIT_SQL,
+        "ts_split_summary": SPLIT_SUMMARY_SQL,
+        "product_rolling_features": PRODUCT_ROLLING_SQL,
+        "date_normalize": DATE_NORMALIZE_SQL,
+    })
+    return out

@@ -57,3 +57,60 @@ def _serving():
 
 
 _serving()
+
+
+def _features():
+    from bazaar.operators import rollups as R
+    from bazaar.operators import timeseries as TS
+    from bazaar.plans import features as FP
+
+    g = M.gold_table
+    roll = {
+        "rollup_traffic_daily": (R.traffic_daily, "traffic_kpi"),
+        "rollup_payment_daily": (R.payment_daily, "payment_analytics"),
+        "rollup_inventory_daily": (R.inventory_daily, "inventory_kpi"),
+        "rollup_returns_daily": (R.returns_daily, "returns_kpi"),
+        "rollup_reviews_daily": (R.reviews_daily, "review_analytics"),
+    }
+    table = {k: (lambda s, d, fn=fn, src=src: fn(R.normalize_event_date(g(s, d, src))))
+             for k, (fn, src) in roll.items()}
+
+    def calendar(s, d):
+        df = TS.cyclical_features(TS.calendar_features(FP.feature_table(s, d)))
+        cyc = ["month_sin", "month_cos", "dow_sin", "dow_cos"]
+        return TS.round_doubles(df.select("event_date", "year", "month", "day", "day_of_week",
+                                          "day_of_year", "week_of_year", "is_weekend", "quarter",
+                                          *cyc), 6, cyc)
+
+    def lags(s, d):
+        df = TS.traffic_lag_features(TS.lag_features(FP.feature_table(s, d), "total_revenue"))
+        keep = ["event_date", "total_revenue"] + [c for c in df.columns if "_lag_" in c]
+        return df.select(*keep)
+
+    def rolling(s, d):
+        df = TS.rolling_features(FP.feature_table(s, d), "total_revenue")
+        return TS.round_doubles(df.select("event_date", *[c for c in df.columns if "_roll_" in c]), 4)
+
+    def ratios(s, d):
+        df = TS.ratio_features(FP.feature_table(s, d))
+        return TS.round_doubles(df.select("event_date", "conversion_rate", "return_rate",
+                                          "avg_revenue_per_order", "revenue_per_visitor"), 6)
+
+    table.update({
+        "feature_table": FP.feature_table,
+        "calendar_features": calendar,
+        "lag_features": lags,
+        "rolling_features": rolling,
+        "ratio_features": ratios,
+        "ts_split": lambda s, d: FP.model_frame(s, d).select("event_date", "rn", "n_rows", "split"),
+        "ts_split_summary": lambda s, d: TS.split_summary(FP.model_frame(s, d)),
+        "product_rolling_features": FP.product_rolling,
+        "date_normalize": FP.date_normalize,
+    })
+    sql = O.features_sql()
+    for k, fn in table.items():
+        QUERIES[k] = fn
+        ORACLE[k] = sql[k]
+
+
+_features()
