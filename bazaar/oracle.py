@@ -332,3 +332,18 @@ def features_sql() -> dict[str, str]:
         "date_normalize": DATE_NORMALIZE_SQL,
     })
     return out
+
+
+def bronze_sql() -> dict[str, str]:
+    out = {f"bronze_roundtrip_{n}": silver_sql(n) for n in ENTITIES}
+    out["bronze_events_parse"] = (
+        "SELECT event_id, CAST(ts AS TIMESTAMP) AS kafka_timestamp, props AS raw_json,"
+        " json_extract_string(props, '$.k') AS k,"
+        " TRY_CAST(regexp_extract(trim(json_extract_string(props, '$.k')), '^([+-]?\\d+)(\\.\\d*)?$', 1)"
+        " AS INTEGER) AS k_int FROM events")
+    out["bronze_rejects"] = (
+        "SELECT l_orderkey * 8 + l_linenumber AS offset,"
+        " CASE WHEN l_orderkey % 13 = 0 THEN concat('{\"order_id\": ', l_orderkey, ', \"price\": ')"
+        " ELSE '{\"unknown\": 1}' END AS raw_json, 'order_items_topic' AS topic"
+        " FROM lineitem WHERE l_orderkey % 13 = 0 OR l_orderkey % 17 = 0")
+    return out

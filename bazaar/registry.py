@@ -114,3 +114,18 @@ def _features():
 
 
 _features()
+
+
+def _bronze():
+    from bazaar.plans import bronze_jobs as BJ
+
+    sql = O.bronze_sql()
+    for n in ENTITIES:
+        QUERIES[f"bronze_roundtrip_{n}"] = partial(lambda name, s, d: BJ.roundtrip_silver(s, d, name), n)
+    QUERIES["bronze_events_parse"] = BJ.events_parse
+    QUERIES["bronze_rejects"] = BJ.rejects_demo
+    for k in sql:
+        ORACLE[k] = sql[k]
+
+
+_bronze()
