@@ -347,3 +347,45 @@ def bronze_sql() -> dict[str, str]:
         " ELSE '{\"unknown\": 1}' END AS raw_json, 'order_items_topic' AS topic"
         " FROM lineitem WHERE l_orderkey % 13 = 0 OR l_orderkey % 17 = 0")
     return out
+
+
+_JOURNEY_STEPS = [
+    ("orders", "ORDER_CREATED", 1, "NULL", "NULL"),
+    ("order_items", "ITEM_ADDED", 2, "CAST(product_id AS VARCHAR)", "item_total"),
+    ("payments", "PAYMENT_COMPLETED", 3, "payment_method", "payment_value"),
+    ("shipments", "SHIPMENT_CREATED", 4, "NULL", "shipping_fee"),
+    ("reviews", "REVIEW_SUBMITTED", 5, "review_id", "NULL"),
+    ("returns", "RETURN_REQUESTED", 6, "return_id", "NULL"),
+]
+_DAY_STEPS = [("inventory", "INVENTORY_UPDATED", 100, "CAST(product_id AS VARCHAR)", "NULL"),
+              ("traffic", "WEB_TRAFFIC", 200, "traffic_source", "NULL")]
+
+
+def _journey_part(src, et, seq, ref, amt, has_order=True):
+    oid = "order_id" if has_order else "CAST(NULL AS BIGINT)"
+    return (f"SELECT {oid} AS order_id, {seq} AS event_sequence, '{et}' AS event_type,"
+            f" event_timestamp AS event_time, event_date, CAST({ref} AS VARCHAR) AS ref_id,"
+            f" CAST({amt} AS DOUBLE) AS amount FROM ({silver_sql(src)}) s")
+
+
+JOURNEY_SQL = " UNION ALL ".join(_journey_part(*s) for s in _JOURNEY_STEPS)
+EVENT_LOG_SQL = JOURNEY_SQL + " UNION ALL " + " UNION ALL ".join(
+    _journey_part(*s, has_order=False) for s in _DAY_STEPS)
+
+
+def journey_sql() -> dict[str, str]:
+    gold_tables = ["daily_sales", "top_products", "seller_performance", "payment_analytics",
+                   "review_analytics", "shipping_kpi", "inventory_kpi", "traffic_kpi", "returns_kpi"]
+    ready = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS rows, max(event_date) AS max_event_date,"
+        f" count(*) >= 1 AS ok FROM ({gold_sql(t)}) g{i}" for i, t in enumerate(gold_tables))
+    return {
+        "order_journey": JOURNEY_SQL,
+        "journey_funnel": (
+            "SELECT event_sequence, event_type, count(DISTINCT order_id) AS orders_reached,"
+            f" count(*) AS events FROM ({JOURNEY_SQL}) j GROUP BY event_sequence, event_type"),
+        "daily_event_log": (
+            "SELECT event_date, event_type, event_sequence, count(*) AS events"
+            f" FROM ({EVENT_LOG_SQL}) l GROUP BY event_date, event_type, event_sequence"),
+        "readiness": ready,
+    }

@@ -33,3 +33,8 @@ def customer_metrics(spark, sf_dir) -> DataFrame:
     from bazaar.operators import serving as S
     return S.customer_metrics(silver_table(spark, sf_dir, "orders"),
                               silver_table(spark, sf_dir, "payments"))
+
+
+def all_silver(spark, sf_dir, names=None) -> dict:
+    from bazaar.specs import ENTITIES
+    return {n: silver_table(spark, sf_dir, n) for n in (names or ENTITIES)}

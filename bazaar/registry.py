@@ -129,3 +129,32 @@ def _bronze():
 
 
 _bronze()
+
+
+def _journey():
+    from bazaar.operators import journey as J
+    from bazaar.operators import quality as Q
+    from bazaar.operators.gold import GOLD as _G
+
+    def journey(s, d):
+        return J.order_journey(M.all_silver(s, d, [st[0] for st in J.STEPS]))
+
+    def log(s, d):
+        sil = M.all_silver(s, d)
+        return J.daily_event_counts(J.event_log(J.order_journey(sil), sil))
+
+    table = {
+        "order_journey": journey,
+        "journey_funnel": lambda s, d: J.journey_funnel(journey(s, d)),
+        "daily_event_log": log,
+        "readiness": lambda s, d: Q.readiness({t: M.gold_table(s, d, t) for t in _G}),
+    }
+    sql = O.journey_sql()
+    for k, fn in table.items():
+        QUERIES[k] = fn
+        ORACLE[k] = sql[k]
+    # seeded pseudo-random order: the hash has no DuckDB twin -> rows-only check
+    QUERIES["replay_log"] = lambda s, d: J.replay_log(journey(s, d), seed=42)
+
+
+_journey()
