@@ -158,3 +158,20 @@ def _journey():
 
 
 _journey()
+
+
+def _streams():
+    from bazaar.plans import stream_runs as SR
+
+    QUERIES["stream_silver_order_items"] = lambda s, d: SR.stream_silver(s, d, "order_items")
+    ORACLE["stream_silver_order_items"] = O.silver_sql("order_items")
+    QUERIES["stream_dedup_watermark"] = lambda s, d: SR.stream_silver(
+        s, d, "order_items", duplicate_every=10, watermark="30 days")
+    ORACLE["stream_dedup_watermark"] = O.silver_sql("order_items")
+    QUERIES["stream_gold_daily_sales"] = lambda s, d: SR.stream_gold_exact(s, d, "daily_sales")
+    ORACLE["stream_gold_daily_sales"] = O.gold_sql("daily_sales")
+    # stateful complete mode with HyperLogLog distinct counts: rows-only check
+    QUERIES["stream_gold_daily_sales_approx"] = lambda s, d: SR.stream_gold_complete(s, d, "daily_sales")
+
+
+_streams()
