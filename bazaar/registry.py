@@ -175,3 +175,32 @@ def _streams():
 
 
 _streams()
+
+
+def _forecast():
+    from bazaar.plans import forecast as FC
+
+    def fit(s, d):
+        return FC.fitted(s, d)
+
+    def preds(s, d):
+        return FC.predictions(fit(s, d))
+
+    def fc30(s, d):
+        f = fit(s, d)
+        return FC.forecast(s, f, f.frame)
+
+    # model outputs: no SQL twin (tree ensembles) -> rows-only checks
+    QUERIES.update({
+        "forecast_metrics": lambda s, d: FC.metrics(preds(s, d)),
+        "forecast_summary": lambda s, d: FC.summary(s, fit(s, d), FC.metrics(preds(s, d))),
+        "forecast_importance": lambda s, d: FC.importance(s, fit(s, d)),
+        "forecast_actual_vs_pred": lambda s, d: preds(s, d).where("split IN ('val', 'test')"),
+        "forecast_residual_hist": lambda s, d: FC.residual_histogram(
+            preds(s, d).where("split IN ('val', 'test')")),
+        "forecast_30d": fc30,
+        "forecast_history_plot": lambda s, d: FC.history_and_forecast(fit(s, d).frame, fc30(s, d)),
+    })
+
+
+_forecast()
