@@ -204,3 +204,19 @@ def _forecast():
 
 
 _forecast()
+
+
+def _recommend():
+    from bazaar.plans import recommend as RC
+
+    # factor models: no SQL twin -> rows-only checks
+    QUERIES.update({
+        "als_factors": lambda s, d: RC.factor_summary(RC.fitted(s, d)),
+        "als_scores": lambda s, d: RC.score(RC.fitted(s, d), RC.explicit_ratings(s, d)),
+        "als_implicit_scores": lambda s, d: RC.score(RC.fitted(s, d, implicit=True),
+                                                     RC.implicit_purchases(s, d)),
+        "stream_als_scores": RC.stream_scores,
+    })
+
+
+_recommend()

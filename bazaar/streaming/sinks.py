@@ -37,6 +37,8 @@ def start_append(df: DataFrame, path: str, checkpoint: str, trigger: str | None
     if partition_by:
         bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
         df = df.repartition(*partition_by, bucket)
+    else:
+        partition_by = ()
     w = (df.writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint))
     if partition_by:
