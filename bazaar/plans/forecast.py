@@ -191,6 +191,16 @@ def history_and_forecast(feature_frame: DataFrame, fc: DataFrame, keys: Sequence
                                       F.lit("forecast").alias("kind")))
 
 
+def save(fit: Fit, met: DataFrame, path: str) -> None:
+    """Persist the fitted pipeline and its metrics (one JSON file)."""
+    fit.model.write().overwrite().save(f"{path}/model")
+    met.coalesce(1).write.mode("overwrite").json(f"{path}/metrics")
+
+
+def load(path: str) -> PipelineModel:
+    return PipelineModel.load(f"{path}/model")
+
+
 # -- one fitted model per (session, input) for the registered queries -------
 _CACHE: dict = {}
 

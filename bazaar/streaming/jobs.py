@@ -29,15 +29,15 @@ def silver_job(spark: SparkSession, entity: str, bronze_path: str, out: str, ckp
 
 
 def gold_complete_job(spark: SparkSession, table: str, silver_path: str, out: str, ckpt: str,
-                      trigger=None):
+                      trigger=None, schema=None):
     """Stateful aggregation in complete mode (approximate distinct counts)."""
     src, build = GOLD[table]
-    df = build(layer_stream(spark, silver_path))
+    df = build(layer_stream(spark, silver_path, schema))
     return sinks.start_complete(df, out, ckpt, trigger, name=f"gold_{table}")
 
 
 def gold_incremental(spark: SparkSession, table: str, silver_path: str, out: str, ckpt: str,
-                     trigger=None):
+                     trigger=None, schema=None):
     """Exact gold without aggregation state.
 
     Each micro-batch of new silver rows only names the days it touches; those
@@ -60,7 +60,7 @@ def gold_incremental(spark: SparkSession, table: str, silver_path: str, out: str
         (res.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("event_date").parquet(out))
 
-    q = (layer_stream(spark, silver_path).writeStream
+    q = (layer_stream(spark, silver_path, schema).writeStream
          .option("checkpointLocation", ckpt).foreachBatch(refresh).queryName(f"gold_inc_{table}"))
     return sinks._trigger(q, trigger).start()
 
