@@ -91,17 +91,27 @@ def fill_numeric(df: DataFrame, value=0) -> DataFrame:
 
 def feature_table(daily_sales: DataFrame, traffic: DataFrame, payments: DataFrame,
                   inventory: DataFrame, returns: DataFrame, reviews: DataFrame,
-                  keys: Sequence[str] = (), gap_fill: bool = False) -> DataFrame:
-    """Spine + six left joins on the day (USING semantics) + NULL -> 0."""
+                  keys: Sequence[str] = (), gap_fill: bool = False,
+                  unique_days: bool = True) -> DataFrame:
+    """Spine + six left joins on the day (USING semantics) + NULL -> 0.
+
+    ``unique_days``: the daily-sales input has one row per day (and series
+    key), as the gold table has by construction, so "distinct days left-join
+    daily sales" is daily sales itself and it is computed once.  Pass False
+    for an input that may repeat a day after date normalisation.
+    """
     ds = sane_dates(normalize_event_date(daily_sales))
     on = ["event_date", *keys]
-    out = date_spine(ds, keys, gap_fill)
+    if unique_days and not gap_fill:
+        out, first = ds, 1
+    else:
+        out, first = date_spine(ds, keys, gap_fill), 0
     for part in (ds,
                  traffic_daily(normalize_event_date(traffic)),
                  payment_daily(normalize_event_date(payments)),
                  inventory_daily(normalize_event_date(inventory)),
                  returns_daily(normalize_event_date(returns)),
-                 reviews_daily(normalize_event_date(reviews))):
+                 reviews_daily(normalize_event_date(reviews)))[first:]:
         join_on = [k for k in on if k in part.columns]
         out = out.join(part, join_on, "left")
     return fill_numeric(out)

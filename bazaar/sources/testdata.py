@@ -18,7 +18,20 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table.
+
+    A file written as a single row group cannot be split, so every map-side
+    operator up to the first shuffle would run in one task.  When the scan
+    yields fewer splits than the cluster has cores, the rows are spread
+    round-robin over ``defaultParallelism`` partitions (column pruning still
+    reaches the scan).  On a real cluster the input has far more splits than
+    cores and this is a no-op.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def _day(c: str):
