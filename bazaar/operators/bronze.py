@@ -58,13 +58,15 @@ def to_wire(df: DataFrame, ent: Entity | str, topic: str | None = None,
 
     Every field is sent as text (NULL kept as JSON null); the event time is
     added as ``event_time`` in ISO form.  ``partition`` is a hash of the
-    first field (the entity key), ``offset`` a caller-chosen unique column.
+    first field (the entity key); ``offset`` is a caller-chosen unique column,
+    else a 64-bit hash of the record text -- deterministic, so a task retried
+    after an executor loss publishes the same envelope.
     """
     ent = ENTITIES[ent] if isinstance(ent, str) else ent
     fields = [F.col(f).cast("string").alias(f) for f in ent.fields]
     ev = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss").alias(ENRICHED_TIME)
     value = F.to_json(F.struct(*fields, ev), {"ignoreNullFields": "false"})
-    off = F.col(offset_col).cast("long") if offset_col else F.monotonically_increasing_id()
+    off = F.col(offset_col).cast("long") if offset_col else F.xxhash64(value)
     return df.select(
         value.cast("binary").alias("value"),
         F.lit(topic or ent.topic).alias("topic"),

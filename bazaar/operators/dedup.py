@@ -30,9 +30,17 @@ def dedup_batch(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def dedup_stream(df: DataFrame, keys: Sequence[str], watermark: str | None = None,
-                 time_col: str = "event_timestamp") -> DataFrame:
+                 time_col: str = "event_timestamp", within_watermark: bool = False) -> DataFrame:
+    """``within_watermark``: keys that need not contain the event time (e.g.
+    re-sent records keyed by business id only); a duplicate is dropped if it
+    arrives within the watermark delay of the first copy, and state for a key
+    expires after that delay (``dropDuplicatesWithinWatermark``)."""
     if watermark:
         df = df.withWatermark(time_col, watermark)
+    if within_watermark:
+        if not watermark:
+            raise ValueError("within_watermark needs a watermark")
+        return df.dropDuplicatesWithinWatermark(list(keys))
     return df.dropDuplicates(list(keys))
 
 

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from bazaar.functions.rounding import round2_avg, round2_sum
 
-# Inventory states that raise an alert.
+# Inventory states that raise an alert; the dashboard's
+# display time zone.
 ALERT_STATES = ("STOCKOUT", "LOW_STOCK", "OVERSTOCK")
+DISPLAY_TZ = "Asia/Ho_Chi_Minh"
 
 
 def _share(df: DataFrame, value: str, name: str = "share_pct") -> DataFrame:

@@ -165,6 +165,11 @@ def serving_sql() -> dict[str, str]:
             " CAST(coalesce(sum(total_orders), 0) AS BIGINT) AS total_orders,"
             f" coalesce({r2avg('avg_order_value')}, 0) AS avg_order_value FROM ({SALES_KPI_SQL}) k"),
         "serving_sales_window": f"SELECT window_start, total_revenue FROM ({SALES_KPI_SQL}) k",
+        # display form: local time of a UTC+7 zone without daylight saving
+        "serving_sales_display": (
+            "SELECT strftime(window_start + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS window_start,"
+            " strftime(window_end + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end,"
+            f" total_revenue, total_orders, avg_order_value FROM ({SALES_KPI_SQL}) k"),
         "serving_sentiment": (
             f"SELECT review_sentiment, total_reviews, {share_sql('total_reviews')} FROM ("
             " SELECT review_sentiment, CAST(sum(total_reviews) AS BIGINT) AS total_reviews"

@@ -9,7 +9,6 @@ series at once, one DataFrame step per horizon day, with lineage cut by
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -209,10 +208,11 @@ def fitted(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> Fit:
     from bazaar.plans.features import model_frame
     k = (id(spark), sf_dir, tuple(keys))
     if k not in _CACHE:
-        frame = model_frame(spark, sf_dir, keys).checkpoint() if shared_dir(spark) else None
+        shared_dir(spark)
+        # the frame is scanned by training, scoring and the forecast: store it
+        # once (reliable checkpoint in the shared folder) instead of
+        # recomputing the whole gold -> feature lineage each time
+        frame = model_frame(spark, sf_dir, keys).checkpoint()
         _CACHE[k] = train(frame, keys=keys)
     return _CACHE[k]
 
-
-def _is_finite(x) -> bool:
-    return x is not None and not math.isnan(x)

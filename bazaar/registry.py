@@ -40,6 +40,7 @@ def _serving():
         "serving_sales_kpi": lambda s, d: M.sales_kpi(s, d),
         "serving_headline": lambda s, d: S.headline(M.sales_kpi(s, d)),
         "serving_sales_window": lambda s, d: S.sales_window(M.sales_kpi(s, d)),
+        "serving_sales_display": lambda s, d: S.to_display(M.sales_kpi(s, d), S.DISPLAY_TZ),
         "serving_sentiment": lambda s, d: S.sentiment_distribution(g(s, d, "review_analytics")),
         "serving_inventory_alert": lambda s, d: S.inventory_alert(g(s, d, "inventory_kpi")),
         "serving_inventory_status": lambda s, d: S.inventory_status_distribution(

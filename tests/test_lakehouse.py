@@ -41,9 +41,11 @@ def test_streaming_app_and_batch_build(spark):
         got = spark.read.parquet(f"{base}/gold/{t}")
         if t == "shipping_kpi":
             # shipments carry duplicate keys with different payloads: a stream
-            # keeps the first arrival, batch the smallest row -> same counts
-            k = ["event_date", "shipping_status", "total_shipments"]
-            assert _cmp(spark, got.select(*k), exp.select(*k)), t
+            # keeps the first arrival, batch the smallest row.  The survivor's
+            # status may differ, the number of survivors per day may not.
+            def per_day(df):
+                return df.groupBy("event_date").agg(F.sum("total_shipments").alias("n"))
+            assert _cmp(spark, per_day(got), per_day(exp)), t
         else:
             assert _cmp(spark, got, exp), t
 
