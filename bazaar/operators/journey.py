@@ -23,6 +23,12 @@ STEPS = (
 )
 DAY_EVENTS = (("inventory", "INVENTORY_UPDATED", 100), ("traffic", "WEB_TRAFFIC", 200))
 
+# Multiplicative hash for the seeded replay order (prime
+# modulus below 2^31, multiplier the 32-bit golden-ratio constant reduced
+# below it); (id mod p) * a + seed stays below 2^63 for any 64-bit id.
+REPLAY_PRIME = 2147483647
+REPLAY_MULT = 1640531527
+
 # per source: (reference id column or None, amount column or None)
 _REF = {
     "orders": (None, None),
@@ -93,6 +99,7 @@ def replay_log(journey: DataFrame, seed: int = 42) -> DataFrame:
         "order_id", F.col("event_date").alias("replay_day"))
     start = start.groupBy("order_id").agg(F.min("replay_day").alias("replay_day"))
     j = journey.join(start, "order_id", "inner")
-    j = j.withColumn("replay_key", F.xxhash64(F.col("order_id"), F.lit(seed)))
+    key = F.pmod(F.pmod(F.col("order_id"), F.lit(REPLAY_PRIME)) * REPLAY_MULT + seed, F.lit(REPLAY_PRIME))
+    j = j.withColumn("replay_key", key)
     return j.orderBy("replay_day", "replay_key", "order_id", "event_sequence", "event_time",
                      "ref_id", "amount")

@@ -30,7 +30,7 @@ def compact(spark: SparkSession, path: str, out_path: str, partition_col: str =
     Rows are hash-distributed on (date, bucket) so a hot date still spreads
     over ``files_per_partition`` tasks.
     """
+    from bazaar.session import spread_by_date
     df = spark.read.parquet(path)
-    bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-    (df.repartition(partition_col, bucket).write.mode("overwrite")
+    (spread_by_date(df, (partition_col,), files_per_partition).write.mode("overwrite")
      .partitionBy(partition_col).parquet(out_path))

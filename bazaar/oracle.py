@@ -378,6 +378,14 @@ EVENT_LOG_SQL = JOURNEY_SQL + " UNION ALL " + " UNION ALL ".join(
     _journey_part(*s, has_order=False) for s in _DAY_STEPS)
 
 
+REPLAY_SQL = (
+    "SELECT j.*, s.replay_day,"
+    " (((o_id % 2147483647 + 2147483647) % 2147483647) * 1640531527 + 42) % 2147483647"
+    " AS replay_key FROM ("
+    f"{JOURNEY_SQL}) j JOIN (SELECT order_id AS o_id, min(event_date) AS replay_day FROM ({JOURNEY_SQL}) x"
+    " WHERE event_sequence = 1 GROUP BY order_id) s ON j.order_id = s.o_id")
+
+
 def journey_sql() -> dict[str, str]:
     gold_tables = ["daily_sales", "top_products", "seller_performance", "payment_analytics",
                    "review_analytics", "shipping_kpi", "inventory_kpi", "traffic_kpi", "returns_kpi"]
@@ -393,4 +401,5 @@ def journey_sql() -> dict[str, str]:
             "SELECT event_date, event_type, event_sequence, count(*) AS events"
             f" FROM ({EVENT_LOG_SQL}) l GROUP BY event_date, event_type, event_sequence"),
         "readiness": ready,
+        "replay_log": REPLAY_SQL,
     }

@@ -8,28 +8,18 @@ partitioned by ``event_date``), ``gold/<table>`` (partitioned by
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from bazaar.operators import bronze as B
 from bazaar.operators.gold import GOLD
 from bazaar.operators.silver import silver
+from bazaar.session import spread_by_date
 from bazaar.specs import ENTITIES, ENVELOPE_SCHEMA
 from bazaar.streaming import jobs, sinks
-
-
-def bronze_schema(spark: SparkSession, entity: str):
-    empty = spark.createDataFrame([], ENVELOPE_SCHEMA)
-    return B.parse_envelope(empty, entity, clock=True).schema
-
-
-def silver_schema(spark: SparkSession, entity: str):
-    empty = spark.createDataFrame([], bronze_schema(spark, entity))
-    return silver(entity, empty, clock=True).schema
+from bazaar.streaming.jobs import bronze_schema, silver_schema
 
 
 def _write(df: DataFrame, path: str, files_per_date: int = 1) -> None:
-    bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_date))
-    (df.repartition("event_date", bucket).write.mode("overwrite")
+    (spread_by_date(df, ("event_date",), files_per_date).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path))
 
 

@@ -41,6 +41,11 @@ def get_spark(master: str | None = None, app: str = "bazaar",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # Listing a date-partitioned table runs one task per directory unless
+    # capped; a task per core lists many directories each (user value kept).
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    if key not in conf:
+        spark.conf.set(key, str(max(spark.sparkContext.defaultParallelism, 8)))
     return spark
 
 
@@ -73,3 +78,22 @@ def is_local_path(path: str) -> bool:
 def ensure_local_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def spread_by_date(df, partition_cols=("event_date",), files_per_partition: int = 1):
+    """Distribute rows for a date-partitioned write.
+
+    Hash on (date, bucket) with an explicit partition count: every date's rows
+    go to ``files_per_partition`` tasks (about that many files per date), and
+    distinct dates spread over all tasks.  The explicit count keeps adaptive
+    execution from merging everything into one task that would then write
+    every date's file one after the other.
+    """
+    from pyspark.sql import functions as F
+    n = shuffle_partitions(df.sparkSession)
+    bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
+    return df.repartition(n, *partition_cols, bucket)

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from bazaar.operators import bronze as B
 from bazaar.operators.gold import GOLD
 from bazaar.operators.silver import silver
+from bazaar.session import spread_by_date
 from bazaar.streaming import sinks
+from bazaar.specs import ENVELOPE_SCHEMA
 from bazaar.streaming.sources import envelope_stream, layer_stream
 
 # Largest day list sent to every task when re-reading touched days; beyond it
@@ -16,6 +18,17 @@ from bazaar.streaming.sources import envelope_stream, layer_stream
 MAX_BROADCAST_DAYS = 100_000
 
 
+def bronze_schema(spark: SparkSession, entity: str):
+    """Declared bronze table schema (streams start before any file exists)."""
+    empty = spark.createDataFrame([], ENVELOPE_SCHEMA)
+    return B.parse_envelope(empty, entity, clock=True).schema
+
+
+def silver_schema(spark: SparkSession, entity: str):
+    empty = spark.createDataFrame([], bronze_schema(spark, entity))
+    return silver(entity, empty, clock=True).schema
+
+
 def bronze_job(spark: SparkSession, entity: str, src: str, out: str, ckpt: str,
                trigger=None, event_time: str = "enriched"):
     df = B.parse_envelope(envelope_stream(spark, src), entity, event_time=event_time, clock=True)
@@ -24,7 +37,8 @@ def bronze_job(spark: SparkSession, entity: str, src: str, out: str, ckpt: str,
 
 def silver_job(spark: SparkSession, entity: str, bronze_path: str, out: str, ckpt: str,
                trigger=None, watermark: str | None = None):
-    df = silver(entity, layer_stream(spark, bronze_path), watermark=watermark, clock=True)
+    df = silver(entity, layer_stream(spark, bronze_path, bronze_schema(spark, entity)),
+                watermark=watermark, clock=True)
     return sinks.start_append(df, out, ckpt, trigger, name=f"silver_{entity}")
 
 
@@ -32,7 +46,7 @@ def gold_complete_job(spark: SparkSession, table: str, silver_path: str, out: st
                       trigger=None, schema=None):
     """Stateful aggregation in complete mode (approximate distinct counts)."""
     src, build = GOLD[table]
-    df = build(layer_stream(spark, silver_path, schema))
+    df = build(layer_stream(spark, silver_path, schema or silver_schema(spark, src)))
     return sinks.start_complete(df, out, ckpt, trigger, name=f"gold_{table}")
 
 
@@ -57,10 +71,10 @@ def gold_incremental(spark: SparkSession, table: str, silver_path: str, out: str
         pick = F.broadcast(days) if n <= MAX_BROADCAST_DAYS else days
         touched = silver_all.join(pick, "event_date", "left_semi")
         res = build(touched, distinct="exact") if "distinct" in build.__code__.co_varnames else build(touched)
-        (res.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (spread_by_date(res).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("event_date").parquet(out))
 
-    q = (layer_stream(spark, silver_path, schema).writeStream
+    q = (layer_stream(spark, silver_path, schema or silver_schema(spark, src)).writeStream
          .option("checkpointLocation", ckpt).foreachBatch(refresh).queryName(f"gold_inc_{table}"))
     return sinks._trigger(q, trigger).start()
 

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from bazaar.session import spread_by_date
+
 
 def _trigger(w, trigger):
     if trigger in (None, "availableNow"):
@@ -35,8 +37,7 @@ def start_append(df: DataFrame, path: str, checkpoint: str, trigger: str | None
     ``files_per_partition`` tasks.
     """
     if partition_by:
-        bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-        df = df.repartition(*partition_by, bucket)
+        df = spread_by_date(df, partition_by, files_per_partition)
     else:
         partition_by = ()
     w = (df.writeStream.format("parquet").outputMode("append")

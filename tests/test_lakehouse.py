@@ -9,7 +9,6 @@ from bazaar.plans import lakehouse as L
 from bazaar.plans import medallion as M
 from bazaar.plans.stream_runs import publish_files
 from bazaar.session import scratch_path
-from bazaar.specs import ENTITIES
 
 from conftest import SF001
 
