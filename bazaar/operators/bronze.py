@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaar.specs import ENTITIES, Entity
+from bazaar.specs import ENTITIES, ID_COLUMNS, Entity
 
 # Field the publisher adds to every record (the event's own time).  With
 # ``event_time="enriched"`` bronze takes the event time from it; with
@@ -34,8 +34,16 @@ def parse_envelope(env: DataFrame, ent: Entity | str, event_time: str = "enriche
     flat = parsed.select("raw_json", "topic", "partition", "offset", "kafka_timestamp",
                          *[F.col(f"data.{f}").alias(f) for f in ent.fields],
                          F.col(f"data.{ENRICHED_TIME}").alias("_event_text"))
-    src = "_event_text" if event_time == "enriched" else ent.event_column
-    ts = F.trim(F.col(src)).try_cast("timestamp")
+    literal = F.trim(F.col(ent.event_column)).try_cast("timestamp")
+    if event_time == "literal":
+        ts = literal
+    elif ent.event_column in ID_COLUMNS:
+        # never read an id as a time: no fallback for these entities
+        ts = F.trim(F.col("_event_text")).try_cast("timestamp")
+    else:
+        # records from a publisher that does not add event_time fall back to
+        # the entity's own date column
+        ts = F.coalesce(F.trim(F.col("_event_text")).try_cast("timestamp"), literal)
     out = flat.withColumn("event_timestamp", ts).withColumn("event_date", F.to_date("event_timestamp"))
     out = out.drop("_event_text")
     if clock:

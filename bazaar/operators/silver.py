@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaar.functions import classify, event_time, lenient_date, lenient_double, lenient_int
 from bazaar.functions.rounding import ratio2
@@ -45,7 +46,13 @@ def typed(df: DataFrame, ent: Entity, id_type: str = "bigint") -> DataFrame:
             out.append(lenient_date(f, dt[f]).alias(f))
         else:
             out.append(F.col(f).cast("string").alias(f))
-    ts = event_time("event_timestamp", dt["event_timestamp"]).alias("event_timestamp")
+    if "event_timestamp" in dt:
+        ts = event_time("event_timestamp", dt["event_timestamp"])
+    else:
+        # wire rows without bronze lineage (e.g. a CSV export): the event time
+        # comes from the entity's declared event column
+        ts = event_time(ent.event_column, dt.get(ent.event_column, T.StringType()))
+    ts = ts.alias("event_timestamp")
     base = df.select(*out, ts)
     return base.withColumn("event_date", F.to_date("event_timestamp"))
 

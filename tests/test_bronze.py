@@ -47,3 +47,10 @@ def test_literal_event_column_year_from_order_id(spark):
     b = B.parse_envelope(env, "order_items", event_time="literal")
     ts = b.select(F.year("event_timestamp")).first()[0]
     assert ts == 12345
+
+
+def test_enriched_falls_back_to_own_date_not_to_ids(spark):
+    env = _env(spark, ['{"order_id": "5", "order_date": "2012-07-04"}'])
+    assert B.parse_envelope(env, "orders").first()["event_timestamp"] == dt.datetime(2012, 7, 4)
+    env = _env(spark, ['{"order_id": "12345", "product_id": "1"}'])
+    assert B.parse_envelope(env, "order_items").first()["event_timestamp"] is None

@@ -1,6 +1,8 @@
 """Whole lakehouse: 8 bronze + 8 silver + 9 gold streaming queries and the
 batch build produce the same gold tables as the lazily composed plans."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from bazaar.operators import publish as P
@@ -70,4 +72,7 @@ def test_csv_source(spark, tmp_path):
     df = read_entity_csv(spark, str(p), "orders")
     r = df.first()
     assert r["zip"] == "01234" and r["order_id"] == "7.0"
-    assert F is not None
+    from bazaar.operators.silver import silver_orders
+    s = silver_orders(df).first()
+    assert s["order_id"] == 7 and s["zip"] == 1234
+    assert s["event_timestamp"] == dt.datetime(2012, 7, 4) and s["event_date"] == dt.date(2012, 7, 4)
