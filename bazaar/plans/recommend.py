@@ -9,38 +9,45 @@ transform is a stream-static join with the factor tables.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaar.operators.indexing import dense_index
 from bazaar.plans.medallion import silver_table
-from bazaar.session import scratch_path
+from bazaar.session import scratch_path, shared_dir
 from bazaar.specs import USER_EVENTS_SCHEMA
 
 # Factor model settings (rank, block size, cold-start policy).
 RANK = 15
 BLOCK_SIZE = 4096
 COLD_START = "drop"
-INT_MAX = 2**31 - 1
 
 
 def _als(rating_col: str, implicit: bool, **kw) -> ALS:
-    return ALS(rank=RANK, userCol="customer_id", itemCol="product_id", ratingCol=rating_col,
+    return ALS(rank=RANK, userCol="customer_idx", itemCol="product_idx", ratingCol=rating_col,
                coldStartStrategy=COLD_START, blockSize=BLOCK_SIZE, implicitPrefs=implicit,
                seed=42, nonnegative=implicit, **kw)
 
 
-def _int_ids(df: DataFrame) -> DataFrame:
-    """ALS indexes factors by 32-bit ids; larger keys are rejected (NULL ->
-    row dropped) instead of silently wrapping."""
-    ok = (F.col("customer_id").between(0, INT_MAX) & F.col("product_id").between(0, INT_MAX))
-    return df.where(ok).select(F.col("customer_id").cast("int"), F.col("product_id").cast("int"),
-                               *[c for c in df.columns if c not in ("customer_id", "product_id")])
+@dataclass
+class Recommender:
+    model: ALSModel
+    customers: DataFrame   # customer_id -> customer_idx
+    products: DataFrame    # product_id -> product_idx
+
+
+def _indexed(r: Recommender, pairs: DataFrame) -> DataFrame:
+    """Attach dense indices; ids unseen in training find no index and are
+    dropped, which is the model's cold-start policy."""
+    return pairs.join(r.customers, "customer_id").join(r.products, "product_id")
 
 
 def explicit_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = silver_table(spark, sf_dir, "reviews")
-    return _int_ids(r.select("customer_id", "product_id", F.col("rating").cast("float")))
+    return r.select("customer_id", "product_id", F.col("rating").cast("float"))
 
 
 def implicit_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,38 +57,49 @@ def implicit_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = silver_table(spark, sf_dir, "orders").groupBy("order_id").agg(
         F.min("customer_id").alias("customer_id"))
     i = silver_table(spark, sf_dir, "order_items").select("order_id", "product_id")
-    j = i.join(o, "order_id").groupBy("customer_id", "product_id").agg(
+    return i.join(o, "order_id").groupBy("customer_id", "product_id").agg(
         F.count(F.lit(1)).cast("float").alias("purchases"))
-    return _int_ids(j)
+
+
+def train(ratings: DataFrame, rating_col: str, implicit: bool) -> Recommender:
+    ratings = ratings.checkpoint()  # read by both indexers and by ALS
+    customers = dense_index(ratings, "customer_id", "customer_idx").checkpoint()
+    products = dense_index(ratings, "product_id", "product_idx").checkpoint()
+    rec = Recommender(None, customers, products)
+    model = _als(rating_col, implicit).fit(_indexed(rec, ratings))
+    return Recommender(model, customers, products)
 
 
 _CACHE: dict = {}
 
 
-def fitted(spark: SparkSession, sf_dir: str, implicit: bool = False) -> ALSModel:
+def fitted(spark: SparkSession, sf_dir: str, implicit: bool = False) -> Recommender:
     k = (id(spark), sf_dir, implicit)
     if k not in _CACHE:
+        shared_dir(spark)
         if implicit:
-            _CACHE[k] = _als("purchases", True).fit(implicit_purchases(spark, sf_dir))
+            _CACHE[k] = train(implicit_purchases(spark, sf_dir), "purchases", True)
         else:
-            _CACHE[k] = _als("rating", False).fit(explicit_ratings(spark, sf_dir))
+            _CACHE[k] = train(explicit_ratings(spark, sf_dir), "rating", False)
     return _CACHE[k]
 
 
-def score(model: ALSModel, pairs: DataFrame) -> DataFrame:
-    return model.transform(pairs).select("customer_id", "product_id", "prediction")
+def score(r: Recommender, pairs: DataFrame) -> DataFrame:
+    return r.model.transform(_indexed(r, pairs)).select("customer_id", "product_id", "prediction")
 
 
-def factor_summary(model: ALSModel) -> DataFrame:
-    u = model.userFactors.agg(F.count(F.lit(1)).alias("n")).select(F.lit("user").alias("side"), "n")
-    i = model.itemFactors.agg(F.count(F.lit(1)).alias("n")).select(F.lit("item").alias("side"), "n")
-    return u.unionByName(i).withColumn("rank", F.lit(model.rank))
+def factor_summary(r: Recommender) -> DataFrame:
+    m = r.model
+    u = m.userFactors.agg(F.count(F.lit(1)).alias("n")).select(F.lit("user").alias("side"), "n")
+    i = m.itemFactors.agg(F.count(F.lit(1)).alias("n")).select(F.lit("item").alias("side"), "n")
+    return u.unionByName(i).withColumn("rank", F.lit(m.rank))
 
 
 def parse_user_events(env: DataFrame) -> DataFrame:
     """JSON (user_id, product_id) -> model columns (user_id is the customer)."""
     p = env.select(F.from_json(F.col("value").cast("string"), USER_EVENTS_SCHEMA).alias("e"))
-    return p.select(F.col("e.user_id").alias("customer_id"), F.col("e.product_id").alias("product_id"))
+    return p.select(F.col("e.user_id").cast("bigint").alias("customer_id"),
+                    F.col("e.product_id").cast("bigint").alias("product_id"))
 
 
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,8 +110,7 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     model = fitted(spark, sf_dir)
     pairs = silver_table(spark, sf_dir, "reviews").select("customer_id", "product_id", "event_timestamp")
-    value = F.to_json(F.struct(F.col("customer_id").cast("int").alias("user_id"),
-                               F.col("product_id").cast("int").alias("product_id")))
+    value = F.to_json(F.struct(F.col("customer_id").alias("user_id"), F.col("product_id")))
     env = pairs.select(value.cast("binary").alias("value"), F.lit("user_events").alias("topic"),
                        F.lit(0).alias("partition"), F.lit(0).cast("long").alias("offset"),
                        F.col("event_timestamp").alias("timestamp"))

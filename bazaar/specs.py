@@ -87,10 +87,11 @@ ENTITIES: dict[str, Entity] = {
 # turned into NULL and silently filtered out.
 ID_COLUMNS = frozenset({"order_id", "customer_id", "product_id", "seller_id"})
 
-# Scoring topic of the recommender (user_id, product_id as int on the wire).
+# Scoring topic of the recommender (user_id, product_id); widened to 64 bit
+# like every other id.
 USER_EVENTS_SCHEMA = T.StructType([
-    T.StructField("user_id", T.IntegerType()),
-    T.StructField("product_id", T.IntegerType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("product_id", T.LongType()),
 ])
 
 # Kafka-shaped envelope used by the file fallback source.
