@@ -60,8 +60,11 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="bazaar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # sessions without the classic context API
+        pass
     return d
 
 

@@ -28,10 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     cores and this is a no-op.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without the classic context API
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _day(c: str):
