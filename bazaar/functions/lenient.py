@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed value: integer text, optionally followed by a fractional part that a
-# non-ANSI cast truncates away.
-INT_TEXT = r"^([+-]?\d+)(\.\d*)?$"
+# non-ANSI cast truncates away; like that cast, characters up to 0x20
+# (spaces, tabs, line breaks, control characters) around it are ignored.
+INT_TEXT = r"^[\x00-\x20]*([+-]?[0-9]+)(\.[0-9]*)?[\x00-\x20]*$"
 
 # The three date layouts accepted by the date normaliser, in
 # order of preference.
@@ -29,7 +30,7 @@ def lenient_int(c, dtype: T.DataType, target: str = "int") -> Column:
     """Integer (``int`` or ``bigint``) from text or number; NULL when not integral."""
     c = _col(c)
     if isinstance(dtype, T.StringType):
-        return F.regexp_extract(F.trim(c), INT_TEXT, 1).try_cast(target)
+        return F.regexp_extract(c, INT_TEXT, 1).try_cast(target)
     if isinstance(dtype, (T.NullType,)):
         return F.lit(None).cast(target)
     return c.try_cast(target)
