@@ -122,3 +122,12 @@ GOLD = {
     "traffic_kpi": ("traffic", traffic_kpi),
     "returns_kpi": ("returns", returns_kpi),
 }
+
+
+# tables whose builder counts distinct ids (takes ``distinct=``)
+COUNTS_DISTINCT = frozenset({"daily_sales", "seller_performance", "returns_kpi"})
+
+
+def build(table: str, silver_df: DataFrame, distinct: str | None = None) -> DataFrame:
+    fn = GOLD[table][1]
+    return fn(silver_df, distinct=distinct) if table in COUNTS_DISTINCT else fn(silver_df)

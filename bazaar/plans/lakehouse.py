@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaar.operators import bronze as B
+from bazaar.operators import gold as G
 from bazaar.operators.gold import GOLD
 from bazaar.operators.silver import silver
 from bazaar.session import spread_by_date
@@ -34,9 +35,9 @@ def build_batch(spark: SparkSession, inputs: dict[str, str], base: str,
                f"{base}/bronze/{e}", files_per_date)
         _write(silver(e, spark.read.parquet(f"{base}/bronze/{e}"), clock=True),
                f"{base}/silver/{e}", files_per_date)
-    for t, (src, build) in GOLD.items():
+    for t, (src, _) in GOLD.items():
         if src in inputs:
-            _write(build(spark.read.parquet(f"{base}/silver/{src}")), f"{base}/gold/{t}", files_per_date)
+            _write(G.build(t, spark.read.parquet(f"{base}/silver/{src}")), f"{base}/gold/{t}", files_per_date)
 
 
 def start_streaming(spark: SparkSession, inputs: dict[str, str], base: str, trigger=None,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.operators import bronze as B
+from bazaar.operators import gold as G
 from bazaar.operators.gold import GOLD
 from bazaar.operators.silver import silver
 from bazaar.session import spread_by_date
@@ -45,8 +46,8 @@ def silver_job(spark: SparkSession, entity: str, bronze_path: str, out: str, ckp
 def gold_complete_job(spark: SparkSession, table: str, silver_path: str, out: str, ckpt: str,
                       trigger=None, schema=None):
     """Stateful aggregation in complete mode (approximate distinct counts)."""
-    src, build = GOLD[table]
-    df = build(layer_stream(spark, silver_path, schema or silver_schema(spark, src)))
+    src = GOLD[table][0]
+    df = G.build(table, layer_stream(spark, silver_path, schema or silver_schema(spark, src)))
     return sinks.start_complete(df, out, ckpt, trigger, name=f"gold_{table}")
 
 
@@ -60,24 +61,29 @@ def gold_incremental(spark: SparkSession, table: str, silver_path: str, out: str
     partition overwrite).  Re-running a batch recomputes the same days, so it
     is idempotent; work per batch is proportional to the touched days.
     """
-    src, build = GOLD[table]
+    src = GOLD[table][0]
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        days = batch.select("event_date").where(F.col("event_date").isNotNull()).distinct()
-        n = days.count()  # one small number back to the driver
-        if n == 0:
+        marks = batch.agg(F.count_distinct("event_date").alias("days"),
+                          F.max(F.col("event_date").isNull().cast("int")).alias("has_null")).first()
+        n, has_null = marks["days"], bool(marks["has_null"])
+        if n == 0 and not has_null:
             return
         silver_all = spark.read.parquet(silver_path)
-        pick = F.broadcast(days) if n <= MAX_BROADCAST_DAYS else days
-        touched = silver_all.join(pick, "event_date", "left_semi")
-        res = build(touched, distinct="exact") if "distinct" in build.__code__.co_varnames else build(touched)
+        parts = []
+        if n:
+            days = batch.select("event_date").where(F.col("event_date").isNotNull()).distinct()
+            pick = F.broadcast(days) if n <= MAX_BROADCAST_DAYS else days
+            parts.append(silver_all.join(pick, "event_date", "left_semi"))
+        if has_null:
+            # the NULL-date group lives in its own partition: a static filter
+            parts.append(silver_all.where(F.col("event_date").isNull()))
+        touched = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        res = G.build(table, touched, distinct="exact")
         (spread_by_date(res).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("event_date").parquet(out))
 
     q = (layer_stream(spark, silver_path, schema or silver_schema(spark, src)).writeStream
          .option("checkpointLocation", ckpt).foreachBatch(refresh).queryName(f"gold_inc_{table}"))
-    return sinks._trigger(q, trigger).start()
+    return sinks.apply_trigger(q, trigger).start()
 
-
-def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

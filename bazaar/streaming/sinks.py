@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from bazaar.session import spread_by_date
 
 
-def _trigger(w, trigger):
+def apply_trigger(w, trigger):
     if trigger in (None, "availableNow"):
         return w.trigger(availableNow=True)
     if trigger == "once":
@@ -46,7 +46,7 @@ def start_append(df: DataFrame, path: str, checkpoint: str, trigger: str | None
         w = w.partitionBy(*partition_by)
     if name:
         w = w.queryName(name)
-    return _trigger(w, trigger).start()
+    return apply_trigger(w, trigger).start()
 
 
 def _drop_old_versions(spark: SparkSession, path: str, keep: int, current: int) -> None:
@@ -72,7 +72,7 @@ def start_complete(df: DataFrame, path: str, checkpoint: str, trigger: str | Non
          .foreachBatch(publish))
     if name:
         w = w.queryName(name)
-    return _trigger(w, trigger).start()
+    return apply_trigger(w, trigger).start()
 
 
 def read_complete(spark: SparkSession, path: str) -> DataFrame:

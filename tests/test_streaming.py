@@ -74,3 +74,26 @@ def test_complete_mode_versions(spark):
     exp = M.gold_table(spark, SF001, "returns_kpi")
     assert got.count() == exp.count()
     assert got.agg(F.sum("total_returns")).first()[0] == exp.agg(F.sum("total_returns")).first()[0]
+
+
+def test_incremental_gold_keeps_null_date_group(spark):
+    import datetime as dt
+
+    from bazaar.operators import gold as G
+    from bazaar.operators.silver import silver_returns
+    rows = [("r1", 1, 10, "x", dt.date(2020, 1, 3), dt.datetime(2020, 1, 2)),
+            ("r2", 2, 11, "y", None, None),
+            ("r3", 2, 12, "y", None, None)]
+    typed = spark.createDataFrame(rows, "return_id string, order_id bigint, product_id bigint,"
+                                        " return_reason string, return_date date, event_timestamp timestamp")
+    sil = silver_returns(typed, clock=True)
+    path = scratch_path(spark, "silver-null")
+    sil.write.partitionBy("event_date").parquet(path)
+    out = scratch_path(spark, "gold-null")
+    q = jobs.gold_incremental(spark, "returns_kpi", path, out, out + "-ckpt", schema=sil.schema)
+    q.awaitTermination()
+    def key(t):
+        return (t[0] is None, t[0] or dt.date.min, t[1])
+    got = sorted(((r["event_date"], r["total_returns"]) for r in spark.read.parquet(out).collect()), key=key)
+    exp = sorted(((r["event_date"], r["total_returns"]) for r in G.returns_kpi(sil).collect()), key=key)
+    assert got == exp and (None, 2) in got
