@@ -13,7 +13,7 @@ from bazaar.operators import bronze as B
 from bazaar.operators import gold as G
 from bazaar.operators.gold import GOLD
 from bazaar.operators.silver import silver
-from bazaar.session import spread_by_date
+from bazaar.session import cap_listing, spread_by_date
 from bazaar.specs import ENTITIES, ENVELOPE_SCHEMA
 from bazaar.streaming import jobs, sinks
 from bazaar.streaming.jobs import bronze_schema, silver_schema
@@ -49,6 +49,7 @@ def start_streaming(spark: SparkSession, inputs: dict[str, str], base: str, trig
     default availableNow trigger each query ends once its input is consumed;
     with a processing-time trigger use ``spark.streams.awaitAnyTermination()``.
     """
+    cap_listing(spark)
     ck = f"{base}/_checkpoints"
     qs = []
     for e, src in inputs.items():

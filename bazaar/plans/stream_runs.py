@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.operators import bronze as B
-from bazaar.session import scratch_path
+from bazaar.session import cap_listing, scratch_path
 from bazaar.sources import testdata
 from bazaar.streaming import jobs
 from bazaar.streaming import sinks
@@ -41,6 +41,7 @@ def _run(q) -> None:
 
 def bronze_silver(spark: SparkSession, sf_dir: str, entity: str, duplicate_every: int = 0,
                   watermark: str | None = None) -> str:
+    cap_listing(spark)
     src = publish_files(spark, sf_dir, entity, duplicate_every)
     bronze = scratch_path(spark, f"bronze-{entity}")
     silver = scratch_path(spark, f"silver-{entity}")

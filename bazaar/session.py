@@ -41,14 +41,28 @@ def get_spark(master: str | None = None, app: str = "bazaar",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    # Listing a date-partitioned table runs one task per directory unless
-    # capped; a task per core lists many directories each (user value kept).
-    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-    if key not in conf:
-        spark.conf.set(key, str(max(spark.sparkContext.defaultParallelism, 8)))
+    if LISTING_KEY not in conf:
+        cap_listing(spark)
     return spark
 
 
+LISTING_KEY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_DEFAULT = "10000"
+
+
+def cap_listing(spark: SparkSession) -> None:
+    """Listing a date-partitioned table runs one task per directory unless
+    capped; cap it at one task per core.  Only a session still at Spark's
+    default is changed (a pure performance setting, no effect on results)."""
+    if spark.conf.get(LISTING_KEY, LISTING_DEFAULT) != LISTING_DEFAULT:
+        return
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # sessions without the classic context API
+        return
+    spark.conf.set(LISTING_KEY, str(max(cores, 8)))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
