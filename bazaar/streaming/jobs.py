@@ -51,8 +51,8 @@ def gold_complete_job(spark: SparkSession, table: str, silver_path: str, out: st
     return sinks.start_complete(df, out, ckpt, trigger, name=f"gold_{table}")
 
 
-def gold_incremental(spark: SparkSession, table: str, silver_path: str, out: str, ckpt: str,
-                     trigger=None, schema=None):
+def gold_incremental(spark: SparkSession, table: str | list[str], silver_path: str, out: str,
+                     ckpt: str, trigger=None, schema=None):
     """Exact gold without aggregation state.
 
     Each micro-batch of new silver rows only names the days it touches; those
@@ -60,8 +60,16 @@ def gold_incremental(spark: SparkSession, table: str, silver_path: str, out: str
     replace their ``event_date`` partitions in the gold table (dynamic
     partition overwrite).  Re-running a batch recomputes the same days, so it
     is idempotent; work per batch is proportional to the touched days.
+
+    ``table`` may be a list of gold tables built from the same silver table:
+    the touched days are then read once (shared scan, persisted for the
+    batch) and each table is written to ``<out>/<table>``.
     """
-    src = GOLD[table][0]
+    tables = [table] if isinstance(table, str) else list(table)
+    srcs = {GOLD[t][0] for t in tables}
+    if len(srcs) != 1:
+        raise ValueError(f"tables come from different silver tables: {sorted(srcs)}")
+    src = srcs.pop()
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         marks = batch.agg(F.count_distinct("event_date").alias("days"),
@@ -79,11 +87,20 @@ def gold_incremental(spark: SparkSession, table: str, silver_path: str, out: str
             # the NULL-date group lives in its own partition: a static filter
             parts.append(silver_all.where(F.col("event_date").isNull()))
         touched = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        res = G.build(table, touched, distinct="exact")
-        (spread_by_date(res).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("event_date").parquet(out))
-
+        shared = len(tables) > 1
+        if shared:
+            touched = touched.persist()
+        try:
+            for t in tables:
+                res = G.build(t, touched, distinct="exact")
+                dest = out if isinstance(table, str) else f"{out}/{t}"
+                (spread_by_date(res).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("event_date").parquet(dest))
+        finally:
+            if shared:
+                touched.unpersist()
+
+    name = "_".join(tables) if len(tables) <= 3 else f"{src}_{len(tables)}"
     q = (layer_stream(spark, silver_path, schema or silver_schema(spark, src)).writeStream
-         .option("checkpointLocation", ckpt).foreachBatch(refresh).queryName(f"gold_inc_{table}"))
+         .option("checkpointLocation", ckpt).foreachBatch(refresh).queryName(f"gold_inc_{name}"))
     return sinks.apply_trigger(q, trigger).start()
-

@@ -63,6 +63,15 @@ def test_incremental_gold_is_exact_and_idempotent(spark):
     got = spark.read.parquet(out)
     exp = M.gold_table(spark, SF001, "daily_sales")
     assert sorted(got.select(*exp.columns).collect()) == sorted(exp.collect())
+    # shared scan: the three order-item tables from one read of the touched days
+    out2 = scratch_path(spark, "gold-shared")
+    tables = ["daily_sales", "top_products", "seller_performance"]
+    q = jobs.gold_incremental(spark, tables, silver, out2, out2 + "-ckpt")
+    q.awaitTermination()
+    for t in tables:
+        exp = M.gold_table(spark, SF001, t)
+        got = spark.read.parquet(f"{out2}/{t}").select(*exp.columns)
+        assert sorted(got.collect()) == sorted(exp.collect()), t
 
 
 def test_complete_mode_versions(spark):
