@@ -106,3 +106,16 @@ def test_incremental_gold_keeps_null_date_group(spark):
     got = sorted(((r["event_date"], r["total_returns"]) for r in spark.read.parquet(out).collect()), key=key)
     exp = sorted(((r["event_date"], r["total_returns"]) for r in G.returns_kpi(sil).collect()), key=key)
     assert got == exp and (None, 2) in got
+
+
+def test_processing_time_trigger_runs_until_stopped(spark):
+    """The long-running form: a processing-time trigger, drained and stopped."""
+    src = SR.publish_files(spark, SF001, "inventory")
+    out = scratch_path(spark, "pt")
+    q = jobs.bronze_job(spark, "inventory", src, out, out + "-ckpt", trigger="1 second")
+    try:
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    assert spark.read.parquet(out).count() == spark.read.parquet(src).count()
