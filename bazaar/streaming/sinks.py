@@ -80,3 +80,25 @@ def read_complete(spark: SparkSession, path: str) -> DataFrame:
     all_v = spark.read.parquet(path)
     latest = all_v.agg(F.max("v").alias("v"))
     return all_v.join(F.broadcast(latest), "v", "left_semi").drop("v")
+
+
+def publish_envelopes(frames: dict[str, DataFrame], path: str, mode: str = "append") -> None:
+    """Batch publication of several entities at once (the file stand-in for a
+    multi-topic producer): envelopes unioned and written partitioned by
+    ``topic``, so a reader of ``<path>/topic=<t>`` sees one topic.
+
+    ``frames`` maps entity name -> typed rows with ``event_timestamp``.
+    """
+    from bazaar.operators.bronze import to_wire
+    envs = [to_wire(df, name) for name, df in frames.items()]
+    out = envs[0]
+    for e in envs[1:]:
+        out = out.unionByName(e)
+    out.write.mode(mode).partitionBy("topic").parquet(path)
+
+
+def publish_kafka(env: DataFrame, servers: str) -> None:
+    """Envelope rows to Kafka (needs the connector on the classpath); the
+    ``topic`` column routes each record."""
+    (env.select("topic", F.col("partition").cast("int").alias("partition"), "value")
+     .write.format("kafka").option("kafka.bootstrap.servers", servers).save())

@@ -54,3 +54,23 @@ def test_enriched_falls_back_to_own_date_not_to_ids(spark):
     assert B.parse_envelope(env, "orders").first()["event_timestamp"] == dt.datetime(2012, 7, 4)
     env = _env(spark, ['{"order_id": "12345", "product_id": "1"}'])
     assert B.parse_envelope(env, "order_items").first()["event_timestamp"] is None
+
+
+def test_publish_partitioned_by_topic(spark):
+    from bazaar.operators.silver import silver
+    from bazaar.plans.medallion import silver_table
+    from bazaar.session import scratch_path
+    from bazaar.sources import testdata
+    from bazaar.streaming.sinks import publish_envelopes
+
+    sf = "/root/testdata/sf0.001"
+    frames = {n: testdata.entity(spark, sf, n) for n in ("inventory", "returns")}
+    path = scratch_path(spark, "topics")
+    publish_envelopes(frames, path)
+    for n in frames:
+        topic = f"{n}_topic"
+        # reading one topic folder: the partition value is restored as a column
+        env = spark.read.parquet(f"{path}/topic={topic}").withColumn("topic", F.lit(topic))
+        got = silver(n, B.parse_envelope(env, n)).drop("silver_layer")
+        exp = silver_table(spark, sf, n).drop("silver_layer")
+        assert sorted(got.select(*exp.columns).collect()) == sorted(exp.collect())
