@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bazaar.functions import classify, event_time, lenient_date, lenient_double, lenient_int
 from bazaar.functions.rounding import ratio2
@@ -34,8 +33,10 @@ def typed(df: DataFrame, ent: Entity, id_type: str = "bigint") -> DataFrame:
     dt = {f.name: f.dataType for f in df.schema.fields}
     out: list[Column] = []
     for f in ent.fields:
-        if f not in dt:
-            out.append(F.lit(None).cast("string").alias(f))
+        if f not in dt:  # field absent from this input: a NULL of the silver type
+            kind = ((id_type if f in ID_COLUMNS else "int") if f in ent.ints else
+                    "double" if f in ent.doubles else "date" if f in ent.dates else "string")
+            out.append(F.lit(None).cast(kind).alias(f))
             continue
         if f in ent.ints:
             target = id_type if f in ID_COLUMNS else "int"
@@ -48,10 +49,12 @@ def typed(df: DataFrame, ent: Entity, id_type: str = "bigint") -> DataFrame:
             out.append(F.col(f).cast("string").alias(f))
     if "event_timestamp" in dt:
         ts = event_time("event_timestamp", dt["event_timestamp"])
-    else:
+    elif ent.event_column in dt:
         # wire rows without bronze lineage (e.g. a CSV export): the event time
         # comes from the entity's declared event column
-        ts = event_time(ent.event_column, dt.get(ent.event_column, T.StringType()))
+        ts = event_time(ent.event_column, dt[ent.event_column])
+    else:
+        ts = F.lit(None).cast("timestamp")
     ts = ts.alias("event_timestamp")
     base = df.select(*out, ts)
     return base.withColumn("event_date", F.to_date("event_timestamp"))

@@ -73,3 +73,14 @@ def test_order_items_nulls_and_duplicates(spark):
                                " freight_value string, event_timestamp string")
     out = _rows(S.silver_order_items(df), "order_id", "product_id", "item_total")
     assert out == [(1, 10, 3.5), (3, 11, None), (12, 13, 2.0)]
+
+
+def test_missing_fields_become_typed_nulls(spark):
+    df = spark.createDataFrame([("5", "2020-01-02")], "order_id string, order_date string")
+    out = S.silver_orders(df)
+    types = dict(out.dtypes)
+    assert types["customer_id"] == "bigint" and types["zip"] == "int" and types["order_status"] == "string"
+    r = out.first()
+    assert r["order_id"] == 5 and r["customer_id"] is None and r["event_date"] == dt.date(2020, 1, 2)
+    only_id = spark.createDataFrame([("7",)], "order_id string")
+    assert S.silver_orders(only_id).first()["event_timestamp"] is None
