@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 # Fixed value: integer text, optionally followed by a fractional part that a
 # non-ANSI cast truncates away; like that cast, characters up to 0x20
 # (spaces, tabs, line breaks, control characters) around it are ignored.
-INT_TEXT = r"^[\x00-\x20]*([+-]?[0-9]+)(\.[0-9]*)?[\x00-\x20]*$"
+# ``\z`` is the absolute end: ``$`` would also accept a trailing line
+# terminator such as U+0085.
+INT_TEXT = r"^[\x00-\x20]*([+-]?[0-9]+)(\.[0-9]*)?[\x00-\x20]*\z"
 
 # The three date layouts accepted by the date normaliser, in
 # order of preference.

@@ -12,9 +12,10 @@ def _one(spark, values, fn):
 
 
 def test_lenient_int_text(spark):
-    got = _one(spark, ["7", "12.0", "12.9", "bad", None, "", " 8 ", "-3", "20120704", "3000000000"],
+    got = _one(spark, ["7", "12.0", "12.9", "bad", None, "", " 8 ", "-3", "20120704", "3000000000",
+                       "\t9\n", "0\x85", "1\u00a0"],
                lambda c, t: lenient_int(c, t, "int"))
-    assert got == [7, 12, 12, None, None, None, 8, -3, 20120704, None]
+    assert got == [7, 12, 12, None, None, None, 8, -3, 20120704, None, 9, None, None]
 
 
 def test_lenient_int_bigint_and_numeric(spark):
