@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from bazaar.functions import lenient_int
 from bazaar.operators.dedup import dedup_batch
 
-SETTINGS = settings(max_examples=15, deadline=None,
+SETTINGS = settings(max_examples=25, deadline=None, derandomize=True,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 rows = st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(-3, 3)),
