@@ -127,10 +127,10 @@ def _md5_word(k: int) -> str:
 OP9_SQL = f"""
 WITH remainders AS (SELECT {_crc_remainders()} AS t),
 texts AS (SELECT DISTINCT coalesce(text, '') AS body, hex(encode(coalesce(text, ''))) AS h FROM documents),
-bytes AS (SELECT body, list_transform(range(0, length(h) // 2), i -> ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS b
+bytes AS (SELECT body, list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS b
           FROM texts),
 crcs AS (SELECT body, xor(list_reduce(list_prepend(4294967295::BIGINT, b),
-                          (c, x) -> xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295::BIGINT) AS crc
+                          lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295::BIGINT) AS crc
          FROM bytes, remainders),
 docs AS (SELECT doc_id, coalesce(text, '') AS body, md5(coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
 ids AS (SELECT DISTINCT digest, {_md5_word(0)} AS x, {_md5_word(1)} AS y, {_md5_word(2)} AS z FROM docs),
