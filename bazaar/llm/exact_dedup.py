@@ -28,23 +28,20 @@ def _text(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.withColumns({
-        "_digest": F.unhex(F.sha2(_text(text_col), 256)),
-        "_bytes": F.octet_length(_text(text_col)),
-        "_check": F.xxhash64(_text(text_col)),
-        "_run": F.pmod(F.hash(F.col(id_col)), F.lit(RUNS)),
-    })
+def _keyed(id_col: Column, text: Column, *more: Column) -> list[Column]:
+    return [id_col.alias("doc_id"), F.unhex(F.sha2(text, 256)).alias("_digest"),
+            F.octet_length(text).alias("_bytes"), F.xxhash64(text).alias("_check"),
+            F.pmod(F.hash(id_col), F.lit(RUNS)).alias("_run"), *more]
 
 
-def merge_runs(keyed: DataFrame, id_col: str, keep: str = "largest") -> DataFrame:
+def merge_runs(keyed: DataFrame, keep: str = "largest") -> DataFrame:
     """One row per (digest, run): the survivor and size of the whole group.
 
     Upward: ``log(RUNS) / FAN_IN_BITS`` rounds of merging.  Downward: the
     root's answer goes back to the (at most ``RUNS``) runs of its digest.
     """
     best = F.max if keep == "largest" else F.min
-    level = keyed.groupBy(*_KEY, "_run").agg(best(id_col).alias("_keep"), F.count(F.lit(1)).alias("_n"))
+    level = keyed.groupBy(*_KEY, "_run").agg(best("doc_id").alias("_keep"), F.count(F.lit(1)).alias("_n"))
     leaves, width = level.select(*_KEY, "_run"), RUNS
     while width > 1:
         level = (level.withColumn("_run", F.shiftright("_run", FAN_IN_BITS))
@@ -54,31 +51,32 @@ def merge_runs(keyed: DataFrame, id_col: str, keep: str = "largest") -> DataFram
 
 
 def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                keep: str = "largest") -> DataFrame:
-    """``docs`` with ``_keep`` (survivor's id), ``_n`` (group size), ``_kept``.
+                keep: str = "largest", carry: bool = False) -> DataFrame:
+    """Every row with ``_keep`` (survivor's id), ``_n`` (group size), ``_kept``.
 
     Null text counts as empty.  Of rows that repeat the surviving id with the
     same text exactly one is kept.  A null id survives only if its group has
-    no other id.  An empty table gives an empty result.
+    no other id.  An empty table gives an empty result.  With ``carry`` the
+    input's columns come along as the struct ``row``.
     """
-    keyed = _keyed(docs, id_col, text_col)
-    groups = merge_runs(keyed.select(id_col, *_KEY, "_run"), id_col, keep)
-    same = Window.partitionBy(*_KEY, "_run", id_col).orderBy(F.col(id_col))
+    more = [F.struct("*").alias("row")] if carry else []
+    keyed = docs.select(*_keyed(F.col(id_col), _text(text_col), *more))
+    groups = merge_runs(keyed.select("doc_id", *_KEY, "_run"), keep)
+    same = Window.partitionBy(*_KEY, "_run", "doc_id").orderBy("doc_id")
     return (keyed.join(groups, [*_KEY, "_run"])
             .withColumn("_rn", F.row_number().over(same))
-            .withColumn("_kept", F.col(id_col).eqNullSafe(F.col("_keep")) & (F.col("_rn") == 1)))
+            .withColumn("_kept", F.col("doc_id").eqNullSafe(F.col("_keep")) & (F.col("_rn") == 1)))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep: str = "largest") -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256."""
-    marked = mark_copies(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")),
-                         keep=keep)
-    return marked.select("doc_id", F.col("_keep").alias("keep_id"), F.col("_n").alias("group_size"),
-                         F.col("_kept").alias("kept"), F.lower(F.hex("_digest")).alias("text_sha256"))
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
+    return mark_copies(docs, id_col, text_col, keep).select(
+        "doc_id", F.col("_keep").alias("keep_id"), F.col("_n").alias("group_size"),
+        F.col("_kept").alias("kept"), F.lower(F.hex("_digest")).alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep: str = "largest") -> DataFrame:
     """The surviving rows of ``docs`` with all their columns."""
-    return mark_copies(docs, id_col, text_col, keep).where("_kept").select(*docs.columns)
+    return mark_copies(docs, id_col, text_col, keep, carry=True).where("_kept").select("row.*")

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaar.llm import byte_cnn as C
 from bazaar.llm import exact_dedup as X
 from bazaar.llm import licenses as L
+from bazaar.llm import pii as P
 from bazaar.llm import sharding as S
+from bazaar.llm import simhash as H
 from bazaar.llm.common import read_table
 
 SHARDS = 24
@@ -25,6 +28,14 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# ------------------------------------------------------------ personal data
+
+@query("op1_pii")
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return P.scan(docs, P.train(docs), with_text=False)
+
+
 # ---------------------------------------------------------------- licenses
 
 #: A document of at most so many characters that carries a notice stands for
@@ -105,6 +116,22 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.exact_dedup(read_table(spark, sf_dir, "documents"), keep="largest")
 
 
+# ------------------------------------------------------- simhash near-dedup
+
+@query("op6_simhash_near_dedup")
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return H.simhash_groups(read_table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
+# ------------------------------------------------------- quality classifier
+
+@query("op7_quality_classifier")
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = C.train(docs, read_table(spark, sf_dir, "labels"))
+    return C.classify(docs, model, threshold=0.3)
+
+
 # ---------------------------------------------------------------- sharding
 
 _FACTORS = ", ".join("({}, {}, {})".format(s, *S.factors(s)) for s in range(SHARDS + 1))
