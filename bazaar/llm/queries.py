@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.llm import byte_cnn as C
+from bazaar.llm import decontaminate as D
 from bazaar.llm import exact_dedup as X
 from bazaar.llm import licenses as L
 from bazaar.llm import pii as P
@@ -179,3 +180,10 @@ FROM placed
 @query("op9_rendezvous_sharding", OP9_SQL)
 def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.shard_documents(read_table(spark, sf_dir, "documents"), SHARDS)
+
+
+# ------------------------------------------------ benchmark decontamination
+
+@query("op10_decontamination")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
