@@ -10,6 +10,7 @@ from bazaar.llm import decontaminate as D
 from bazaar.llm import exact_dedup as X
 from bazaar.llm import licenses as L
 from bazaar.llm import pii as P
+from bazaar.llm import sentencepiece_scan as T
 from bazaar.llm import sharding as S
 from bazaar.llm import simhash as H
 from bazaar.llm.common import read_table
@@ -37,6 +38,17 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.scan(docs, P.train(docs), with_text=False)
 
 
+# ----------------------------------------------------------- sentencepiece
+
+#: Folder of the public vocabulary files, and the one that is used.
+VOCABULARY = "file:///opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return T.encode(read_table(spark, sf_dir, "documents"), T.read_vocabulary(spark, VOCABULARY))
+
+
 # ---------------------------------------------------------------- licenses
 
 #: A document of at most so many characters that carries a notice stands for
