@@ -13,6 +13,7 @@ from bazaar.llm import pii as P
 from bazaar.llm import sentencepiece_scan as T
 from bazaar.llm import sharding as S
 from bazaar.llm import simhash as H
+from bazaar.llm import suffix_dedup as R
 from bazaar.llm.common import read_table
 
 SHARDS = 24
@@ -49,6 +50,13 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.encode(read_table(spark, sf_dir, "documents"), T.read_vocabulary(spark, VOCABULARY))
 
 
+# ------------------------------------------------------ suffix-array dedup
+
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.remove_repeats(read_table(spark, sf_dir, "documents"), length=50, with_text=False)
+
+
 # ---------------------------------------------------------------- licenses
 
 #: A document of at most so many characters that carries a notice stands for
