@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.llm import byte_cnn as C
+from bazaar.llm import compact_windows as W
 from bazaar.llm import decontaminate as D
 from bazaar.llm import exact_dedup as X
 from bazaar.llm import licenses as L
@@ -57,6 +58,13 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.remove_repeats(read_table(spark, sf_dir, "documents"), length=50, with_text=False)
 
 
+# -------------------------------------------------- near-duplicate passages
+
+@query("op8_compact_windows")
+def op8_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.near_duplicate_passages(read_table(spark, sf_dir, "documents"), words=50, similarity=0.8)
+
+
 # ---------------------------------------------------------------- licenses
 
 #: A document of at most so many characters that carries a notice stands for
