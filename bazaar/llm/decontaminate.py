@@ -46,8 +46,8 @@ SEED = 11
 
 #: Words handled at a time in a task.
 BLOCK_WORDS = 1 << 17
-#: Parts of the sketch that tasks hand to the summing step.
-SUM_GROUPS = 16
+#: The tasks' parts of the sketch are summed SUM_FAN at a time, in SUM_LEVELS.
+SUM_FAN, SUM_LEVELS = 16, 4
 
 #: Every ASCII character that is no letter or digit becomes a space.
 _TABLE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -193,7 +193,7 @@ def sketch(docs: DataFrame, space: Space) -> tuple[np.ndarray, np.ndarray, float
                 total[term[first]] += np.add.reduceat(back[order // SEGMENT], first, axis=0)
             mass += len(ids)
         total *= space.idf[:, None]
-        yield pd.DataFrame({"part": [TaskContext.get().partitionId() % SUM_GROUPS], "mass": [mass],
+        yield pd.DataFrame({"part": [TaskContext.get().partitionId() % SUM_FAN ** SUM_LEVELS], "mass": [mass],
                             "z": [total.astype(np.float32).tobytes()]})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -201,9 +201,13 @@ def sketch(docs: DataFrame, space: Space) -> tuple[np.ndarray, np.ndarray, float
         return pd.DataFrame({"part": pdf["part"][:1], "mass": [pdf["mass"].sum()], "z": [z.astype(np.float32).tobytes()]})
 
     kind = "part long, mass double, z binary"
-    parts = docs.mapInPandas(part, kind).groupBy("part").applyInPandas(add, kind).collect()
+    parts = docs.mapInPandas(part, kind)
+    for _ in range(SUM_LEVELS):
+        up = parts.withColumn("part", F.floor(F.col("part") / SUM_FAN).cast("long"))
+        parts = up.groupBy("part").applyInPandas(add, kind)
     z = np.zeros((n_terms, width))
-    for r in parts:  # at most SUM_GROUPS rows
+    parts = parts.collect()  # one row
+    for r in parts:
         z += np.frombuffer(r["z"], np.float32).reshape(z.shape)
     return gauss.astype(np.float64), z, float(sum(r["mass"] for r in parts))
 
