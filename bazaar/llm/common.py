@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaar.session import scratch_path
@@ -25,3 +30,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+_ROOT = Path(__file__).resolve().parents[2]
+_ON_PATH = str(_ROOT) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or Path.cwd() == _ROOT
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers unless they can import it.
+
+    On a cluster it is normally installed or given to spark-submit with
+    ``--py-files``; a session that was started elsewhere gets a zip of it.
+    """
+    app = spark.sparkContext.applicationId
+    if _ON_PATH or app in _shipped:
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="bazaar-zip-"), "bazaar.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted((_ROOT / "bazaar").rglob("*.py")):
+            z.write(f, f.relative_to(_ROOT))
+    spark.sparkContext.addPyFile(target)
+    _shipped.add(app)

@@ -15,7 +15,7 @@ from bazaar.llm import sentencepiece_scan as T
 from bazaar.llm import sharding as S
 from bazaar.llm import simhash as H
 from bazaar.llm import suffix_dedup as R
-from bazaar.llm.common import read_table
+from bazaar.llm.common import read_table, ship_package
 
 SHARDS = 24
 
@@ -25,7 +25,11 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

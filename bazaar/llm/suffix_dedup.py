@@ -57,7 +57,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     shards = max(1, -(-size // SHARD_BYTES))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
 
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(key, pdf):
         data = [t.encode("utf-8", "surrogatepass") for t in pdf["text"]]
         null = pdf["doc_id"].isna().to_numpy()
         return pd.DataFrame({
@@ -248,7 +248,7 @@ _WORK = "bucket long, shard long, sizes binary, text binary, least binary, place
 
 def requests(shards: DataFrame, shared: DataFrame, buckets: int, length: int, gram: int) -> DataFrame:
     """Per shard: its distinct snippets by bucket, and where they occur."""
-    def work(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def work(key, left, right):
         out = []
         for shard, ids, sizes, data in _rows_of(left):
             known = [np.frombuffer(a, np.uint64) for a in right["anchors"]]
@@ -290,7 +290,7 @@ def requests(shards: DataFrame, shared: DataFrame, buckets: int, length: int, gr
 def merge(work: DataFrame, length: int) -> DataFrame:
     """(shard, bucket, sizes, least): smallest document of every window, over
     all shards, in the order in which the shard sent its snippets."""
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(key, pdf):
         sizes = [np.frombuffer(b, np.uint8).astype(np.int64) for b in pdf["sizes"]]
         texts = [np.frombuffer(b, np.uint8) for b in pdf["text"]]
         least = [_decode_runs(b) for b in pdf["least"]]
@@ -344,7 +344,7 @@ def mark(shards: DataFrame, places: DataFrame, answers: DataFrame, length: int,
                                                 "place", "part", "nth")
              .unionByName(answers, allowMissingColumns=True))
 
-    def one(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def one(key, left, right):
         out = []
         for _, ids, sizes, data in _rows_of(left):
             ends = np.cumsum(sizes)

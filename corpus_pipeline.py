@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaar.llm import byte_cnn, decontaminate, exact_dedup, sentencepiece_scan, simhash
-from bazaar.llm.common import read_table, stored
+from bazaar.llm.common import read_table, ship_package, stored
 from bazaar.llm.queries import VOCABULARY
 
 
@@ -53,6 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table; each result is written and reread."""
+    ship_package(spark)
     docs = read_table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
