@@ -1,9 +1,8 @@
 """Two-decimal rounding that gives the same digits on every engine.
 
-Averages and ratios are taken in exact decimal arithmetic before rounding, so
-a value such as 469/200 rounds half-up to 2.35 instead of depending on the
-binary representation of 2.345.  Sums of two-decimal money are rounded from
-the double sum (exact up to ~9e13).
+Means are taken over exact decimals with ten places before the final rounding,
+so 469/200 rounds half-up to 2.35 whatever the order of the additions; a NaN
+among the values makes the mean NaN.
 """
 
 from __future__ import annotations
@@ -11,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+EXACT = "decimal(28,10)"
 
 
 def _col(c) -> Column:
@@ -22,8 +21,15 @@ def round2_sum(c) -> Column:
     return F.round(F.sum(_col(c)), 2)
 
 
+def exact_avg(c) -> Column:
+    """Mean as a decimal; NULL values don't count."""
+    return F.avg(_col(c).try_cast(EXACT))
+
+
 def round2_avg(c) -> Column:
-    return F.round(F.avg(_col(c).cast(MONEY)), 2).cast("double")
+    """round(avg(c), 2) as a double."""
+    nan = F.max(F.isnan(_col(c).cast("double")))
+    return F.when(nan, F.lit(float("nan"))).otherwise(F.round(exact_avg(c), 2).cast("double"))
 
 
 def ratio2(num, den) -> Column:

@@ -14,17 +14,17 @@ from pyspark.sql import types as T
 
 from bazaar.specs import ENTITIES, ID_COLUMNS, Entity
 
-# Field the publisher adds to every record (the event's own time).  With
-# ``event_time="enriched"`` bronze takes the event time from it; with
-# ``"literal"`` from the entity's declared event column.
-ENRICHED_TIME = "event_time"
+# Business time that the publisher adds for entities without a date column of
+# their own (order items, payments).  It is not the record's ``event_time``,
+# which is the clock of the sender.
+BUSINESS_TIME = "business_time"
 
 
 def payload_schema(ent: Entity) -> T.StructType:
-    return T.StructType(ent.wire_schema().fields + [T.StructField(ENRICHED_TIME, T.StringType())])
+    return T.StructType(ent.wire_schema().fields + [T.StructField(BUSINESS_TIME, T.StringType())])
 
 
-def parse_envelope(env: DataFrame, ent: Entity | str, event_time: str = "enriched",
+def parse_envelope(env: DataFrame, ent: Entity | str, event_time: str = "business",
                    clock: bool = False) -> DataFrame:
     ent = ENTITIES[ent] if isinstance(ent, str) else ent
     base = env.select(
@@ -33,17 +33,17 @@ def parse_envelope(env: DataFrame, ent: Entity | str, event_time: str = "enriche
     parsed = base.select("*", F.from_json("raw_json", payload_schema(ent)).alias("data"))
     flat = parsed.select("raw_json", "topic", "partition", "offset", "kafka_timestamp",
                          *[F.col(f"data.{f}").alias(f) for f in ent.fields],
-                         F.col(f"data.{ENRICHED_TIME}").alias("_event_text"))
-    literal = F.trim(F.col(ent.event_column)).try_cast("timestamp")
+                         F.col(f"data.{BUSINESS_TIME}").alias("_event_text"))
+    text = F.trim("_event_text").try_cast("timestamp")
+    own = F.trim(F.col(ent.event_column)).try_cast("timestamp")
     if event_time == "literal":
-        ts = literal
+        ts = own
     elif ent.event_column in ID_COLUMNS:
-        # never read an id as a time: no fallback for these entities
-        ts = F.trim(F.col("_event_text")).try_cast("timestamp")
+        ts = text  # never read an id as a time
     else:
-        # records from a publisher that does not add event_time fall back to
-        # the entity's own date column
-        ts = F.coalesce(F.trim(F.col("_event_text")).try_cast("timestamp"), literal)
+        # the entity's own date decides the day; the business time adds the
+        # time of that day
+        ts = F.when(own.isNull(), text).when(F.to_date(text) == F.to_date(own), text).otherwise(own)
     out = flat.withColumn("event_timestamp", ts).withColumn("event_date", F.to_date("event_timestamp"))
     out = out.drop("_event_text")
     if clock:
@@ -65,20 +65,20 @@ def to_wire(df: DataFrame, ent: Entity | str, topic: str | None = None,
     """Publish side (JSON event): typed rows -> Kafka-shaped envelope.
 
     Every field is sent as text (NULL kept as JSON null); the event time is
-    added as ``event_time`` in ISO form.  ``partition`` is a hash of the
-    first field (the entity key); ``offset`` is a caller-chosen unique column,
+    added as ``business_time`` in ISO form with microseconds.  ``partition`` is a hash of the
+    record's text over ``partitions`` topic partitions; ``offset`` is a caller-chosen unique column,
     else a 64-bit hash of the record text -- deterministic, so a task retried
     after an executor loss publishes the same envelope.
     """
     ent = ENTITIES[ent] if isinstance(ent, str) else ent
     fields = [F.col(f).cast("string").alias(f) for f in ent.fields]
-    ev = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss").alias(ENRICHED_TIME)
+    ev = F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(BUSINESS_TIME)
     value = F.to_json(F.struct(*fields, ev), {"ignoreNullFields": "false"})
     off = F.col(offset_col).cast("long") if offset_col else F.xxhash64(value)
     return df.select(
         value.cast("binary").alias("value"),
         F.lit(topic or ent.topic).alias("topic"),
-        F.pmod(F.xxhash64(F.col(ent.fields[0])), F.lit(partitions)).cast("int").alias("partition"),
+        F.pmod(F.xxhash64(value), F.lit(partitions)).cast("int").alias("partition"),
         off.alias("offset"),
         F.col("event_timestamp").alias("timestamp"),
     )

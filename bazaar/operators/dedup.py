@@ -1,7 +1,8 @@
 """Duplicate removal by key.
 
-Batch: one survivor per key, chosen deterministically as the smallest row
-(remaining columns compared left to right, NULL first).  It is written as an
+Batch: one survivor per key.  Rows with bronze lineage keep the first record of
+the log (smallest topic partition and offset); without lineage it is the
+smallest row (remaining columns compared left to right, NULL first).  It is written as an
 aggregate (``min`` of a struct), so Spark combines map-side before the
 shuffle: a key that holds a third of all rows leaves one row per map task,
 never one giant group in one task.
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 
 def dedup_batch(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
+    first = [c for c in ("partition", "offset") if c in df.columns and c not in keys]
+    rest = first + [c for c in df.columns if c not in keys and c not in first]
     if not rest:
         return df.dropDuplicates(keys)
     cols = df.columns

@@ -3,7 +3,7 @@
 All are hash aggregates (partial aggregation before the shuffle, so a hot
 day or product is pre-combined map-side).  ``distinct="exact"`` uses
 ``count_distinct`` (batch); ``distinct="approx"`` uses HyperLogLog++
-(``approx_count_distinct``, default rsd 0.05), the only form Spark accepts in
+(``approx_count_distinct``, rsd 0.02), the only form Spark accepts in
 a streaming aggregation.
 """
 
@@ -15,11 +15,15 @@ from pyspark.sql import functions as F
 from bazaar.functions.rounding import round2_avg, round2_sum
 
 
+#: Relative standard deviation of approximate distinct counts.
+APPROX_RSD = 0.02
+
+
 def _distinct(c: str, mode: str) -> Column:
     if mode == "exact":
         return F.count_distinct(F.col(c))
     if mode == "approx":
-        return F.approx_count_distinct(F.col(c))
+        return F.approx_count_distinct(F.col(c), APPROX_RSD)
     raise ValueError(f"distinct must be 'exact' or 'approx', got {mode!r}")
 
 

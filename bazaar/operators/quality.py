@@ -23,14 +23,13 @@ def readiness(tables: dict[str, DataFrame], min_rows: int = 1) -> DataFrame:
     return out.withColumn("ok", F.col("rows") >= min_rows)
 
 
-def compact(spark: SparkSession, path: str, out_path: str, partition_col: str = "event_date",
-            files_per_partition: int = 1) -> None:
+def compact(spark: SparkSession, path: str, out_path: str, partition_col: str = "event_date") -> None:
     """Rewrite a date-partitioned parquet table with few files per date.
 
-    Rows are hash-distributed on (date, bucket) so a hot date still spreads
-    over ``files_per_partition`` tasks.
+    Rows are rebalanced by date, so a hot date still spreads over several
+    tasks.
     """
     from bazaar.session import spread_by_date
     df = spark.read.parquet(path)
-    (spread_by_date(df, (partition_col,), files_per_partition).write.mode("overwrite")
+    (spread_by_date(df, (partition_col,)).write.mode("overwrite")
      .partitionBy(partition_col).parquet(out_path))

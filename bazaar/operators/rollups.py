@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,21 +22,17 @@ MIN_YEAR_EXCL = 2000
 MAX_YEAR_EXCL = 2030
 
 
-def avg6(c: str) -> Column:
-    """Unweighted mean, exact to six decimals (inputs are 2-decimal values)."""
-    return F.round(F.avg(F.col(c).cast("decimal(18,2)")), 6).cast("double")
-
-
 def normalize_event_date(df: DataFrame, col: str = "event_date") -> DataFrame:
     dt = df.schema[col].dataType
     return df.withColumn(col, _norm_col(col, dt))
 
 
-def sane_dates(df: DataFrame, col: str = "event_date") -> DataFrame:
-    """Keep rows with MIN_YEAR < year < MAX_YEAR, written as a date range so
-    the predicate can prune partitions / row groups."""
-    lo = F.lit(f"{MIN_YEAR_EXCL + 1}-01-01").cast("date")
-    hi = F.lit(f"{MAX_YEAR_EXCL}-01-01").cast("date")
+def sane_dates(df: DataFrame, col: str = "event_date", after_year: int = MIN_YEAR_EXCL,
+               before_year: int = MAX_YEAR_EXCL) -> DataFrame:
+    """Keep rows with after_year < year < before_year, written as a date range
+    so the predicate can prune partitions / row groups."""
+    lo = F.lit(f"{after_year + 1:04d}-01-01").cast("date")
+    hi = F.lit(f"{before_year:04d}-01-01").cast("date")
     return df.where(F.col(col).isNotNull() & (F.col(col) >= lo) & (F.col(col) < hi))
 
 
@@ -45,21 +41,21 @@ def traffic_daily(traffic_kpi: DataFrame, keys: Sequence[str] = ()) -> DataFrame
         F.sum("total_sessions").alias("total_sessions"),
         F.sum("unique_visitors").alias("unique_visitors"),
         F.sum("page_views").alias("page_views"),
-        avg6("avg_pages_per_session").alias("avg_pages_per_session"))
+        F.avg("avg_pages_per_session").alias("avg_pages_per_session"))
 
 
 def payment_daily(payment_analytics: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return payment_analytics.groupBy("event_date", *keys).agg(
         F.sum("total_transactions").alias("total_transactions"),
         F.round(F.sum("payment_total"), 2).alias("payment_total"),
-        avg6("avg_payment").alias("avg_payment"),
+        F.avg("avg_payment").alias("avg_payment"),
         F.sum("fraud_transactions").alias("fraud_transactions"))
 
 
 def inventory_daily(inventory_kpi: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return inventory_kpi.groupBy("event_date", *keys).agg(
         F.sum("units_sold").alias("inv_units_sold"),
-        avg6("avg_stock").alias("avg_stock"))
+        F.avg("avg_stock").alias("avg_stock"))
 
 
 def returns_daily(returns_kpi: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -71,7 +67,7 @@ def returns_daily(returns_kpi: DataFrame, keys: Sequence[str] = ()) -> DataFrame
 def reviews_daily(review_analytics: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return review_analytics.groupBy("event_date", *keys).agg(
         F.sum("total_reviews").alias("total_reviews"),
-        avg6("avg_rating").alias("avg_rating"))
+        F.avg("avg_rating").alias("avg_rating"))
 
 
 def date_spine(daily: DataFrame, keys: Sequence[str] = (), gap_fill: bool = False) -> DataFrame:
@@ -92,7 +88,7 @@ def fill_numeric(df: DataFrame, value=0) -> DataFrame:
 def feature_table(daily_sales: DataFrame, traffic: DataFrame, payments: DataFrame,
                   inventory: DataFrame, returns: DataFrame, reviews: DataFrame,
                   keys: Sequence[str] = (), gap_fill: bool = False,
-                  unique_days: bool = True) -> DataFrame:
+                  unique_days: bool = True, years: tuple[int, int] = (MIN_YEAR_EXCL, MAX_YEAR_EXCL)) -> DataFrame:
     """Spine + six left joins on the day (USING semantics) + NULL -> 0.
 
     ``unique_days``: the daily-sales input has one row per day (and series
@@ -100,7 +96,7 @@ def feature_table(daily_sales: DataFrame, traffic: DataFrame, payments: DataFram
     daily sales" is daily sales itself and it is computed once.  Pass False
     for an input that may repeat a day after date normalisation.
     """
-    ds = sane_dates(normalize_event_date(daily_sales))
+    ds = sane_dates(normalize_event_date(daily_sales), "event_date", *years)
     on = ["event_date", *keys]
     if unique_days and not gap_fill:
         out, first = ds, 1

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaar.functions.rounding import round2_avg, round2_sum
+from bazaar.operators.gold import APPROX_RSD
 
 # Inventory states that raise an alert; the dashboard's
 # display time zone.
@@ -33,7 +34,7 @@ def sales_kpi(order_items: DataFrame, window: str = "1 day", distinct: str | Non
     """Tumbling-window sales (window_start, window_end, revenue, orders, AOV)."""
     mode = distinct or ("approx" if order_items.isStreaming else "exact")
     orders = (F.count_distinct("order_id") if mode == "exact"
-              else F.approx_count_distinct("order_id"))
+              else F.approx_count_distinct("order_id", APPROX_RSD))
     g = order_items.groupBy(F.window("event_timestamp", window).alias("w")).agg(
         round2_sum("item_total").alias("total_revenue"),
         orders.alias("total_orders"),
@@ -83,8 +84,8 @@ def customer_metrics(orders: DataFrame, payments: DataFrame) -> DataFrame:
     that hash partitioning (no further exchange), and a customer with a third
     of all orders is pre-combined map-side by the final aggregate.
     """
-    per_order = orders.groupBy("order_id").agg(
-        F.min("customer_id").alias("customer_id"), F.min("order_date").alias("order_date"))
+    one = F.min(F.struct("order_date", "customer_id")).alias("o")  # one row of the order
+    per_order = orders.groupBy("order_id").agg(one).select("order_id", "o.customer_id", "o.order_date")
     paid = payments.groupBy("order_id").agg(
         F.sum("payment_value").alias("paid"), F.count(F.lit(1)).alias("n_payments"))
     j = per_order.join(paid, "order_id", "left")

@@ -27,6 +27,10 @@ LOW_STOCK_LEVEL = 20
 OVERSTOCK_LEVEL = 500
 HIGH_TRAFFIC_SESSIONS = 1000
 
+# Bronze columns that silver rows keep.
+LINEAGE = ("raw_json", "topic", "partition", "offset", "kafka_timestamp", "bronze_ingest_time",
+           "bronze_layer", "data_source")
+
 
 def typed(df: DataFrame, ent: Entity, id_type: str = "bigint") -> DataFrame:
     """Convert wire/typed columns to silver types in one projection."""
@@ -49,14 +53,15 @@ def typed(df: DataFrame, ent: Entity, id_type: str = "bigint") -> DataFrame:
             out.append(F.col(f).cast("string").alias(f))
     if "event_timestamp" in dt:
         ts = event_time("event_timestamp", dt["event_timestamp"])
-    elif ent.event_column in dt:
+    elif ent.event_column in dt and ent.event_column not in ID_COLUMNS:
         # wire rows without bronze lineage (e.g. a CSV export): the event time
         # comes from the entity's declared event column
         ts = event_time(ent.event_column, dt[ent.event_column])
     else:
         ts = F.lit(None).cast("timestamp")
     ts = ts.alias("event_timestamp")
-    base = df.select(*out, ts)
+    lineage = [c for c in LINEAGE if c in dt]
+    base = df.select(*out, ts, *lineage)
     return base.withColumn("event_date", F.to_date("event_timestamp"))
 
 

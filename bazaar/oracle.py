@@ -3,8 +3,8 @@
 These texts are the executable specification the Spark operators are checked
 against: same inputs (the driver tables), same column names, independently
 written logic (window-function de-duplication, CASE ladders, GROUP BY).
-Rounded averages go through DECIMAL so both engines round half-up on the
-exact value.
+Rounded averages go through DECIMAL with ten places so both engines round
+half-up on the exact value.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from bazaar.specs import ENTITIES, ID_COLUMNS
 
 
 def r2avg(x: str) -> str:
-    return f"CAST(round(CAST(avg(CAST({x} AS DECIMAL(18,2))) AS DECIMAL(28,8)), 2) AS DOUBLE)"
+    mean = f"CAST(round(CAST(avg(TRY_CAST({x} AS DECIMAL(28,10))) AS DECIMAL(28,10)), 2) AS DOUBLE)"
+    return f"CASE WHEN bool_or(isnan(CAST({x} AS DOUBLE))) THEN CAST('NaN' AS DOUBLE) ELSE {mean} END"
 
 
 def r2sum(x: str) -> str:
@@ -147,8 +148,9 @@ CUSTOMER_METRICS_SQL = (
     " coalesce(round(sum(paid), 2), 0) AS total_spent,"
     " CAST(coalesce(sum(n_payments), 0) AS BIGINT) AS total_payments,"
     " min(order_date) AS first_order_date, max(order_date) AS last_order_date"
-    f" FROM (SELECT order_id, min(customer_id) AS customer_id, min(order_date) AS order_date"
-    f"       FROM ({silver_sql('orders')}) so GROUP BY order_id) o"
+    f" FROM (SELECT order_id, customer_id, order_date FROM ({silver_sql('orders')}) so"
+    "        QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY order_date NULLS FIRST,"
+    "          customer_id NULLS FIRST) = 1) o"
     f" LEFT JOIN (SELECT order_id, sum(payment_value) AS paid, count(*) AS n_payments"
     f"       FROM ({silver_sql('payments')}) sp GROUP BY order_id) p USING (order_id)"
     " GROUP BY customer_id")
@@ -197,7 +199,7 @@ def serving_sql() -> dict[str, str]:
 
 # --- daily roll-ups, feature table, time-series features --------------------
 def avg6(x: str) -> str:
-    return f"CAST(round(CAST(avg(CAST({x} AS DECIMAL(18,2))) AS DECIMAL(28,8)), 6) AS DOUBLE)"
+    return f"round(avg({x}), 6)"
 
 
 def i64sum(x: str) -> str:
@@ -354,6 +356,73 @@ def bronze_sql() -> dict[str, str]:
     return out
 
 
+_EVENT_PAYMENTS = (
+    "SELECT event_id AS order_id, event_type AS payment_method, value AS payment_value, 1 AS installments,"
+    " CAST(ts AS TIMESTAMP) AS event_timestamp FROM events")
+
+
+def wire_sql() -> dict[str, str]:
+    return {
+        "wire_subsecond_payments": (
+            "SELECT DISTINCT *, CAST(event_timestamp AS DATE) AS event_date,"
+            " CASE WHEN payment_value >= 500 THEN 'HIGH_VALUE' ELSE 'NORMAL' END AS payment_category,"
+            " CASE WHEN payment_value >= 2000 THEN 1 ELSE 0 END AS fraud_flag, 'silver' AS silver_layer"
+            f" FROM ({_EVENT_PAYMENTS} UNION ALL SELECT order_id, payment_method, payment_value, installments,"
+            f" event_timestamp + INTERVAL 100 MILLISECOND FROM ({_EVENT_PAYMENTS}) p) u WHERE payment_value > 0"),
+        "bronze_enriched_orders": (
+            "SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS event_timestamp,"
+            " CAST(o_orderdate AS DATE) AS event_date, 'orders_topic' AS data_source FROM orders"),
+        "csv_like_order_items": (
+            "SELECT order_id, product_id, seller_id, price, freight_value, true AS no_event_time FROM ("
+            " SELECT l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS seller_id,"
+            " l_extendedprice AS price, l_quantity AS freight_value, row_number() OVER (PARTITION BY l_orderkey, l_partkey"
+            " ORDER BY l_suppkey, l_extendedprice, l_quantity) AS rn FROM lineitem) x WHERE rn = 1"),
+        "fine_means": (
+            "SELECT l_partkey AS product_id, CASE WHEN bool_or(l_linenumber = 6 AND l_orderkey % 97 = 0)"
+            " THEN CAST('NaN' AS DOUBLE) ELSE CAST(round(CAST(avg(CAST(round(l_extendedprice / 1000, 4)"
+            " AS DECIMAL(28,10))) AS DECIMAL(28,10)), 2) AS DOUBLE) END AS avg_price FROM lineitem GROUP BY l_partkey"),
+    }
+
+
+def model_sql() -> dict[str, str]:
+    """What of the models' outputs any engine can repeat."""
+    reviews = silver_sql("reviews")
+    lagged = _ft(
+        "SELECT event_date, actual, predicted, CASE WHEN rn <= floor(n * 0.7) THEN 'train'"
+        " WHEN rn <= floor(n * 0.85) THEN 'val' ELSE 'test' END AS split FROM ("
+        "  SELECT *, row_number() OVER (ORDER BY event_date) AS rn, count(*) OVER () AS n FROM ("
+        "   SELECT event_date, total_revenue AS actual, lag(total_revenue, 7) OVER (ORDER BY event_date) AS predicted,"
+        "   row_number() OVER (ORDER BY event_date) AS k FROM ft) a WHERE k > 28) b")
+    return {
+        "als_factor_counts": (
+            f"SELECT 'user' AS side, count(DISTINCT customer_id) AS n, 15 AS rank FROM ({reviews}) r UNION ALL"
+            f" SELECT 'item', count(DISTINCT product_id), 15 FROM ({reviews}) r2"),
+        "als_scored_pairs": (
+            f"SELECT customer_id, product_id, count(*) AS n, count(*) AS n_finite FROM ({reviews}) r"
+            " GROUP BY customer_id, product_id"),
+        "forecast_calendar": (
+            f"SELECT last_date + CAST(h AS INT) AS event_date, CAST(h AS INT) AS horizon, true AS non_negative FROM"
+            f" (SELECT max(event_date) AS last_date FROM ({SPLIT_SQL}) s), (SELECT unnest(range(1, 31)) AS h)"),
+        "gold_approx_within_10pct": (
+            f"SELECT event_date, true AS close FROM ({gold_sql('daily_sales')}) g"),
+        "lag_forecast": f"SELECT event_date, split, actual, predicted FROM ({lagged}) l",
+        "lag_forecast_metrics": (
+            "SELECT split, count(*) AS rows, round(sqrt(avg((actual - predicted) ** 2)), 4) AS rmse,"
+            " round(avg(abs(actual - predicted)), 4) AS mae,"
+            " round(1 - sum((actual - predicted) ** 2) / (var_pop(actual) * count(*)), 6) AS r2,"
+            " round(avg(abs((actual - predicted) / (actual + 1e-9))) * 100, 4) AS mape"
+            f" FROM ({lagged}) l GROUP BY split"),
+        "lag_forecast_residual_hist": (
+            f"WITH l AS (SELECT split, actual - predicted AS r FROM ({lagged}) x WHERE split <> 'train'),"
+            " e AS (SELECT split, min(r) AS lo, max(r) AS hi FROM l GROUP BY split),"
+            " c AS (SELECT split, least(30, 1 + CAST(floor((r - lo) / (hi - lo) * 30) AS INT)) AS bin, count(*) AS n"
+            "  FROM l JOIN e USING (split) GROUP BY ALL)"
+            " SELECT e.split, CAST(b AS INT) AS bin, round(lo + (b - 1) * (hi - lo) / 30, 4) AS bin_start,"
+            " coalesce(c.n, 0) AS count FROM e CROSS JOIN (SELECT unnest(range(1, 31)) AS b) s"
+            " LEFT JOIN c ON c.split = e.split AND c.bin = b"),
+    }
+
+
 _JOURNEY_STEPS = [
     ("orders", "ORDER_CREATED", 1, "NULL", "NULL"),
     ("order_items", "ITEM_ADDED", 2, "CAST(product_id AS VARCHAR)", "item_total"),

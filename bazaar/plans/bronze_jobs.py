@@ -4,19 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from bazaar.functions import lenient_int
+from bazaar.functions.rounding import round2_avg
 from bazaar.operators import bronze as B
-from bazaar.operators.silver import silver
+from bazaar.operators import publish
+from bazaar.operators.silver import LINEAGE, silver
 from bazaar.sources import testdata
 
 
 def roundtrip_silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Typed entity -> JSON envelope -> bronze parse -> silver.
 
-    Must equal the silver table built directly from the typed rows.
+    Must equal the silver table built directly from the typed rows; topic
+    positions are left out, so that the survivor is chosen as there.
     """
     env = B.to_wire(testdata.entity(spark, sf_dir, name), name)
-    return silver(name, B.parse_envelope(env, name))
+    return silver(name, B.parse_envelope(env, name).drop("partition", "offset")).drop(*LINEAGE)
 
 
 def events_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +35,45 @@ def events_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = raw.select("*", F.from_json("raw_json", "k STRING").alias("data"))
     return p.select(F.col("offset").alias("event_id"), "kafka_timestamp", "raw_json",
                     F.col("data.k").alias("k"),
-                    F.regexp_extract(F.trim("data.k"), r"^([+-]?\d+)(\.\d*)?$", 1).try_cast("int")
-                    .alias("k_int"))
+                    lenient_int("data.k", T.StringType()).alias("k_int"))
+
+
+def subsecond_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments stamped with the events' microseconds, through the wire and back."""
+    ev = testdata.table(spark, sf_dir, "events")
+    pay = ev.select(F.col("event_id").alias("order_id"), F.col("event_type").alias("payment_method"),
+                    F.col("value").alias("payment_value"), F.lit(1).alias("installments"),
+                    F.col("ts").cast("timestamp").alias("event_timestamp"))
+    two = pay.unionByName(pay.withColumn("event_timestamp", F.col("event_timestamp") + F.expr("INTERVAL '0.1' SECOND")))
+    return silver("payments", B.parse_envelope(B.to_wire(two, "payments"), "payments")).drop(*LINEAGE)
+
+
+def enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a producer sends them, with the send clock as ``event_time``:
+    the order's own date must give the event time."""
+    sent = publish.enrich(publish.json_safe(testdata.entity(spark, sf_dir, "orders").drop("event_timestamp")),
+                          "ORDER_CREATED", 1)
+    env = publish.to_json_value(sent).select(
+        F.col("value").cast("binary").alias("value"), F.lit("orders_topic").alias("topic"), F.lit(0).alias("partition"),
+        F.lit(0).cast("long").alias("offset"), F.current_timestamp().alias("timestamp"))
+    return B.parse_envelope(env, "orders").select("order_id", "event_timestamp", "event_date", "data_source")
+
+
+def csv_like_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order items as an export has them: text, and no time column.  The order
+    id must not be read as a year."""
+    items = testdata.entity(spark, sf_dir, "order_items").drop("event_timestamp")
+    out = silver("order_items", items.select(*[F.col(c).cast("string").alias(c) for c in items.columns]))
+    return out.select("order_id", "product_id", "seller_id", "price", "freight_value",
+                      F.col("event_timestamp").isNull().alias("no_event_time"))
+
+
+def fine_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean price per product over prices with many decimals and some NaN."""
+    li = testdata.table(spark, sf_dir, "lineitem")
+    nan = (F.col("l_linenumber") == 6) & (F.col("l_orderkey") % 97 == 0)
+    price = F.when(nan, F.lit(float("nan"))).otherwise(F.round(F.col("l_extendedprice") / 1000, 4))
+    return li.groupBy(F.col("l_partkey").alias("product_id")).agg(round2_avg(price).alias("avg_price"))
 
 
 def rejects_demo(spark: SparkSession, sf_dir: str) -> DataFrame:

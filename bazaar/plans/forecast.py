@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +29,13 @@ HIST_PLOT_DAYS = 60
 MAPE_EPS = 1e-9
 
 # Booster settings of the revenue model (trees, learning rate,
-# depth, min rows per leaf, row / column sampling, seed).  Training stops as
-# soon as the validation error stops improving (validationTol 0).
+# depth, min rows per leaf, row / column sampling, seed), and the rounds without
+# a better validation error after which training stops.
 GBT_PARAMS = dict(maxIter=500, stepSize=0.05, maxDepth=6, minInstancesPerNode=3,
                   subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=42,
-                  minInfoGain=0.0, validationTol=0.0)
+                  minInfoGain=0.0)
+PATIENCE = 30
+FIRST_ROUNDS = 100
 
 
 @dataclass
@@ -42,19 +44,55 @@ class Fit:
     features: list[str]
     frame: DataFrame          # model frame with split labels
     keys: tuple[str, ...]
+    rounds: int = 0           # best number of boosting rounds
 
 
 def train(frame: DataFrame, target: str = TARGET, keys: Sequence[str] = (),
           leakage: str = "reference", **params) -> Fit:
-    """Fit on train, early-stop on val (Spark's validation indicator)."""
+    """Fit on train; the number of trees is that of the best validation error
+    before ``PATIENCE`` rounds in a row bring no better one."""
     feats = TS.feature_columns(frame, target, leakage, keys)
     cfg = {**GBT_PARAMS, **params}
-    data = frame.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
-    gbt = GBTRegressor(featuresCol="features", labelCol=target, predictionCol="prediction",
-                       validationIndicatorCol="is_val", **cfg)
     asm = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
-    model = Pipeline(stages=[asm, gbt]).fit(data)
-    return Fit(model, feats, frame, tuple(keys))
+    data = asm.transform(frame).select("features", F.col(target).cast("double").alias(target), "split")
+    learn, check = data.where("split = 'train'").persist(), data.where("split = 'val'").persist()
+
+    def booster(rounds: int):
+        return GBTRegressor(featuresCol="features", labelCol=target, predictionCol="prediction",
+                            **{**cfg, "maxIter": rounds}).fit(learn)
+    try:
+        rounds = min(FIRST_ROUNDS, cfg["maxIter"])
+        while True:
+            model = booster(rounds)
+            best, stopped = best_round(model.evaluateEachIteration(check, "squared"), PATIENCE)
+            if stopped or rounds >= cfg["maxIter"]:
+                break
+            rounds = min(2 * rounds, cfg["maxIter"])
+        if best + 1 < rounds:
+            model = booster(best + 1)
+    finally:
+        learn.unpersist()
+        check.unpersist()
+    return Fit(PipelineModel([asm, model]), feats, frame, tuple(keys), best + 1)
+
+
+def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Index of the best error before ``patience`` rounds without a better one,
+    and whether that many rounds followed it."""
+    best = 0
+    for k, e in enumerate(errors):
+        if e < errors[best]:
+            best = k
+        elif k - best >= patience:
+            return best, True
+    return best, False
+
+
+def lag_predictions(frame: DataFrame, lag: int = 7, target: str = TARGET) -> DataFrame:
+    """The series of ``predictions`` for "as ``lag`` rows ago", a baseline that
+    any engine can repeat."""
+    return frame.select("event_date", "split", F.col(target).alias("actual"),
+                        F.col(f"revenue_lag_{lag}").alias("predicted"))
 
 
 def predictions(fit: Fit, target: str = TARGET) -> DataFrame:
@@ -95,21 +133,21 @@ def residual_histogram(pred: DataFrame, bins: int = 30) -> DataFrame:
     b = F.when(F.col("hi") > F.col("lo"),
                F.least(F.width_bucket("residual", "lo", "hi", F.lit(bins)), F.lit(bins))
                ).otherwise(F.lit(1))
-    return (j.withColumn("bin", b).groupBy("split", "bin")
-            .agg(F.count(F.lit(1)).alias("count"), F.min("lo").alias("lo"), F.min("hi").alias("hi"))
+    counts = j.withColumn("bin", b).groupBy("split", "bin").agg(F.count(F.lit(1)).alias("count"))
+    every = rng.select("split", "lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
+    return (every.join(F.broadcast(counts), ["split", "bin"], "left")  # at most splits x bins rows
             .withColumn("bin_start", F.col("lo") + (F.col("bin") - 1) * (F.col("hi") - F.col("lo")) / bins)
-            .select("split", "bin", "bin_start", "count"))
+            .select("split", "bin", "bin_start", F.coalesce("count", F.lit(0).cast("long")).alias("count")))
 
 
 def summary(spark: SparkSession, fit: Fit, met: DataFrame) -> DataFrame:
-    """One-row run record: trees kept, feature count, rows and metrics."""
-    gbt = fit.model.stages[-1]
-    trees = len(gbt.trees)
+    """One-row run record: best round, trees, feature count, rows and metrics."""
+    trees = len(fit.model.stages[-1].trees)
     piv = met.groupBy().pivot("split", ["train", "val", "test"]).agg(
         F.first("rows").alias("rows"), F.round(F.first("rmse"), 4).alias("rmse"),
         F.round(F.first("mae"), 4).alias("mae"), F.round(F.first("r2"), 4).alias("r2"),
         F.round(F.first("mape"), 4).alias("mape"))
-    return piv.select(F.lit(trees).alias("trees"), F.lit(len(fit.features)).alias("n_features"), "*")
+    return piv.select(F.lit(fit.rounds).alias("best_round"), F.lit(trees).alias("trees"), F.lit(len(fit.features)).alias("n_features"), "*")
 
 
 def _arr_mean(a):
@@ -204,15 +242,15 @@ def load(path: str) -> PipelineModel:
 _CACHE: dict = {}
 
 
-def fitted(spark: SparkSession, sf_dir: str, keys: Sequence[str] = ()) -> Fit:
+def fitted(spark: SparkSession, sf_dir: str, keys: Sequence[str] = (), leakage: str = "reference") -> Fit:
     from bazaar.plans.features import model_frame
-    k = (id(spark), sf_dir, tuple(keys))
-    if k not in _CACHE:
+    k = (spark.sparkContext.applicationId, sf_dir, tuple(keys))
+    if (*k, leakage) not in _CACHE:
         shared_dir(spark)
         # the frame is scanned by training, scoring and the forecast: store it
         # once (reliable checkpoint in the shared folder) instead of
         # recomputing the whole gold -> feature lineage each time
-        frame = model_frame(spark, sf_dir, keys).checkpoint()
-        _CACHE[k] = train(frame, keys=keys)
-    return _CACHE[k]
-
+        if k not in _CACHE:
+            _CACHE[k] = model_frame(spark, sf_dir, keys).checkpoint()
+        _CACHE[*k, leakage] = train(_CACHE[k], keys=keys, leakage=leakage)
+    return _CACHE[*k, leakage]

@@ -13,59 +13,65 @@ from bazaar.operators import bronze as B
 from bazaar.operators import gold as G
 from bazaar.operators.gold import GOLD
 from bazaar.operators.silver import silver
-from bazaar.session import cap_listing, spread_by_date
-from bazaar.specs import ENTITIES, ENVELOPE_SCHEMA
-from bazaar.streaming import jobs, sinks
-from bazaar.streaming.jobs import bronze_schema, silver_schema
+from bazaar.session import spread_by_date
+from bazaar.specs import ENVELOPE_SCHEMA
+from bazaar.streaming import jobs
+from bazaar.streaming.jobs import silver_schema
 
 
-def _write(df: DataFrame, path: str, files_per_date: int = 1) -> None:
-    (spread_by_date(df, ("event_date",), files_per_date).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path))
+def _write(df: DataFrame, path: str) -> None:
+    """Replace the whole table, so days that are gone from the input go."""
+    (spread_by_date(df).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("event_date").parquet(path))
 
 
-def build_batch(spark: SparkSession, inputs: dict[str, str], base: str,
-                files_per_date: int = 1) -> None:
+def build_batch(spark: SparkSession, inputs: dict[str, str], base: str) -> None:
     """Envelope files per entity -> bronze -> silver -> gold tables (batch).
 
     Each layer is written and re-read, so later layers start from the stored
-    table (lineage cut, partitions pruned by date)."""
+    table (lineage cut, partitions pruned by date).  A rebuild replaces every
+    table."""
     for e, src in inputs.items():
         _write(B.parse_envelope(spark.read.schema(ENVELOPE_SCHEMA).parquet(src), e, clock=True),
-               f"{base}/bronze/{e}", files_per_date)
-        _write(silver(e, spark.read.parquet(f"{base}/bronze/{e}"), clock=True),
-               f"{base}/silver/{e}", files_per_date)
+               f"{base}/bronze/{e}")
+        _write(silver(e, spark.read.parquet(f"{base}/bronze/{e}"), clock=True), f"{base}/silver/{e}")
     for t, (src, _) in GOLD.items():
         if src in inputs:
-            _write(G.build(t, spark.read.parquet(f"{base}/silver/{src}")), f"{base}/gold/{t}", files_per_date)
+            _write(G.build(t, spark.read.parquet(f"{base}/silver/{src}")), f"{base}/gold/{t}")
 
 
-def start_streaming(spark: SparkSession, inputs: dict[str, str], base: str, trigger=None,
-                    watermark: str | None = None, gold: str = "incremental") -> list:
+def stored_gold(spark: SparkSession, base: str, tables=GOLD) -> dict[str, DataFrame]:
+    """The stored gold tables under ``base`` (for features, serving, readiness)."""
+    return {t: spark.read.parquet(f"{base}/gold/{t}") for t in tables}
+
+
+def start_streaming(spark: SparkSession, inputs: dict[str, str | DataFrame], base: str, trigger=None,
+                    watermark: str | None = None, gold: str = "incremental",
+                    files_per_date: int | None = None) -> list:
     """Start 8 bronze + 8 silver queries and the gold jobs: one incremental
     job per silver table (6, shared scans) or, with ``gold="complete"``, one
     stateful query per gold table (9).
 
+    An input is a folder of envelope files or an envelope stream (Kafka).
     Silver and gold read their upstream tables as streams with declared
     schemas, so all queries can start before any data exists.  With the
-    default availableNow trigger each query ends once its input is consumed;
-    with a processing-time trigger use ``spark.streams.awaitAnyTermination()``.
+    default availableNow trigger a layer starts when the one below has
+    consumed its input; with a processing-time trigger all run together: use
+    ``sinks.run_until_any_stops``.
     """
-    cap_listing(spark)
     ck = f"{base}/_checkpoints"
-    qs = []
-    for e, src in inputs.items():
-        qs.append(jobs.bronze_job(spark, e, src, f"{base}/bronze/{e}", f"{ck}/bronze/{e}", trigger))
-    for q in qs:
-        if trigger in (None, "availableNow"):
-            q.awaitTermination()
-    for e in inputs:
-        df = silver(e, spark.readStream.schema(bronze_schema(spark, e)).parquet(f"{base}/bronze/{e}"),
-                    watermark=watermark, clock=True)
-        q = sinks.start_append(df, f"{base}/silver/{e}", f"{ck}/silver/{e}", trigger, name=f"silver_{e}")
-        qs.append(q)
-        if trigger in (None, "availableNow"):
-            q.awaitTermination()
+    once = trigger in (None, "availableNow", "once")
+
+    def finished(queries):
+        for q in queries:
+            if once:
+                q.awaitTermination()
+        return queries
+
+    qs = finished([jobs.bronze_job(spark, e, src, f"{base}/bronze/{e}", f"{ck}/bronze/{e}", trigger,
+                                   files_per_date=files_per_date) for e, src in inputs.items()])
+    qs += finished([jobs.silver_job(spark, e, f"{base}/bronze/{e}", f"{base}/silver/{e}", f"{ck}/silver/{e}",
+                                    trigger, watermark, files_per_date) for e in inputs])
     if gold == "incremental":
         # one job per silver table: its touched days are read once for all
         # of its gold tables (shared scan)
@@ -83,6 +89,3 @@ def start_streaming(spark: SparkSession, inputs: dict[str, str], base: str, trig
                                                  f"{ck}/gold/{t}", trigger, silver_schema(spark, src)))
     return qs
 
-
-def entities() -> list[str]:
-    return list(ENTITIES)

@@ -55,7 +55,7 @@ def implicit_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer.  Orders are first reduced to one row per order_id, so the join
     is many-to-one and both sides shuffle on order_id only once."""
     o = silver_table(spark, sf_dir, "orders").groupBy("order_id").agg(
-        F.min("customer_id").alias("customer_id"))
+        F.min(F.struct("order_date", "customer_id"))["customer_id"].alias("customer_id"))
     i = silver_table(spark, sf_dir, "order_items").select("order_id", "product_id")
     return i.join(o, "order_id").groupBy("customer_id", "product_id").agg(
         F.count(F.lit(1)).cast("float").alias("purchases"))
@@ -70,11 +70,23 @@ def train(ratings: DataFrame, rating_col: str, implicit: bool) -> Recommender:
     return Recommender(model, customers, products)
 
 
+def save(r: Recommender, path: str) -> None:
+    """Model and id maps together."""
+    r.model.write().overwrite().save(f"{path}/model")
+    r.customers.write.mode("overwrite").parquet(f"{path}/customers")
+    r.products.write.mode("overwrite").parquet(f"{path}/products")
+
+
+def load(spark: SparkSession, path: str) -> Recommender:
+    return Recommender(ALSModel.load(f"{path}/model"), spark.read.parquet(f"{path}/customers"),
+                       spark.read.parquet(f"{path}/products"))
+
+
 _CACHE: dict = {}
 
 
 def fitted(spark: SparkSession, sf_dir: str, implicit: bool = False) -> Recommender:
-    k = (id(spark), sf_dir, implicit)
+    k = (spark.sparkContext.applicationId, sf_dir, implicit)
     if k not in _CACHE:
         shared_dir(spark)
         if implicit:
@@ -102,10 +114,18 @@ def parse_user_events(env: DataFrame) -> DataFrame:
                     F.col("e.product_id").cast("bigint").alias("product_id"))
 
 
+def score_stream(r: Recommender, events: DataFrame, out: str, ckpt: str, trigger=None):
+    """Score a stream of user events (any envelope stream, Kafka or files)
+    with a fitted or loaded model into a parquet table."""
+    from bazaar.streaming.sinks import start_append
+
+    scored = score(r, parse_user_events(events)).withColumnRenamed("customer_id", "user_id")
+    return start_append(scored, out, ckpt, trigger, partition_by=(), name="als_scores")
+
+
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish review pairs as user events, score them with a streaming
     query (availableNow) into a parquet table, return that table."""
-    from bazaar.streaming.sinks import start_append
     from bazaar.streaming.sources import envelope_stream
 
     model = fitted(spark, sf_dir)
@@ -115,9 +135,8 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(0).alias("partition"), F.lit(0).cast("long").alias("offset"),
                        F.col("event_timestamp").alias("timestamp"))
     src = scratch_path(spark, "in-user-events")
-    env.repartition(4).write.parquet(src)
+    env.write.parquet(src)
     out = scratch_path(spark, "scores")
-    scored = score(model, parse_user_events(envelope_stream(spark, src)))
-    q = start_append(scored, out, out + "-ckpt", partition_by=(), name="als_scores")
+    q = score_stream(model, envelope_stream(spark, src), out, out + "-ckpt")
     q.awaitTermination()
     return spark.read.parquet(out)

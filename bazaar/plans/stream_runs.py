@@ -12,13 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.operators import bronze as B
-from bazaar.session import cap_listing, scratch_path
+from bazaar.operators.silver import LINEAGE
+from bazaar.session import scratch_path, tune_local
 from bazaar.sources import testdata
 from bazaar.streaming import jobs
 from bazaar.streaming import sinks
 
-INPUT_FILES = 4
-
 
 def publish_files(spark: SparkSession, sf_dir: str, entity: str, duplicate_every: int = 0) -> str:
     """Typed entity -> envelope parquet files (optionally with exact copies of
@@ -29,7 +28,7 @@ def publish_files(spark: SparkSession, sf_dir: str, entity: str, duplicate_every
         again = B.to_wire(df.where(F.col("order_id") % duplicate_every == 0), entity)
         env = env.unionByName(again)
     path = scratch_path(spark, f"in-{entity}")
-    env.repartition(INPUT_FILES).write.parquet(path)
+    env.write.parquet(path)
     return path
 
 
@@ -41,7 +40,7 @@ def _run(q) -> None:
 
 def bronze_silver(spark: SparkSession, sf_dir: str, entity: str, duplicate_every: int = 0,
                   watermark: str | None = None) -> str:
-    cap_listing(spark)
+    tune_local(spark)
     src = publish_files(spark, sf_dir, entity, duplicate_every)
     bronze = scratch_path(spark, f"bronze-{entity}")
     silver = scratch_path(spark, f"silver-{entity}")
@@ -53,7 +52,7 @@ def bronze_silver(spark: SparkSession, sf_dir: str, entity: str, duplicate_every
 def stream_silver(spark: SparkSession, sf_dir: str, entity: str = "order_items",
                   **kw) -> DataFrame:
     path = bronze_silver(spark, sf_dir, entity, **kw)
-    return spark.read.parquet(path).drop("processing_time")
+    return spark.read.parquet(path).drop("processing_time", *LINEAGE)
 
 
 def stream_gold_exact(spark: SparkSession, sf_dir: str, table: str = "daily_sales") -> DataFrame:

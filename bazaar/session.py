@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -41,37 +40,39 @@ def get_spark(master: str | None = None, app: str = "bazaar",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if LISTING_KEY not in conf:
-        cap_listing(spark)
+    tune_local(spark)
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (tests, the bench)."""
+    try:
+        return spark.sparkContext.master.split("[")[0] == "local"
+    except Exception:  # sessions without the classic context API
+        return False
+
+
 LISTING_KEY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-LISTING_DEFAULT = "10000"
 
 
-def cap_listing(spark: SparkSession) -> None:
-    """Listing a date-partitioned table runs one task per directory unless
-    capped; cap it at one task per core.  Only a session still at Spark's
-    default is changed (a pure performance setting, no effect on results)."""
-    if spark.conf.get(LISTING_KEY, LISTING_DEFAULT) != LISTING_DEFAULT:
-        return
-    try:
-        cores = spark.sparkContext.defaultParallelism
-    except Exception:  # sessions without the classic context API
-        return
-    spark.conf.set(LISTING_KEY, str(max(cores, 8)))
+def tune_local(spark: SparkSession) -> None:
+    """In one process, listing a table of thousands of tiny date folders by a
+    task each costs more than reading it: use one task per core there.  A
+    cluster's setting is left alone."""
+    if is_local(spark):
+        spark.conf.set(LISTING_KEY, str(spark.sparkContext.defaultParallelism))
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) do we create one under the
-    system temp folder and register it, so that every later caller in this
-    session sees the same folder.
+    Without the setting a local session gets a folder under the system temp
+    folder; on a cluster that would be each machine's own, so it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="bazaar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:
@@ -88,29 +89,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def spread_by_date(df, partition_cols=("event_date",), files_per_partition: int = 1):
-    """Distribute rows for a date-partitioned write.
+def spread_by_date(df, partition_cols=("event_date",)):
+    """Bring each date's rows together for a date-partitioned batch write.
 
-    Hash on (date, bucket) with an explicit partition count: every date's rows
-    go to ``files_per_partition`` tasks (about that many files per date), and
-    distinct dates spread over all tasks.  The explicit count keeps adaptive
-    execution from merging everything into one task that would then write
-    every date's file one after the other.
+    A rebalance: adaptive execution splits a hot date by size over several
+    tasks and merges small dates, so files have about the advisory size
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``).
     """
+    return df.hint("rebalance", *partition_cols)
+
+
+def cluster_by_date(df, partition_cols=("event_date",), files_per_date: int = 1):
+    """The same for a stream's backfill, where nothing adapts at run time:
+    hash on (date, bucket), so a date is written by ``files_per_date`` tasks."""
     from pyspark.sql import functions as F
     n = shuffle_partitions(df.sparkSession)
-    bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
+    if files_per_date == 1:
+        return df.repartition(n, *partition_cols)
+    bucket = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_date))
     return df.repartition(n, *partition_cols, bucket)

@@ -18,22 +18,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table.
-
-    A file written as a single row group cannot be split, so every map-side
-    operator up to the first shuffle would run in one task.  When the scan
-    yields fewer splits than the cluster has cores, the rows are spread
-    round-robin over ``defaultParallelism`` partitions (column pruning still
-    reaches the scan).  On a real cluster the input has far more splits than
-    cores and this is a no-op.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without the classic context API
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """One driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _day(c: str):
@@ -127,7 +113,7 @@ def returns(spark, sf_dir) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.col("l_linestatus").alias("return_reason"),
         F.date_add(_day("l_shipdate"), 10).alias("return_date"),
-        F.col("l_shipdate").cast("timestamp").alias("event_timestamp"),
+        F.date_add(_day("l_shipdate"), 10).cast("timestamp").alias("event_timestamp"),
     )
 
 
@@ -194,7 +180,8 @@ ENTITY_SQL = {
  l_quantity / 2 AS shipping_fee, CAST(l_shipdate AS TIMESTAMP) AS event_timestamp FROM lineitem""",
     "returns": """SELECT concat(l_orderkey, '-', l_partkey, '-', l_linenumber) AS return_id,
  l_orderkey AS order_id, l_partkey AS product_id, l_linestatus AS return_reason,
- CAST(l_shipdate AS DATE) + 10 AS return_date, CAST(l_shipdate AS TIMESTAMP) AS event_timestamp
+ CAST(l_shipdate AS DATE) + 10 AS return_date,
+ CAST(CAST(l_shipdate AS DATE) + 10 AS TIMESTAMP) AS event_timestamp
  FROM lineitem WHERE l_returnflag = 'R'""",
     "inventory": """SELECT DATE '2001-01-01' + CAST(p_partkey % 28 AS INT) AS snapshot_date,
  p_partkey AS product_id, p_size * 12 - 40 AS stock_on_hand, p_size AS units_received,

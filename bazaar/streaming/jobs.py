@@ -9,16 +9,11 @@ from bazaar.operators import bronze as B
 from bazaar.operators import gold as G
 from bazaar.operators.gold import GOLD
 from bazaar.operators.silver import silver
-from bazaar.session import spread_by_date
+from bazaar.session import cluster_by_date
 from bazaar.streaming import sinks
 from bazaar.specs import ENVELOPE_SCHEMA
 from bazaar.streaming.sources import envelope_stream, layer_stream
 
-# Largest day list sent to every task when re-reading touched days; beyond it
-# the semi-join shuffles instead.
-MAX_BROADCAST_DAYS = 100_000
-
-
 def bronze_schema(spark: SparkSession, entity: str):
     """Declared bronze table schema (streams start before any file exists)."""
     empty = spark.createDataFrame([], ENVELOPE_SCHEMA)
@@ -30,17 +25,39 @@ def silver_schema(spark: SparkSession, entity: str):
     return silver(entity, empty, clock=True).schema
 
 
-def bronze_job(spark: SparkSession, entity: str, src: str, out: str, ckpt: str,
-               trigger=None, event_time: str = "enriched"):
-    df = B.parse_envelope(envelope_stream(spark, src), entity, event_time=event_time, clock=True)
-    return sinks.start_append(df, out, ckpt, trigger, name=f"bronze_{entity}")
+def bronze_job(spark: SparkSession, entity: str, src: str | DataFrame, out: str, ckpt: str,
+               trigger=None, event_time: str = "business", files_per_date: int | None = None):
+    """``src``: a folder of envelope files, or any envelope stream (for Kafka
+    ``sources.source(spark, topic, servers=...)``)."""
+    env = envelope_stream(spark, src) if isinstance(src, str) else src
+    df = B.parse_envelope(env, entity, event_time=event_time, clock=True)
+    return sinks.start_append(df, out, ckpt, trigger, name=f"bronze_{entity}", files_per_date=files_per_date)
 
 
 def silver_job(spark: SparkSession, entity: str, bronze_path: str, out: str, ckpt: str,
-               trigger=None, watermark: str | None = None):
+               trigger=None, watermark: str | None = None, files_per_date: int | None = None):
     df = silver(entity, layer_stream(spark, bronze_path, bronze_schema(spark, entity)),
                 watermark=watermark, clock=True)
-    return sinks.start_append(df, out, ckpt, trigger, name=f"silver_{entity}")
+    return sinks.start_append(df, out, ckpt, trigger, name=f"silver_{entity}", files_per_date=files_per_date)
+
+
+def touched_days(silver_all: DataFrame, batch: DataFrame) -> DataFrame | None:
+    """The silver rows of the days that ``batch`` touches.
+
+    First and last day go to the scan as literals, so only partitions between
+    them are listed and read; a semi-join then picks the days.  Rows without a
+    date are a partition of their own.
+    """
+    marks = batch.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi"),
+                      F.max(F.col("event_date").isNull().cast("int")).alias("has_null")).first()
+    parts = []
+    if marks["lo"] is not None:
+        days = batch.select("event_date").where(F.col("event_date").isNotNull()).distinct()
+        near = silver_all.where(F.col("event_date").between(F.lit(marks["lo"]), F.lit(marks["hi"])))
+        parts.append(near if marks["lo"] == marks["hi"] else near.join(days, "event_date", "left_semi"))
+    if marks["has_null"]:
+        parts.append(silver_all.where(F.col("event_date").isNull()))
+    return None if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def gold_complete_job(spark: SparkSession, table: str, silver_path: str, out: str, ckpt: str,
@@ -56,7 +73,8 @@ def gold_incremental(spark: SparkSession, table: str | list[str], silver_path: s
     """Exact gold without aggregation state.
 
     Each micro-batch of new silver rows only names the days it touches; those
-    days are re-aggregated from the silver table (partition-pruned) and
+    days are re-aggregated from the silver table (its scan is bounded by the
+    batch's first and last day) and
     replace their ``event_date`` partitions in the gold table (dynamic
     partition overwrite).  Re-running a batch recomputes the same days, so it
     is idempotent; work per batch is proportional to the touched days.
@@ -70,23 +88,18 @@ def gold_incremental(spark: SparkSession, table: str | list[str], silver_path: s
     if len(srcs) != 1:
         raise ValueError(f"tables come from different silver tables: {sorted(srcs)}")
     src = srcs.pop()
+    declared = schema or silver_schema(spark, src)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        marks = batch.agg(F.count_distinct("event_date").alias("days"),
-                          F.max(F.col("event_date").isNull().cast("int")).alias("has_null")).first()
-        n, has_null = marks["days"], bool(marks["has_null"])
-        if n == 0 and not has_null:
-            return
-        silver_all = spark.read.parquet(silver_path)
-        parts = []
-        if n:
-            days = batch.select("event_date").where(F.col("event_date").isNotNull()).distinct()
-            pick = F.broadcast(days) if n <= MAX_BROADCAST_DAYS else days
-            parts.append(silver_all.join(pick, "event_date", "left_semi"))
-        if has_null:
-            # the NULL-date group lives in its own partition: a static filter
-            parts.append(silver_all.where(F.col("event_date").isNull()))
-        touched = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        batch = batch.select("event_date").persist()  # read twice, one narrow column
+        try:
+            touched = touched_days(spark.read.schema(declared).parquet(silver_path), batch)
+            if touched is not None:
+                rebuild(touched)
+        finally:
+            batch.unpersist()
+
+    def rebuild(touched: DataFrame) -> None:
         shared = len(tables) > 1
         if shared:
             touched = touched.persist()
@@ -94,13 +107,14 @@ def gold_incremental(spark: SparkSession, table: str | list[str], silver_path: s
             for t in tables:
                 res = G.build(t, touched, distinct="exact")
                 dest = out if isinstance(table, str) else f"{out}/{t}"
-                (spread_by_date(res).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                # one row per day and category: clustering by day is enough
+                (cluster_by_date(res).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("event_date").parquet(dest))
         finally:
             if shared:
                 touched.unpersist()
 
     name = "_".join(tables) if len(tables) <= 3 else f"{src}_{len(tables)}"
-    q = (layer_stream(spark, silver_path, schema or silver_schema(spark, src)).writeStream
+    q = (layer_stream(spark, silver_path, declared).writeStream
          .option("checkpointLocation", ckpt).foreachBatch(refresh).queryName(f"gold_inc_{name}"))
     return sinks.apply_trigger(q, trigger).start()

@@ -3,9 +3,9 @@
 * append: parquet file sink (exactly-once through its commit log),
   partitioned by ``event_date``.
 * complete (stateful aggregates): the parquet sink refuses complete mode, so
-  each micro-batch result is written to ``<path>/v=<batchId>`` (overwrite, so a
-  replayed batch rewrites the same version) and readers take the highest
-  version; older versions beyond ``keep`` are removed.
+  each micro-batch result goes to one of a few slots and is then published by
+  one row in ``<path>-published``; readers follow the last published row, so a
+  version that is still being written is never seen.
 * incremental gold: see ``bazaar.streaming.jobs.gold_incremental``.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from bazaar.session import spread_by_date
+from bazaar.session import cluster_by_date
 
 
 def apply_trigger(w, trigger):
@@ -28,18 +28,20 @@ def apply_trigger(w, trigger):
 
 def start_append(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
                  partition_by: tuple[str, ...] = ("event_date",), name: str | None = None,
-                 files_per_partition: int = 1) -> StreamingQuery:
+                 files_per_date: int | None = None) -> StreamingQuery:
     """Append to a date-partitioned parquet table.
 
-    Rows are first hash-distributed on (date, bucket) so every micro-batch
-    writes about ``files_per_partition`` files per date instead of one per
-    task and date (the small-files problem); a hot date still spreads over
-    ``files_per_partition`` tasks.
+    A live stream's rows carry a few dates, so by default they are written
+    where they are, by all tasks.  A backfill (``availableNow``, ``once``) has
+    many dates; there rows are first brought together by date, each date in
+    ``files_per_date`` (default 1) tasks.  Give ``files_per_date`` to cluster
+    in either case, more than 1 if a date can be hot; ``compact`` merges small
+    files later.
     """
-    if partition_by:
-        df = spread_by_date(df, partition_by, files_per_partition)
-    else:
-        partition_by = ()
+    if files_per_date is None and trigger in (None, "availableNow", "once"):
+        files_per_date = 1
+    if partition_by and files_per_date:
+        df = cluster_by_date(df, partition_by, files_per_date)
     w = (df.writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint))
     if partition_by:
@@ -49,24 +51,28 @@ def start_append(df: DataFrame, path: str, checkpoint: str, trigger: str | None
     return apply_trigger(w, trigger).start()
 
 
-def _drop_old_versions(spark: SparkSession, path: str, keep: int, current: int) -> None:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for st in fs.listStatus(hpath):
-        n = st.getPath().getName()
-        if n.startswith("v=") and n[2:].isdigit() and int(n[2:]) <= current - keep:
-            fs.delete(st.getPath(), True)
+def start_debug(df: DataFrame, trigger: str | None = None, rows: int = 20, mode: str = "append") -> StreamingQuery:
+    """Print each micro-batch to the console."""
+    w = (df.writeStream.format("console").outputMode(mode)
+         .option("numRows", rows).option("truncate", False))
+    return apply_trigger(w, trigger).start()
 
 
 def start_complete(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
-                   keep: int = 2, name: str | None = None) -> StreamingQuery:
+                   slots: int = 4, name: str | None = None) -> StreamingQuery:
+    """Publish every micro-batch's whole result.
+
+    Batch ``n`` is written to ``slot=<n mod slots>`` and published when that is
+    complete.  A replayed batch rewrites its slot and publishes it again.  A
+    reader has ``slots - 1`` batches' time before its version is overwritten.
+    """
     spark = df.sparkSession
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
-        if keep:
-            _drop_old_versions(spark, path, keep, batch_id)
+        slot = batch_id % slots
+        batch.write.mode("overwrite").parquet(f"{path}/slot={slot}")
+        (spark.createDataFrame([(batch_id, slot)], PUBLISHED).coalesce(1)
+         .write.mode("append").parquet(f"{path}-published"))
 
     w = (df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
          .foreachBatch(publish))
@@ -75,11 +81,27 @@ def start_complete(df: DataFrame, path: str, checkpoint: str, trigger: str | Non
     return apply_trigger(w, trigger).start()
 
 
+PUBLISHED = "version long, slot int"
+
+
 def read_complete(spark: SparkSession, path: str) -> DataFrame:
     """Latest published version of a complete-mode table."""
-    all_v = spark.read.parquet(path)
-    latest = all_v.agg(F.max("v").alias("v"))
-    return all_v.join(F.broadcast(latest), "v", "left_semi").drop("v")
+    last = (spark.read.schema(PUBLISHED).parquet(f"{path}-published")
+            .agg(F.max(F.struct("version", "slot")).alias("last")).first()["last"])
+    return spark.read.parquet(f"{path}/slot={last['slot']}")
+
+
+def run_until_any_stops(queries: list[StreamingQuery]) -> None:
+    """Block until one query ends, then stop the others; its error is raised."""
+    if not queries:
+        return
+    spark = queries[0].sparkSession if hasattr(queries[0], "sparkSession") else SparkSession.getActiveSession()
+    try:
+        spark.streams.awaitAnyTermination()
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
 
 
 def publish_envelopes(frames: dict[str, DataFrame], path: str, mode: str = "append") -> None:

@@ -1,9 +1,10 @@
-"""Stream sources: Kafka when its connector is on the classpath, otherwise a
-file stream of the same Kafka-shaped envelope (value, topic, partition,
+"""Stream sources: Kafka when servers are given, otherwise a file stream of the
+same Kafka-shaped envelope (value, topic, partition,
 offset, timestamp)."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaar.specs import ENVELOPE_SCHEMA
@@ -15,7 +16,6 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
             .option("kafka.bootstrap.servers", servers)
             .option("subscribe", topic)
             .option("startingOffsets", starting)
-            .option("failOnDataLoss", "false")
             .load()
             .select("value", "topic", "partition", "offset", "timestamp"))
 
@@ -32,13 +32,9 @@ def envelope_stream(spark: SparkSession, path: str, fmt: str = "parquet",
 
 def source(spark: SparkSession, topic: str, *, servers: str | None = None,
            path: str | None = None, starting: str = "earliest") -> DataFrame:
-    """Kafka if ``servers`` is given and the connector loads, else files."""
+    """Kafka if ``servers`` is given, else files under ``path``."""
     if servers:
-        try:
-            return kafka_stream(spark, servers, topic, starting)
-        except Exception as ex:  # connector jar missing
-            if path is None:
-                raise RuntimeError("kafka connector unavailable and no file path given") from ex
+        return kafka_stream(spark, servers, topic, starting)
     if path is None:
         raise ValueError("need servers or path")
     return envelope_stream(spark, path)
@@ -54,10 +50,10 @@ def layer_stream(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 def read_layer(spark: SparkSession, path: str, schema=None, missing_ok: bool = False) -> DataFrame:
     """Batch read of a layer table; an empty frame of ``schema`` when the
-    table does not exist yet and ``missing_ok``."""
+    table does not exist yet and ``missing_ok``.  Any other failure is raised."""
     try:
         return spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
-    except Exception:
-        if missing_ok and schema is not None:
+    except AnalysisException as e:
+        if missing_ok and schema is not None and e.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
         raise

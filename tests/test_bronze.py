@@ -41,19 +41,35 @@ def test_wire_roundtrip_keeps_values(spark):
 
 
 def test_literal_event_column_year_from_order_id(spark):
-    # the reference takes order_id as event time for order items: 4-6 digit
-    # ids become years; reproducible with event_time="literal"
+    # taking order_id as event time turns 4-6 digit ids into years;
+    # reproducible with event_time="literal"
     env = _env(spark, ['{"order_id": "12345", "product_id": "1"}'])
     b = B.parse_envelope(env, "order_items", event_time="literal")
     ts = b.select(F.year("event_timestamp")).first()[0]
     assert ts == 12345
 
 
-def test_enriched_falls_back_to_own_date_not_to_ids(spark):
+def test_own_date_decides_and_ids_are_no_times(spark):
     env = _env(spark, ['{"order_id": "5", "order_date": "2012-07-04"}'])
     assert B.parse_envelope(env, "orders").first()["event_timestamp"] == dt.datetime(2012, 7, 4)
     env = _env(spark, ['{"order_id": "12345", "product_id": "1"}'])
     assert B.parse_envelope(env, "order_items").first()["event_timestamp"] is None
+    # the sender's clock is never the event time
+    env = _env(spark, ['{"order_id": "5", "order_date": "2012-07-04", "event_time": "2026-01-01T00:00:00"}'])
+    assert B.parse_envelope(env, "orders").first()["event_date"] == dt.date(2012, 7, 4)
+    env = _env(spark, ['{"order_id": "5", "product_id": "1", "event_time": "2026-01-01T00:00:00"}'])
+    assert B.parse_envelope(env, "order_items").first()["event_timestamp"] is None
+
+
+def test_wire_keeps_microseconds_and_lineage(spark):
+    from bazaar.operators.silver import LINEAGE, silver_payments
+    stamps = [dt.datetime(2020, 1, 1, 12, 0, 0, us) for us in (100000, 900000, 900001)]
+    df = spark.createDataFrame([(1, "card", 5.0, 1, t) for t in stamps],
+                               "order_id bigint, payment_method string, payment_value double, installments int,"
+                               " event_timestamp timestamp")
+    out = silver_payments(B.parse_envelope(B.to_wire(df, "payments"), "payments", clock=True), clock=True)
+    assert sorted(r["event_timestamp"] for r in out.collect()) == stamps
+    assert set(LINEAGE) <= set(out.columns)
 
 
 def test_publish_partitioned_by_topic(spark):

@@ -25,3 +25,11 @@ def test_hot_key_uses_partial_aggregation(spark):
     assert "partial_min" in plan
     assert out.count() == 20001
     assert out.where("k = 0").first()["v"] == 0
+
+
+def test_survivor_is_the_first_record_of_the_log(spark):
+    rows = [("k", 5, 0, 9, "late"), ("k", 9, 0, 3, "first"), ("k", 1, 1, 1, "other partition")]
+    df = spark.createDataFrame(rows, "key string, v int, partition int, offset long, note string")
+    from bazaar.operators.dedup import dedup_batch
+    out = dedup_batch(df, ["key"])
+    assert out.columns == df.columns and [r["note"] for r in out.collect()] == ["first"]

@@ -26,6 +26,16 @@ def test_residual_histogram_bins(spark):
     got = {r["bin"]: r["count"] for r in h.collect()}
     assert sum(got.values()) == 31 and max(got) == 30 and min(got) == 1
     assert got[30] == 2  # the max value lands in the last bin
+    rows = [("val", float(i), 0.0) for i in (0, 1, 100)]
+    h = FC.residual_histogram(spark.createDataFrame(rows, "split string, actual double, predicted double"))
+    assert sorted(r["bin"] for r in h.collect()) == list(range(1, 31))  # empty bins are there
+
+
+def test_best_round_waits_for_patience():
+    errors = [9.0, 8.0, 8.5, 7.0, 7.5, 7.4, 7.3, 1.0]
+    assert FC.best_round(errors, 2) == (3, True)
+    assert FC.best_round(errors, 5) == (7, False)
+    assert FC.best_round([1.0], 30) == (0, False)
 
 
 def test_train_and_recursive_forecast(spark):

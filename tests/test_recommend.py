@@ -28,3 +28,15 @@ def test_als_on_64_bit_ids(spark):
     # unknown ids: cold start -> dropped
     cold = spark.createDataFrame([(1, 2)], "customer_id bigint, product_id bigint")
     assert RC.score(rec, cold).count() == 0
+
+
+def test_saved_model_gives_the_same_scores(spark):
+    from bazaar.plans import recommend as RC
+    from bazaar.session import scratch_path
+    r = RC.fitted(spark, SF001)
+    path = scratch_path(spark, "als")
+    RC.save(r, path)
+    pairs = RC.explicit_ratings(spark, SF001)
+    a = sorted(map(tuple, RC.score(r, pairs).collect()))
+    b = sorted(map(tuple, RC.score(RC.load(spark, path), pairs).collect()))
+    assert a == b and a

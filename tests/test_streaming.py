@@ -108,6 +108,70 @@ def test_incremental_gold_keeps_null_date_group(spark):
     assert got == exp and (None, 2) in got
 
 
+def test_reader_never_sees_a_version_in_the_making(spark):
+    out = scratch_path(spark, "complete")
+    one = spark.createDataFrame([(1,)], "x int")
+    one.write.parquet(f"{out}/slot=0")
+    spark.createDataFrame([(0, 0)], sinks.PUBLISHED).write.parquet(f"{out}-published")
+    spark.createDataFrame([(2,)], "x int").write.parquet(f"{out}/slot=1")  # not published yet
+    assert [r["x"] for r in sinks.read_complete(spark, out).collect()] == [1]
+    spark.createDataFrame([(1, 1)], sinks.PUBLISHED).write.mode("append").parquet(f"{out}-published")
+    assert [r["x"] for r in sinks.read_complete(spark, out).collect()] == [2]
+
+
+def test_touched_days_bound_the_scan(spark):
+    import datetime as dt
+    path = scratch_path(spark, "days")
+    rows = [(i, dt.date(2020, 1, 1 + i % 20)) for i in range(200)] + [(500, None)]
+    spark.createDataFrame(rows, "v int, event_date date").write.partitionBy("event_date").parquet(path)
+    silver = spark.read.parquet(path)
+    day = spark.createDataFrame([(dt.date(2020, 1, 7),)], "event_date date")
+    got = jobs.touched_days(silver, day)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "2020-01-07" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert got.count() == 10
+    two = spark.createDataFrame([(dt.date(2020, 1, 3),), (dt.date(2020, 1, 9),), (None,)], "event_date date")
+    assert jobs.touched_days(silver, two).count() == 21
+    assert jobs.touched_days(silver, day.limit(0)) is None
+
+
+def test_hot_date_is_written_by_several_tasks(spark):
+    from bazaar.session import spread_by_date
+    df = spark.range(200_000).selectExpr(
+        "id", "sha2(string(id), 256) AS body", "if(id % 10 = 0, date'2020-01-01' + int(id % 7), date'2021-06-01') AS event_date")
+    parts = spread_by_date(df).where("event_date = date'2021-06-01'").select(F.spark_partition_id().alias("p"))
+    assert parts.distinct().count() > 3
+
+
+def test_live_append_leaves_rows_where_they_are(spark):
+    """A processing-time stream writes a hot date from all of its tasks."""
+    src, out = scratch_path(spark, "hot-in"), scratch_path(spark, "hot-out")
+    day = spark.range(400).selectExpr("cast(null as binary) AS value", "'t' AS topic", "0 AS partition", "id AS offset",
+                                      "timestamp'2021-06-01' AS timestamp")
+    day.repartition(4).write.parquet(src)
+    df = envelope_stream(spark, src).withColumn("event_date", F.to_date("timestamp"))
+    q = sinks.start_append(df, out, out + "-ckpt", trigger="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(out).count() == 400
+    files = spark.read.parquet(out).select(F.input_file_name()).distinct().count()
+    assert files == 4
+
+
+def test_kafka_plan_needs_no_fallback(spark):
+    """With servers the Kafka source is used or its error is raised; files are
+    never read instead."""
+    import pytest
+
+    from bazaar.streaming import sources
+    with pytest.raises(Exception, match="(?i)kafka"):
+        sources.source(spark, "orders_topic", servers="127.0.0.1:9", path="/nowhere")
+    with pytest.raises(ValueError):
+        sources.source(spark, "orders_topic")
+
+
 def test_processing_time_trigger_runs_until_stopped(spark):
     """The long-running form: a processing-time trigger, drained and stopped."""
     src = SR.publish_files(spark, SF001, "inventory")
