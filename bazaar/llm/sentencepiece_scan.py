@@ -38,8 +38,8 @@ from bazaar.llm.common import stored
 
 #: Characters of a chunk; longer texts go through the scan.
 CHUNK = 1 << 15
-#: Words and pairs remembered by a Python worker (two generations each).
-MEMO = 1 << 18
+#: Words, and pairs of pieces, remembered by a Python worker (two generations).
+MEMO = 1 << 17
 
 SPACE = "▁"
 START = (0, 0)
@@ -96,6 +96,7 @@ class Vocabulary:
         self.words = re.compile(f"[{single}]|{SPACE}*[^{SPACE}{single}]+|{SPACE}+")
         self.spine = Memo(self._spine)
         self.compatible = Memo(self._compatible)
+        self.last = Memo(self._last_piece)
         self.encoded = Memo(self._encode_word)
 
     # -- lattice ----------------------------------------------------------
@@ -202,8 +203,30 @@ class Vocabulary:
             out += [k] if k is not None else [self.byte[b] for b in p.encode("utf-8", "surrogatepass")]
         return out
 
+    def _last_piece(self, prefix: str) -> str:
+        """The last piece of the feasible path of a text, as ``walk`` gives it
+        for the position after the text.  Words share their prefixes' answers."""
+        known, compatible, seen, last = self.id, self.compatible, self.compatible.get, self.last
+        end = len(prefix) - 1
+        for q in range(max(0, end + 1 - self.longest), end + 1):
+            piece = prefix[q:]
+            if piece in known or q == end:
+                pair = (last[prefix[:q]] if q else "", piece)
+                fits = seen(pair)
+                if fits or (fits is None and compatible[pair]):
+                    return piece
+        raise ValueError("no feasible path")
+
     def _encode_word(self, word: str) -> tuple[int, ...]:
-        return tuple(self.ids(self.trace(self.walk(word, 0, len(word), ""), 0, len(word))))
+        """The feasible path of a word, backtraced from its end; positions off
+        the path are looked at only where a longer piece must be ruled out."""
+        if len(word) > 64:
+            return tuple(self.ids(self.trace(self.walk(word, 0, len(word), ""), 0, len(word))))
+        pieces = []
+        while word:
+            pieces.append(self.last[word])
+            word = word[:-len(pieces[-1])]
+        return tuple(self.ids(pieces[::-1]))
 
     # -- whole texts ------------------------------------------------------
 
