@@ -41,6 +41,9 @@ CHUNK = 1 << 15
 #: Words, and pairs of pieces, remembered by a Python worker (two generations).
 MEMO = 1 << 17
 
+#: Texts whose ids a worker holds before it hands them on.
+ROWS = 256
+
 SPACE = "▁"
 START = (0, 0)
 NONE = float("-inf")
@@ -52,13 +55,13 @@ Matrix = dict[State, dict[State, float]]
 class Memo(dict):
     """A bounded dictionary: when full, the older generation is forgotten."""
 
-    def __init__(self, make):
+    def __init__(self, make, size: int = MEMO):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.size, self.old = make, size, {}
 
     def __missing__(self, key):
         value = self.old[key] if key in self.old else self.make(key)
-        if len(self) >= MEMO:
+        if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         self[key] = value
@@ -95,7 +98,7 @@ class Vocabulary:
         single = re.escape(self.alone)
         self.words = re.compile(f"[{single}]|{SPACE}*[^{SPACE}{single}]+|{SPACE}+")
         self.spine = Memo(self._spine)
-        self.compatible = Memo(self._compatible)
+        self.compatible = Memo(self._compatible, MEMO // 2)
         self.last = Memo(self._last_piece)
         self.encoded = Memo(self._encode_word)
 
@@ -406,9 +409,11 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
     def whole(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         v = vocabulary(model)
         for batch in texts:
-            ids = [v.encode(t) for t in batch]
-            yield pd.DataFrame({"ids": ids, "n_tokens": [len(x) for x in ids],
-                                "round_trip": [v.decode(x) == (t or "") for x, t in zip(ids, batch, strict=True)]})
+            for k in range(0, len(batch), ROWS):  # a few texts' ids at a time
+                part = batch.iloc[k:k + ROWS]
+                ids = [v.encode(t) for t in part]
+                yield pd.DataFrame({"ids": ids, "n_tokens": [len(x) for x in ids],
+                                    "round_trip": [v.decode(x) == (t or "") for x, t in zip(ids, part, strict=True)]})
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     size = F.coalesce(F.length("text"), F.lit(0))
