@@ -139,8 +139,12 @@ def test_hot_date_is_written_by_several_tasks(spark):
     from bazaar.session import spread_by_date
     df = spark.range(200_000).selectExpr(
         "id", "sha2(string(id), 256) AS body", "if(id % 10 = 0, date'2020-01-01' + int(id % 7), date'2021-06-01') AS event_date")
-    parts = spread_by_date(df).where("event_date = date'2021-06-01'").select(F.spark_partition_id().alias("p"))
-    assert parts.distinct().count() > 3
+    out = scratch_path(spark, "hot")
+    spread_by_date(df).write.partitionBy("event_date").parquet(out)
+    back = spark.read.parquet(out)
+    assert back.count() == 200_000
+    hot = back.where("event_date = date'2021-06-01'").select(F.input_file_name().alias("f"))
+    assert hot.distinct().count() > 3
 
 
 def test_live_append_leaves_rows_where_they_are(spark):
