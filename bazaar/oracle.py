@@ -404,7 +404,7 @@ def model_sql() -> dict[str, str]:
             f"SELECT last_date + CAST(h AS INT) AS event_date, CAST(h AS INT) AS horizon, true AS non_negative FROM"
             f" (SELECT max(event_date) AS last_date FROM ({SPLIT_SQL}) s), (SELECT unnest(range(1, 31)) AS h)"),
         "gold_approx_within_10pct": (
-            f"SELECT event_date, true AS close FROM ({gold_sql('daily_sales')}) g"),
+            f"SELECT DISTINCT CAST(year(event_date) AS INTEGER) AS year, true AS close FROM ({gold_sql('daily_sales')}) g"),
         "lag_forecast": f"SELECT event_date, split, actual, predicted FROM ({lagged}) l",
         "lag_forecast_metrics": (
             "SELECT split, count(*) AS rows, round(sqrt(avg((actual - predicted) ** 2)), 4) AS rmse,"
