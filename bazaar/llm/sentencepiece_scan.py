@@ -39,7 +39,7 @@ from bazaar.llm.common import stored
 #: Characters of a chunk; longer texts go through the scan.
 CHUNK = 1 << 15
 #: Words, and pairs of pieces, remembered by a Python worker (two generations).
-MEMO = 1 << 17
+MEMO = 1 << 18
 
 #: Texts whose ids a worker holds before it hands them on.
 ROWS = 256
@@ -89,6 +89,10 @@ class Vocabulary:
         self.byte_of = {k: b for b, k in self.byte.items()}
         self.surface = [p.piece if p.type == kinds.NORMAL else (" ⁇ " if p.type == kinds.UNKNOWN else "")
                         for p in model.pieces]
+        for b, k in self.byte.items():
+            self.surface[k] = chr(b) if b < 128 else ""
+        # bytes of longer characters have to be joined before they mean anything
+        self.partial = np.array([self.byte_of.get(k, 0) >= 128 for k in range(len(self.text))])
         self.longest = max(map(len, self.id), default=1)
         merged = set("".join(p for p in self.id if len(p) > 1))
         # no piece reaches across these: single characters, and a word's start
@@ -98,7 +102,7 @@ class Vocabulary:
         single = re.escape(self.alone)
         self.words = re.compile(f"[{single}]|{SPACE}*[^{SPACE}{single}]+|{SPACE}+")
         self.spine = Memo(self._spine)
-        self.compatible = Memo(self._compatible, MEMO // 2)
+        self.compatible = Memo(self._compatible, MEMO // 4)
         self.last = Memo(self._last_piece)
         self.encoded = Memo(self._encode_word)
 
@@ -220,16 +224,17 @@ class Vocabulary:
                     return piece
         raise ValueError("no feasible path")
 
-    def _encode_word(self, word: str) -> tuple[int, ...]:
-        """The feasible path of a word, backtraced from its end; positions off
+    def _encode_word(self, word: str) -> bytes:
+        """Ids (as 32-bit integers) of the feasible path of a word, backtraced from its end; positions off
         the path are looked at only where a longer piece must be ruled out."""
         if len(word) > 64:
-            return tuple(self.ids(self.trace(self.walk(word, 0, len(word), ""), 0, len(word))))
+            pieces = self.trace(self.walk(word, 0, len(word), ""), 0, len(word))
+            return np.array(self.ids(pieces), np.int32).tobytes()
         pieces = []
         while word:
             pieces.append(self.last[word])
             word = word[:-len(pieces[-1])]
-        return tuple(self.ids(pieces[::-1]))
+        return np.array(self.ids(pieces[::-1]), np.int32).tobytes()
 
     # -- whole texts ------------------------------------------------------
 
@@ -238,21 +243,17 @@ class Vocabulary:
         return SPACE + text if self.prefix and text else text
 
     def encode(self, text: str | None) -> np.ndarray:
-        out: list[int] = []
-        known = self.encoded
-        for w in self.words.findall(self.normalise(text or "")):
-            out += known[w] if len(w) <= 64 else self._encode_word(w)
-        return np.array(out, np.int32)
+        return self.encode_words(self.normalise(text or ""))
+
+    def encode_words(self, text: str) -> np.ndarray:
+        """Ids of a normalised text that begins and ends at borders."""
+        known, words = self.encoded, self.words.findall(text)
+        return np.frombuffer(b"".join([known[w] if len(w) <= 64 else self._encode_word(w) for w in words]), np.int32)
 
     def decode_raw(self, ids) -> str:
         """Pieces and bytes joined; word marks are left in."""
-        first = min(self.byte_of, default=0)
-        last = max(self.byte_of, default=-1)
-        array = np.asarray(ids)
-        if not len(array):
-            return ""
-        cut = (array >= first) & (array <= last)
-        if not cut.any():
+        array = np.asarray(ids, np.int64)
+        if not self.partial[array].any():
             return "".join([self.surface[k] for k in array.tolist()])
         out, held = [], bytearray()
         for k in array.tolist():
@@ -339,8 +340,7 @@ class Vocabulary:
         else:
             head, tail = borders
             ids = self.ids(self.trace(self.walk(text, at, head, last), at, head))
-            for w in self.words.findall(text[head:tail]):
-                ids += self.encoded[w] if len(w) <= 64 else self._encode_word(w)
+            ids += self.encode_words(text[head:tail]).tolist()
             ids += self.ids(self.trace(self.walk(text, tail, stop, ""), tail, stop) + final)
         return ids, self.decode_raw(ids) == text[at:end + leave[1]]
 
