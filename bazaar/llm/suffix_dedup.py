@@ -48,13 +48,13 @@ LAST = np.iinfo(np.int64).max
 
 # ------------------------------------------------------------------ shards
 
-def pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def pack(docs: DataFrame, id_col: str, text_col: str, shard_bytes: int) -> DataFrame:
     """One row per shard: ids, byte lengths and bytes of its documents."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    shards = max(1, -(-size // SHARD_BYTES))
+    shards = max(1, -(-size // shard_bytes))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
 
     def one(key, pdf):
@@ -389,7 +389,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id.  Rows that repeat an id remove nothing from each other.
     """
     gram = min(GRAM, length)
-    shards = pack(docs, id_col, text_col)
+    shards = pack(docs, id_col, text_col, SHARD_BYTES)
     buckets = shuffle_parts(docs.sparkSession)
     shared = shared_anchors(shards, buckets, length, gram)
     work = stored(requests(shards, shared, buckets, length, gram), "snippets")
