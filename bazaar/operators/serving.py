@@ -77,15 +77,12 @@ def sessions_by_source(traffic_kpi: DataFrame) -> DataFrame:
     return _share(g, "total_sessions")
 
 
-def customer_metrics(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Per customer: orders, amount paid, first/last order date.
+def _one_row_per_order(orders: DataFrame) -> DataFrame:
+    one = F.min(F.struct("order_date", "customer_id")).alias("o")
+    return orders.groupBy("order_id").agg(one).select("order_id", "o.customer_id", "o.order_date")
 
-    Both sides are first reduced to one row per order_id; the join then reuses
-    that hash partitioning (no further exchange), and a customer with a third
-    of all orders is pre-combined map-side by the final aggregate.
-    """
-    one = F.min(F.struct("order_date", "customer_id")).alias("o")  # one row of the order
-    per_order = orders.groupBy("order_id").agg(one).select("order_id", "o.customer_id", "o.order_date")
+
+def _metrics(per_order: DataFrame, payments: DataFrame) -> DataFrame:
     paid = payments.groupBy("order_id").agg(
         F.sum("payment_value").alias("paid"), F.count(F.lit(1)).alias("n_payments"))
     j = per_order.join(paid, "order_id", "left")
@@ -98,9 +95,27 @@ def customer_metrics(orders: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
-def top_customers(metrics: DataFrame, n: int = 10) -> DataFrame:
-    """Top-n by total_orders (ties broken by customer_id): TakeOrderedAndProject."""
-    return metrics.orderBy(F.desc("total_orders"), F.asc("customer_id")).limit(n)
+def customer_metrics(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """Per customer: orders, amount paid, first/last order date.
+
+    Both sides are first reduced to one row per order_id; the join then reuses
+    that hash partitioning (no further exchange), and a customer with a third
+    of all orders is pre-combined map-side by the final aggregate.
+    """
+    return _metrics(_one_row_per_order(orders), payments)
+
+
+def top_customers(orders: DataFrame, payments: DataFrame, n: int = 10) -> DataFrame:
+    """``customer_metrics`` of the n customers with most orders (ties broken by
+    customer_id).  They are found on orders alone; only their orders'
+    payments are then joined."""
+    order = (F.desc("total_orders"), F.asc("customer_id"))
+    per_order = _one_row_per_order(orders)
+    top = (per_order.groupBy("customer_id").agg(F.count(F.lit(1)).alias("total_orders"))
+           .orderBy(*order).limit(n).select(F.col("customer_id").alias("c")))
+    mine = per_order.join(F.broadcast(top), F.col("customer_id").eqNullSafe(F.col("c")), "left_semi")  # n rows
+    paid = payments.join(mine.select("order_id"), "order_id", "left_semi")
+    return _metrics(mine, paid).orderBy(*order)
 
 
 def fraud_alert(payments: DataFrame) -> DataFrame:

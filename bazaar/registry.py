@@ -47,7 +47,7 @@ def _serving():
             S.inventory_alert(g(s, d, "inventory_kpi"))),
         "serving_sources": lambda s, d: S.sessions_by_source(g(s, d, "traffic_kpi")),
         "serving_customer_metrics": lambda s, d: M.customer_metrics(s, d),
-        "serving_top_customers": lambda s, d: S.top_customers(M.customer_metrics(s, d)),
+        "serving_top_customers": lambda s, d: S.top_customers(M.silver_table(s, d, "orders"), M.silver_table(s, d, "payments")),
         "serving_fraud_alerts": lambda s, d: S.fraud_alert(M.silver_table(s, d, "payments")),
         "serving_delivery": lambda s, d: S.delivery_kpi(g(s, d, "shipping_kpi")),
     }
