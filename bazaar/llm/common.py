@@ -24,7 +24,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     the work, and several readers share one computation.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -31,16 +31,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.llm.common import shuffle_parts, stored
-from bazaar.llm.winnow import gram_hashes, ranges, run_starts, window_keys
+from bazaar.llm.winnow import ranges, run_starts, window_hashes, window_keys
 from bazaar.session import scratch_path
 
 LENGTH = 50
 GRAM = 16
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 #: Stands for a null id: larger than every id.
 LAST = np.iinfo(np.int64).max
@@ -49,23 +50,34 @@ LAST = np.iinfo(np.int64).max
 # ------------------------------------------------------------------ shards
 
 def pack(docs: DataFrame, id_col: str, text_col: str, shard_bytes: int) -> DataFrame:
-    """One row per shard: ids, byte lengths and bytes of its documents."""
+    """One row per shard: ids, byte lengths and bytes of its documents.
+
+    Every task fills shards from its own part of the input, so the text is not
+    shuffled; the written table fixes the numbering.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    shards = max(1, -(-size // shard_bytes))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)))
 
-    def one(key, pdf):
-        data = [t.encode("utf-8", "surrogatepass") for t in pdf["text"]]
-        null = pdf["doc_id"].isna().to_numpy()
-        return pd.DataFrame({
-            "shard": [key[0]], "ids": [pdf["doc_id"].fillna(0).astype("int64").where(~null, LAST).to_numpy()],
-            "sizes": [np.array([len(b) for b in data], np.int64)], "data": [b"".join(data)]})
+    def fill(batches):
+        number = TaskContext.get().partitionId() << 32
+        ids, data, size = [], [], 0
 
-    packed = rows.groupBy("shard").applyInPandas(
-        one, "shard long, ids array<long>, sizes array<long>, data binary")
+        def shard():
+            return pd.DataFrame({"shard": [number], "ids": [np.array(ids, np.int64)],
+                                 "sizes": [np.array([len(b) for b in data], np.int64)], "data": [b"".join(data)]})
+        for pdf in batches:
+            for i, t in zip(pdf["doc_id"], pdf["text"], strict=True):
+                ids.append(LAST if pd.isna(i) else int(i))
+                data.append(t.encode("utf-8", "surrogatepass"))
+                size += len(data[-1])
+                if size >= shard_bytes:
+                    yield shard()
+                    number, ids, data, size = number + 1, [], [], 0
+        if ids:
+            yield shard()
+
+    packed = rows.mapInPandas(fill, "shard long, ids array<long>, sizes array<long>, data binary")
     name = f"shards_{uuid.uuid4().hex}"
     (packed.write.bucketBy(shuffle_parts(spark), "shard").option("path", scratch_path(spark, "shards"))
      .option("compression", "zstd").saveAsTable(name))
@@ -124,21 +136,36 @@ def shared_anchors(shards: DataFrame, buckets: int, length: int, gram: int) -> D
                 by = np.argsort(bucket, kind="stable")
                 cut = run_starts(bucket[by])
                 for s, e in zip(cut, np.append(cut[1:], len(by)), strict=True):
-                    yield pd.DataFrame({"bucket": [bucket[by[s]]], "shard": [shard], "anchors": [key[by[s:e]].tobytes()],
+                    yield pd.DataFrame({"bucket": [bucket[by[s]]], "shard": [shard], "anchors": [_short(key[by[s:e]])],
                                         "many": [np.packbits(many[by[s:e]]).tobytes()]})
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        runs = [np.frombuffer(a, np.uint64) for a in pdf["anchors"]]
+        runs = [_long(a) for a in pdf["anchors"]]
         many = [np.unpackbits(np.frombuffer(m, np.uint8), count=len(r)).astype(bool) for m, r in zip(pdf["many"], runs, strict=True)]
         every = np.sort(np.concatenate(runs))
         twice = every[1:][every[1:] == every[:-1]]
-        out = [r[m | _among(r, twice)].tobytes() for r, m in zip(runs, many, strict=True)]
+        out = [_short(r[m | _among(r, twice)]) for r, m in zip(runs, many, strict=True)]
         return pd.DataFrame({"shard": pdf["shard"].to_numpy(), "anchors": out})
 
     return (shards.mapInPandas(offer, "bucket long, shard long, anchors binary, many binary")
             .groupBy("bucket").applyInPandas(meet, "shard long, anchors binary"))
 
 
+LOW = np.uint64((1 << 40) - 1)
+
+
+def _short(anchors: np.ndarray) -> bytes:
+    """The low five bytes of each anchor.  Two anchors that agree in them count
+    as shared: that only sets fewer windows aside."""
+    return anchors.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _long(blob: bytes) -> np.ndarray:
+    out = np.zeros((len(blob) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(blob, np.uint8).reshape(-1, 5)
+    return out.reshape(-1).view("<u8").astype(np.uint64)
+
+
 def _among(x: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Which of ``x`` are in the sorted ``table`` (binary search)."""
     if not len(table):
@@ -251,9 +278,9 @@ def requests(shards: DataFrame, shared: DataFrame, buckets: int, length: int, gr
     def work(key, left, right):
         out = []
         for shard, ids, sizes, data in _rows_of(left):
-            known = [np.frombuffer(a, np.uint64) for a in right["anchors"]]
+            known = [_long(a) for a in right["anchors"]]
             anchor, begin, n, doc = _anchors(data, sizes, length, gram)
-            keep = _among(anchor, np.sort(np.concatenate(known))) if known else np.zeros(len(anchor), bool)
+            keep = _among(anchor & LOW, np.sort(np.concatenate(known))) if known else np.zeros(len(anchor), bool)
             anchor, begin, n, doc = anchor[keep], begin[keep], n[keep], doc[keep]
             if not len(begin):
                 continue
@@ -280,7 +307,7 @@ def requests(shards: DataFrame, shared: DataFrame, buckets: int, length: int, gr
                 out.append((int(bucket[s]), shard, n[f].astype(np.uint8).tobytes(),
                             text[ranges(place[begin[f]], n[f] + length - 1)].tobytes(),
                             _encode_runs(least[cls[ranges(low[f], n[f])]], n[f]), b"", b"", b""))
-            out.append((-1, shard, n[order].astype(np.uint8).tobytes(), b"", b"", begin[order].astype(np.int64).tobytes(),
+            out.append((-1, shard, n[order].astype(np.uint8).tobytes(), b"", b"", begin[order].astype(np.int32).tobytes(),
                         bucket[nth].astype(np.int32).tobytes(), nth_in[nth].astype(np.int32).tobytes()))
         return pd.DataFrame(out, columns=[c.split()[0] for c in _WORK.split(", ")])
 
@@ -296,7 +323,7 @@ def merge(work: DataFrame, length: int) -> DataFrame:
         least = [_decode_runs(b) for b in pdf["least"]]
         base, runs, starts = 0, [], []
         text = np.concatenate(texts)
-        every = gram_hashes(text.astype(np.uint64), length)
+        every = window_hashes(text, length)
         for n, t in zip(sizes, texts, strict=True):
             begin = base + np.cumsum(n + length - 1) - (n + length - 1)
             at = ranges(begin, n)
@@ -352,7 +379,7 @@ def mark(shards: DataFrame, places: DataFrame, answers: DataFrame, length: int,
             here = right[right["bucket"] == -1]
             told = right[right["bucket"] >= 0]
             for s, p, b, k in zip(here["sizes"], here["place"], here["part"], here["nth"], strict=True):
-                n, place = np.frombuffer(s, np.uint8).astype(np.int64), np.frombuffer(p, np.int64)
+                n, place = np.frombuffer(s, np.uint8).astype(np.int64), np.frombuffer(p, np.int32).astype(np.int64)
                 part, nth = np.frombuffer(b, np.int32), np.frombuffer(k, np.int32)
                 for bucket, m, blob in zip(told["bucket"], told["sizes"], told["least"], strict=True):
                     low = _decode_runs(blob)

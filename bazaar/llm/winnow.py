@@ -62,6 +62,14 @@ def window_keys(data: np.ndarray, length: int, gram: int) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
+def window_hashes(data: np.ndarray, length: int) -> np.ndarray:
+    """Hash of every window of ``length`` bytes."""
+    total = len(data) - length + 1
+    parts = [gram_hashes(data[k:min(k + SLAB, total) + length - 1].astype(np.uint64), length)
+             for k in range(0, max(total, 0), SLAB)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """start, start + 1, ... of every (start, size), one after the other."""
     total = int(sizes.sum())
