@@ -421,6 +421,32 @@ def test_compact_windows_crowded_groups(monkeypatch):
         assert (lead < m).all() and (agree[m, lead] >= compact_windows.LINK).all()
 
 
+def test_compact_windows_links_every_different_text(spark):
+    """A passage near two different earlier texts names both, also if one is nearer."""
+    base = prose(60, 41).split()
+    one, two = list(base), list(base)
+    one[4], two[55] = "first", "second"
+    rows = [(1, " ".join(one)), (2, " ".join(two)), (3, " ".join(base)), (4, " ".join(base)), (5, prose(80, 42))]
+    out = {x.doc_id: x for x in compact_windows.near_duplicate_passages(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[2].source_ids == [1] and out[3].source_ids == [1, 2]
+    assert out[4].source_ids == [1, 2]  # the first texts with its passages
+    assert out[1].source_ids == out[5].source_ids == []
+
+
+def test_compact_windows_keeps_every_pair(monkeypatch):
+    """Every run is linked to the first of each earlier class that agrees in enough hashes."""
+    r = np.random.default_rng(18)
+    sketch = r.integers(0, 2, (300, compact_windows.HASHES)).astype(np.uint16)
+    ids, sig = np.arange(300), np.zeros(300, np.uint64)
+    agree = (sketch[:, None, :] == sketch[None, :, :]).sum(axis=2)
+    firsts = [k for k in range(300) if not (agree[k, :k] == compact_windows.HASHES).any()]
+    want = {(k, f) for k in range(300) for f in firsts if f < k and agree[k, f] >= compact_windows.LINK}
+    for crowd in (20, 1000):
+        monkeypatch.setattr(compact_windows, "CROWD", crowd)
+        assert set(zip(*(x.tolist() for x in compact_windows._links(sig, sketch, ids)))) == want
+
+
 # ----------------------------------------------------------------- licences
 
 def test_license_scan_inherits_from_nearest_directory(spark, nothing):
