@@ -447,6 +447,27 @@ def test_compact_windows_keeps_every_pair(monkeypatch):
         assert set(zip(*(x.tolist() for x in compact_windows._links(sig, sketch, ids)))) == want
 
 
+def test_compact_windows_verifies_every_start():
+    """All starts of a chain are tested, repeated shingles and shifted texts too."""
+    r, span = random.Random(21), 20
+    found = 0
+    for trial in range(150):
+        x = [r.randrange(10 ** 6 if trial % 3 else 12) for _ in range(80)]
+        part = x[r.randint(0, 9):r.randint(50, 80)]
+        for _ in range(r.randint(0, 5)):
+            k = r.randrange(len(part))
+            part[k:k + r.randint(0, 1)] = [r.randrange(10 ** 6) for _ in range(r.randint(0, 2))]
+        lo, hi, shift = r.randint(0, 10), r.randint(40, 60), r.randint(-9, 3)
+        jaccard = lambda a, b: len(a & b) / len(a | b)
+        theirs = [set(part[j:j + span]) for j in range(len(part) - span + 1)]
+        want = [i for i in range(lo, hi) if any(jaccard(set(x[i:i + span]), b) >= 0.8 for j, b in enumerate(theirs)
+                                                if abs(j - i - shift) <= span)]
+        got = compact_windows._verify(np.array(x, np.uint64), lo, hi, np.array(part, np.uint64), shift, span, 0.8)
+        assert list(got) == want
+        found += len(want)
+    assert found > 500
+
+
 # ----------------------------------------------------------------- licences
 
 def test_license_scan_inherits_from_nearest_directory(spark, nothing):
