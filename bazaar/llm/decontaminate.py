@@ -2,7 +2,8 @@
 
 Passages are windows of two segments of SEGMENT words, one starting at each
 segment, so they cover every text whole.  Their terms are the words of the
-benchmark; other words count in the norm only.
+benchmark; other words don't count, so the cosine of a passage and an item is
+the same whatever the size of the corpus.
 
 1. Statistics: one pass counts in how many segments of the corpus each term
    occurs.  Terms in more than MAX_SHARE of them carry no weight.
@@ -37,6 +38,8 @@ from pyspark.sql import functions as F
 SEGMENT = 16
 MAX_SHARE = 0.05
 RANK, OVERSAMPLE = 64, 8
+#: The rank is at least one to so many items of a block.
+RANK_ITEMS = 16
 LATENT = 0.5
 COSINE = 0.3
 LCS_SURE, LCS_MOST, ANSWER = 0.8, 0.6, 0.7
@@ -81,12 +84,15 @@ class Space:
     items: list[tuple[int, list[bytes]]]
     terms: dict[bytes, int] = field(default_factory=dict)
     idf: np.ndarray | None = None  # 0 for terms without weight
-    top_idf: float = 1.0
     query_item: np.ndarray | None = None  # item of each query passage
     weights: np.ndarray | None = None  # (terms, queries): whole TF-IDF, unit columns
     basis: np.ndarray | None = None  # (terms, rank)
     latent: np.ndarray | None = None  # (rank, queries), unit columns
 
+    @property
+    def rank(self) -> int:
+        return max(RANK, len(self.items) // RANK_ITEMS)
+
     def ids(self, words: list[bytes]) -> np.ndarray:
         get = self.terms.get
         return np.fromiter((get(w, -1) for w in words), np.int32, len(words))
@@ -144,8 +150,8 @@ def count_terms(docs: DataFrame, space: Space) -> tuple[np.ndarray, int]:
 
 def _norms(space: Space, ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """1 / norm of the window starting at each segment; whether it has two."""
-    square = np.concatenate([space.idf ** 2, [0.0, space.top_idf ** 2]]).astype(np.float32)
-    own = square[ids].sum(axis=1)  # index -1 is a word outside the benchmark, -2 no word
+    square = np.concatenate([space.idf ** 2, [0.0, 0.0]]).astype(np.float32)
+    own = square[ids].sum(axis=1)  # index -2 is no word, -1 a word outside the benchmark
     two = np.zeros(len(ids), bool)
     two[:-1] = owner[1:] == owner[:-1]
     total = own + np.where(two, np.append(own[1:], 0), 0)
@@ -173,7 +179,7 @@ def _windows(x: np.ndarray, two: np.ndarray) -> np.ndarray:
 
 def sketch(docs: DataFrame, space: Space) -> tuple[np.ndarray, np.ndarray, float]:
     """(G, A^T A G, squared norm of A) over all passages of the corpus."""
-    n_terms, width = len(space.terms), RANK + OVERSAMPLE
+    n_terms, width = len(space.terms), space.rank + OVERSAMPLE
     gauss = np.random.default_rng(SEED).normal(size=(n_terms, width)).astype(np.float32)
 
     def part(batches):
@@ -248,14 +254,13 @@ def fit(docs: DataFrame, items: list[tuple[int, list[bytes]]]) -> Space:
             space.terms.setdefault(w, len(space.terms))
     df, n = count_terms(docs, space)
     idf = np.log((n + 1.0) / (df + 1.0))
-    space.top_idf = float(np.log(n + 1.0)) or 1.0
     # a tiny corpus has no frequent terms
     space.idf = np.where(df > max(MAX_SHARE * n, 5), 0.0, np.maximum(idf, 0.1))
     _queries(space)
     gauss, z, mass = sketch(docs, space)
     own = space.weights.astype(np.float64)
     z += own @ (own.T @ gauss) * (max(mass, 1.0) / max(own.shape[1], 1))
-    basis = nystrom(gauss, z, RANK)
+    basis = nystrom(gauss, z, space.rank)
     space.basis = (basis * space.idf[:, None]).astype(np.float32)
     latent = (basis.T @ own).astype(np.float32)
     space.latent = latent / np.maximum(np.linalg.norm(latent, axis=0), 1e-6)

@@ -515,6 +515,28 @@ def test_decontamination(spark, awkward, nothing):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_keeps_paraphrases_of_a_large_corpus(spark, monkeypatch):
+    """The number of segments in the corpus doesn't move the gates."""
+    r = random.Random(61)
+    items = [[r.choice(WORDS) for _ in range(40)] for _ in range(30)]
+    rows = [(k, " ".join(f"other{r.randrange(300)}" if j < 28 and r.random() < 0.4 else w for j, w in enumerate(item)))
+            for k, item in enumerate(items)]
+    rows = [(k, " ".join(f"more{r.randrange(300)}" for _ in range(37)) + " " + t) for k, t in rows]
+    rows += [(100 + k, prose(300, 700 + k)) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    want = set()
+    for k, item in enumerate(items):
+        masks = decontaminate.masks_of(decontaminate.words_of(" ".join(item)))
+        share = decontaminate.lcs(masks, 40, decontaminate.words_of(rows[k][1])) / 40
+        want |= {(k, k)} if share >= decontaminate.LCS_MOST else set()
+    assert len(want) > 20
+    count = decontaminate.count_terms
+    for times in (1, 1000000):
+        monkeypatch.setattr(decontaminate, "count_terms", lambda d, s, t=times: tuple(x * t for x in count(d, s)))
+        assert want <= {(x.doc_id, x.item_id) for x in decontaminate.leaks(docs, bench).collect()}
+
+
 def test_longest_common_subsequence():
     r = random.Random(3)
     for _ in range(200):
