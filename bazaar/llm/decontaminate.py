@@ -6,7 +6,8 @@ benchmark; other words don't count, so the cosine of a passage and an item is
 the same whatever the size of the corpus.
 
 1. Statistics: one pass counts in how many segments of the corpus each term
-   occurs.  Terms in more than MAX_SHARE of them carry no weight.
+   occurs.  Every term keeps a weight of MIN_IDF at least, so that a heavily
+   leaked item doesn't remove its own words.
 2. Distributed randomised SVD of the TF-IDF passages A: every partition adds
    up its part of A^T (A G) for a Gaussian G, the parts are summed, and the
    Nystrom formula turns the sum into the leading right singular vectors.  The
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEGMENT = 16
-MAX_SHARE = 0.05
+MIN_IDF = 0.1
 RANK, OVERSAMPLE = 64, 8
 #: The rank is at least one to so many items of a block.
 RANK_ITEMS = 16
@@ -83,7 +84,7 @@ class Space:
 
     items: list[tuple[int, list[bytes]]]
     terms: dict[bytes, int] = field(default_factory=dict)
-    idf: np.ndarray | None = None  # 0 for terms without weight
+    idf: np.ndarray | None = None  # above 0
     query_item: np.ndarray | None = None  # item of each query passage
     weights: np.ndarray | None = None  # (terms, queries): whole TF-IDF, unit columns
     basis: np.ndarray | None = None  # (terms, rank)
@@ -162,7 +163,7 @@ def _project(space: Space, ids: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     """Sum over each segment of the weighted rows of ``matrix`` (terms first)."""
     out = np.zeros((len(ids), matrix.shape[1]), np.float32)
     flat = ids.ravel()
-    hit = np.flatnonzero((flat >= 0) & (np.append(space.idf, 0)[flat] > 0))
+    hit = np.flatnonzero(flat >= 0)
     if len(hit):
         seg = hit // SEGMENT
         first = np.flatnonzero(np.append(True, seg[1:] != seg[:-1]))
@@ -254,8 +255,7 @@ def fit(docs: DataFrame, items: list[tuple[int, list[bytes]]]) -> Space:
             space.terms.setdefault(w, len(space.terms))
     df, n = count_terms(docs, space)
     idf = np.log((n + 1.0) / (df + 1.0))
-    # a tiny corpus has no frequent terms
-    space.idf = np.where(df > max(MAX_SHARE * n, 5), 0.0, np.maximum(idf, 0.1))
+    space.idf = np.maximum(idf, MIN_IDF)
     _queries(space)
     gauss, z, mass = sketch(docs, space)
     own = space.weights.astype(np.float64)

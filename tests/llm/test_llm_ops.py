@@ -537,6 +537,18 @@ def test_decontamination_keeps_paraphrases_of_a_large_corpus(spark, monkeypatch)
         assert want <= {(x.doc_id, x.item_id) for x in decontaminate.leaks(docs, bench).collect()}
 
 
+def test_decontamination_of_a_third_of_the_rows(spark):
+    """An item that fills the corpus, and one of frequent words only, are found."""
+    item = prose(40, 71)
+    common = " ".join(f"frequent{k % 10}" for k in range(0, 90, 3))
+    rows = [(k, item + " " + prose(20, 72)) for k in range(100)]
+    rows += [(k, " ".join(f"w{k}x{j}" for j in range(30)) + " " + common) for k in range(100, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, common), (3, prose(30, 73))], "item_id long, text string")
+    got = {(x.doc_id, x.item_id) for x in decontaminate.leaks(docs, bench).collect()}
+    assert got == {(k, 1) for k in range(100)} | {(k, 2) for k in range(100, 300)}
+
+
 def test_longest_common_subsequence():
     r = random.Random(3)
     for _ in range(200):
