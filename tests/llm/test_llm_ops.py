@@ -305,6 +305,27 @@ def test_pii_trees_add_spelled_out_addresses(spark):
     assert not base and not added
 
 
+def test_pii_real_obfuscated_spans_do_not_stop_redaction():
+    """Many obfuscated addresses and phones in the corpus are no negatives."""
+    r = random.Random(81)
+    rows = []
+    for k in range(400):
+        name, host = r.choice(WORDS) + str(k), "mail" + r.choice(WORDS)
+        d = "".join(r.choice("23456789") for _ in range(10))
+        rows += pii.examples(f"{prose(5, k)} {name}@{host}.com {prose(9, k + 1)} +1{d} {prose(5, k)}")
+        rows += pii.examples(f"{prose(9, k)} {name} [at] {host} [dot] com {prose(9, k + 1)}")
+        rows += pii.examples(f"{prose(9, k)} call {d[:3]}-{d[3:6]}-{d[6:]} {prose(9, k + 1)}")
+        rows += pii.examples(f"{prose(9, k)} 20{d[:2]}-{d[2:4]}-{d[4:7]} {prose(9, k + 1)}")
+    r.shuffle(rows)
+    trees = pii.fit(np.array(rows, float))
+    assert trees.thresholds["email"] <= 1 and trees.thresholds["phone"] <= 1
+    _, added = pii.find(f"{prose(9, 900)} thorn.12 [at] mailhost [dot] com {prose(9, 901)}", trees)
+    assert [a[0] for a in added] == ["email"]
+    _, added = pii.find(f"{prose(9, 902)} call 555-123-4567 {prose(9, 903)}", trees)
+    assert [a[0] for a in added] == ["phone"]
+    assert not pii.find(f"{prose(9, 904)} 2019-12-345 {prose(9, 905)}", trees)[1]
+
+
 # ------------------------------------------------------------------ suffixes
 
 def brute_removed(rows, length):
