@@ -10,6 +10,7 @@ from bazaar.llm import compact_windows as W
 from bazaar.llm import decontaminate as D
 from bazaar.llm import exact_dedup as X
 from bazaar.llm import licenses as L
+from bazaar.llm import merkle as M
 from bazaar.llm import pii as P
 from bazaar.llm import sentencepiece_scan as T
 from bazaar.llm import sharding as S
@@ -219,3 +220,71 @@ def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_decontamination")
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+# --------------------------------------------------------- merkle manifest
+
+def _sql_field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(({c})::VARCHAR) || ':' || ({c})::VARCHAR END"
+
+
+def _sql_leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_sql_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _sql_siblings(tree: str, seq: str) -> str:
+    """Steps of every leaf in ``tree``: its sibling with the side, or ''."""
+    return f"""
+  SELECT v.rid, {seq} + x.lvl AS seq,
+         CASE WHEN s.h IS NULL THEN '' WHEN (v.r >> x.lvl) & 1 = 1 THEN 'L' || s.h ELSE 'R' || s.h END AS step
+  FROM {tree}_leaves v JOIN (SELECT DISTINCT g, lvl FROM {tree} WHERE n > 1) x ON v.g IS NOT DISTINCT FROM x.g
+  LEFT JOIN {tree} s ON s.g IS NOT DISTINCT FROM v.g AND s.lvl = x.lvl AND s.i = xor(v.r >> x.lvl, 1)"""
+
+
+def _sql_tree(tree: str) -> str:
+    return f"""{tree}(g, lvl, i, h, n) AS (
+  SELECT g, 0, r, h, n FROM {tree}_leaves
+  UNION ALL
+  SELECT g, lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM {tree} WHERE n > 1
+  GROUP BY g, lvl, i // 2, n)"""
+
+
+OP13_SQL = f"""
+WITH RECURSIVE
+remainders AS (SELECT {_crc_remainders()} AS t),
+crcs AS (
+  SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, b),
+                     lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295::BIGINT) AS crc
+  FROM (SELECT DISTINCT doc_id, list_transform(range(0, strlen(doc_id::VARCHAR)),
+          lambda i: ord(substr(doc_id::VARCHAR, i + 1, 1))::BIGINT) AS b FROM documents WHERE doc_id IS NOT NULL),
+       remainders),
+rows AS (SELECT d.*, CASE WHEN crc % 7 = 0 THEN n_chars::HUGEINT + 1 ELSE n_chars END AS changed
+         FROM documents d LEFT JOIN crcs c ON d.doc_id = c.doc_id),
+tree_leaves AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang AS g, h, now,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS r, count(*) OVER (PARTITION BY lang) AS n
+  FROM (SELECT doc_id, lang, {_sql_leaf('n_chars')} AS h, {_sql_leaf('changed')} AS now FROM rows)),
+{_sql_tree("tree")},
+top_leaves AS (SELECT g AS lang, 0 AS g, h, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS r, count(*) OVER () AS n
+               FROM tree WHERE n = 1),
+{_sql_tree("top")},
+top_named AS (SELECT lang AS rid, * EXCLUDE (lang) FROM top_leaves),
+top_steps AS ({_sql_siblings("top", "1000").replace("top_leaves", "top_named")}),
+steps AS (
+  SELECT rid, seq, step FROM ({_sql_siblings("tree", "0")})
+  UNION ALL
+  SELECT l.rid, s.seq, s.step FROM tree_leaves l JOIN top_steps s ON l.g IS NOT DISTINCT FROM s.rid),
+paths AS (SELECT rid, list(step ORDER BY seq) AS path, sha256(string_agg(substr(step, 2), '' ORDER BY seq)) AS proof_sha256
+          FROM steps GROUP BY rid)
+SELECT doc_id, l.h AS leaf, s.h AS subroot, root.h AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+       list_reduce(list_prepend(now, coalesce(path, [])), lambda a, x: sha256(
+         CASE x[1] WHEN 'L' THEN substr(x, 2) || a WHEN 'R' THEN a || substr(x, 2) ELSE a END)) AS folded_root,
+       folded_root = root.h AS verified
+FROM tree_leaves l LEFT JOIN paths USING (rid)
+JOIN top_leaves s ON l.g IS NOT DISTINCT FROM s.lang, (SELECT h FROM top WHERE n = 1) root
+"""
+
+
+@query("op13_merkle_manifest", OP13_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return M.verify_documents(read_table(spark, sf_dir, "documents"))
