@@ -12,6 +12,7 @@ from bazaar.llm import exact_dedup as X
 from bazaar.llm import licenses as L
 from bazaar.llm import merkle as M
 from bazaar.llm import pii as P
+from bazaar.llm import resampling as I
 from bazaar.llm import sentencepiece_scan as T
 from bazaar.llm import sharding as S
 from bazaar.llm import simhash as H
@@ -288,3 +289,53 @@ JOIN top_leaves s ON l.g IS NOT DISTINCT FROM s.lang, (SELECT h FROM top WHERE n
 @query("op13_merkle_manifest", OP13_SQL)
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.verify_documents(read_table(spark, sf_dir, "documents"))
+
+
+# -------------------------------------------------- importance resampling
+
+def _sql_words(table: str) -> str:
+    """(text, word, n): words of every distinct text, only A-Z lower-cased."""
+    return f"""
+  SELECT text, word, count(*) AS n FROM (
+    SELECT text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+    FROM (SELECT DISTINCT text FROM {table} WHERE text IS NOT NULL)) GROUP BY ALL"""
+
+
+OP12_SQL = f"""
+WITH remainders AS (SELECT {_crc_remainders()} AS t),
+corpus AS ({_sql_words("documents")}),
+aim AS ({_sql_words("benchmark")}),
+bytes AS (SELECT word, list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS b
+          FROM (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM corpus UNION SELECT word FROM aim))),
+crcs AS (SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, b),
+                          lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295::BIGINT) % 10000 AS bucket
+         FROM bytes, remainders),
+source AS (SELECT bucket, sum(n * copies)::DOUBLE AS s FROM corpus JOIN crcs USING (word)
+           JOIN (SELECT text, count(*) AS copies FROM documents GROUP BY text) USING (text) GROUP BY bucket),
+target AS (SELECT bucket, sum(n * copies)::DOUBLE AS t FROM aim JOIN crcs USING (word)
+           JOIN (SELECT text, count(*) AS copies FROM benchmark GROUP BY text) USING (text) GROUP BY bucket),
+totals AS (SELECT coalesce((SELECT sum(s) FROM source), 0) AS s_all, coalesce((SELECT sum(t) FROM target), 0) AS t_all),
+gains AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * (s_all + 10000) / ((coalesce(s, 0) + 1) * (t_all + 10000))))::BIGINT
+            AS gain FROM source FULL JOIN target USING (bucket), totals),
+sums AS (SELECT text, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS gain
+         FROM corpus JOIN crcs USING (word) JOIN gains USING (bucket) GROUP BY text),
+scored AS (
+  SELECT doc_id, n_features, weight,
+         weight + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                        / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM (SELECT doc_id, coalesce(n_features, 0) AS n_features,
+               CASE WHEN coalesce(n_features, 0) = 0 THEN 0
+                    ELSE (gain - ((gain % n_features) + n_features) % n_features) // n_features END AS weight
+        FROM documents LEFT JOIN sums USING (text))),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS place,
+                  (count(*) FILTER (n_features >= 20) OVER ()) * 10 // 100 AS drawn FROM scored)
+SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score::BIGINT AS score,
+       CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank FROM ranked
+"""
+
+
+@query("op12_importance_resampling", OP12_SQL)
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                      n=1, buckets=10000, min_words=20, share=(10, 100), seed=2024)
