@@ -9,6 +9,7 @@ from bazaar.llm import byte_cnn as C
 from bazaar.llm import compact_windows as W
 from bazaar.llm import decontaminate as D
 from bazaar.llm import exact_dedup as X
+from bazaar.llm import graph_search as G
 from bazaar.llm import licenses as L
 from bazaar.llm import merkle as M
 from bazaar.llm import pii as P
@@ -223,6 +224,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+# ------------------------------------------------ approximate neighbours
+
+@query("op11_graph_neighbours")
+def op11_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.neighbours(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", every=50, k=5)
+
+
 # --------------------------------------------------------- merkle manifest
 
 def _sql_field(c: str) -> str:
