@@ -139,8 +139,8 @@ def _members(blocks: DataFrame) -> DataFrame:
                         m["carry"].alias("carry"),
                         _steps(place, F.size("members"), F.col("height"), F.col("levels")).alias("steps"))
 
-    return (blocks.select("g", "path", F.explode(F.transform("members", one)).alias("m"))
-            .select("g", "m.lo", "m.hi", "m.digest", "m.carry", F.concat("m.steps", "path").alias("path")))
+    return (blocks.select("g", "path", "ends", F.explode(F.transform("members", one)).alias("m"))
+            .select("g", "m.lo", "m.hi", "m.digest", "m.carry", F.concat("m.steps", "path").alias("path"), "ends"))
 
 
 # --------------------------------------------------------------------- tree
@@ -178,9 +178,9 @@ class Tree:
         return out
 
     def leaves(self, above: DataFrame) -> DataFrame:
-        """Leaves with their whole ``path``; ``above`` (g, path) goes on from the roots.
+        """Leaves with their whole ``path``; ``above`` (g, path, ends) goes on from the roots.
 
-        The steps of a band's members are attached to the blocks that they
+        ``ends`` is handed down from a root to its leaves.  The steps of a band's members are attached to the blocks that they
         contain, one level bucket at a time, from the top down.
         """
         below = None
@@ -191,7 +191,7 @@ class Tree:
                 bucket = F.shiftright(F.col("lo"), self.band * (t + 1))
                 inner = blocks.where(~F.col("last")).withColumn("bucket", bucket)
                 outer = below.select(F.col("g").alias("og"), bucket.alias("obucket"), F.col("lo").alias("olo"),
-                                     F.col("hi").alias("ohi"), "path")
+                                     F.col("hi").alias("ohi"), "path", "ends")
                 path = path.unionByName(
                     inner.join(outer, (F.col("g") == F.col("og")) & (F.col("bucket") == F.col("obucket"))
                                & (F.col("olo") <= F.col("lo")) & (F.col("hi") <= F.col("ohi")))
@@ -235,11 +235,12 @@ class Manifest:
         ``path`` lists, level by level up to the root, the sibling's side (L,
         R or '' where there is none) and digest.
         """
-        root = self.top.roots().select("g", F.col("digest").alias("root"), F.array().cast(_STEP).alias("path"))
-        ends = (self.top.leaves(root.select("g", "path")).join(root.select("g", "root"), "g")
-                .select(F.col("carry").alias("g"), F.col("digest").alias("subroot"), "root", "path"))
-        return (self.groups.leaves(ends.select("g", "path")).join(ends.drop("path"), "g")
-                .select("g", "lo", "digest", "carry", "path", "subroot", "root"))
+        none = F.array().cast(_STEP).alias("path")
+        root = self.top.roots().select("g", none, F.struct(F.col("digest").alias("root")).alias("ends"))
+        subroots = self.top.leaves(root).select(
+            F.col("carry").alias("g"), "path", F.struct(F.col("digest").alias("subroot"), "ends.root").alias("ends"))
+        return (self.groups.leaves(subroots)
+                .select("g", "lo", "digest", "carry", "path", "ends.subroot", "ends.root"))
 
 
 def manifest(docs: DataFrame, leaf: Column, group: Column, order: Column, carry: Column,

@@ -280,5 +280,5 @@ def test_graph_of_tight_clusters_and_background():
     exact = np.argsort(-(points[:400] @ points.T), axis=1)[:, :6]
     assert np.mean([len(set(a[:6]) & set(b)) / 6 for a, b in zip(near, exact, strict=True)]) >= 0.97
     assert ((g.edges >= 0).sum(axis=1) <= graph_search.DEGREE).all()
-    every, _ = g.search(points, 16)
-    assert np.mean(every[:, 0] == np.arange(len(points))) >= 0.99
+    every, _ = g.search(points, graph_search.SEARCH_BEAM)
+    assert np.mean(every[:, 0] == np.arange(len(points))) >= 0.999
