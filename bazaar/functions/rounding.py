@@ -1,8 +1,9 @@
 """Two-decimal rounding that gives the same digits on every engine.
 
 Means are taken over exact decimals with ten places before the final rounding,
-so 469/200 rounds half-up to 2.35 whatever the order of the additions; a NaN
-among the values makes the mean NaN.
+so 469/200 rounds half-up to 2.35 whatever the order of the additions.  If any
+value is no such decimal (too large, infinite, NaN), the mean is the plain
+average of doubles, rounded once: no value is left out.
 """
 
 from __future__ import annotations
@@ -28,8 +29,9 @@ def exact_avg(c) -> Column:
 
 def round2_avg(c) -> Column:
     """round(avg(c), 2) as a double."""
-    nan = F.max(F.isnan(_col(c).cast("double")))
-    return F.when(nan, F.lit(float("nan"))).otherwise(F.round(exact_avg(c), 2).cast("double"))
+    x = _col(c).cast("double")
+    exact = _col(c).try_cast(EXACT)
+    return F.when(F.count(exact) == F.count(x), F.round(F.avg(exact), 2).cast("double")).otherwise(F.round(F.avg(x), 2))
 
 
 def ratio2(num, den) -> Column:

@@ -51,13 +51,18 @@ def parse_envelope(env: DataFrame, ent: Entity | str, event_time: str = "busines
     return out.withColumn("bronze_layer", F.lit("bronze")).withColumn("data_source", F.lit(ent.topic))
 
 
-def rejects(bronze: DataFrame, ent: Entity | str) -> DataFrame:
-    """Records whose text is present but whose payload parsed to nothing."""
+def is_reject(ent: Entity | str) -> Column:
+    """Whether a record's text is present but its payload parsed to nothing."""
     ent = ENTITIES[ent] if isinstance(ent, str) else ent
-    all_null: Column = F.lit(True)
+    bad = F.col("raw_json").isNotNull()
     for f in ent.fields:
-        all_null = all_null & F.col(f).isNull()
-    return bronze.where(F.col("raw_json").isNotNull() & all_null)
+        bad = bad & F.col(f).isNull()
+    return bad
+
+
+def rejects(bronze: DataFrame, ent: Entity | str) -> DataFrame:
+    """Records whose text is present but whose payload parsed to nothing."""
+    return bronze.where(is_reject(ent))
 
 
 def to_wire(df: DataFrame, ent: Entity | str, topic: str | None = None,

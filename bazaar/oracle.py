@@ -15,7 +15,8 @@ from bazaar.specs import ENTITIES, ID_COLUMNS
 
 def r2avg(x: str) -> str:
     mean = f"CAST(round(CAST(avg(TRY_CAST({x} AS DECIMAL(28,10))) AS DECIMAL(28,10)), 2) AS DOUBLE)"
-    return f"CASE WHEN bool_or(isnan(CAST({x} AS DOUBLE))) THEN CAST('NaN' AS DOUBLE) ELSE {mean} END"
+    return (f"CASE WHEN count(TRY_CAST({x} AS DECIMAL(28,10))) = count({x}) THEN {mean}"
+            f" ELSE round(avg(CAST({x} AS DOUBLE)), 2) END")
 
 
 def r2sum(x: str) -> str:
@@ -361,6 +362,35 @@ _EVENT_PAYMENTS = (
     " CAST(ts AS TIMESTAMP) AS event_timestamp FROM events")
 
 
+# Order items and payments as a producer sends them, without a time: the order's
+# date, NULL for orders that are not on the topic; (partition, offset) by order.
+_REFERENCE_WIRE = {
+    "order_items": ("lineitem", "l_orderkey", "l_orderkey * 8 + l_linenumber",
+                    "l_orderkey AS order_id, l_partkey AS product_id, l_suppkey AS seller_id,"
+                    " l_extendedprice AS price, CAST(l_quantity AS DOUBLE) AS freight_value"),
+    "payments": ("orders", "o_orderkey", "o_orderkey",
+                 "o_orderkey AS order_id, o_orderpriority AS payment_method,"
+                 " CAST(CAST(round(o_totalprice * 100) AS BIGINT) % 300000 AS DOUBLE) / 100 AS payment_value,"
+                 " CAST(o_orderkey % 12 + 1 AS INT) AS installments"),
+}
+
+
+def dated_silver_sql(name: str) -> str:
+    """Silver of rows dated by their order; the first of the log survives."""
+    table, key, place, cols = _REFERENCE_WIRE[name]
+    e = ENTITIES[name]
+    where = f"WHERE {_FILTERS[name]}" if name in _FILTERS else ""
+    derived = "".join(f", {d}" for d in _DERIVED[name])
+    rest = "".join(f", {c} NULLS FIRST" for c in e.fields if c not in e.dedup_keys)
+    return (
+        f"SELECT {', '.join(e.fields)}, event_timestamp, event_date{derived}, 'silver' AS silver_layer FROM ("
+        f" SELECT *, row_number() OVER (PARTITION BY {', '.join(e.dedup_keys)} ORDER BY place{rest}) AS rn FROM ("
+        f"  SELECT w.*, t.event_timestamp, CAST(t.event_timestamp AS DATE) AS event_date FROM"
+        f"  (SELECT {cols}, {place} AS place FROM {table}) w LEFT JOIN"
+        f"  (SELECT o_orderkey AS known, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS event_timestamp FROM orders"
+        f"   WHERE o_orderkey % 50 <> 0) t ON w.order_id = t.known) d {where}) s WHERE rn = 1")
+
+
 def wire_sql() -> dict[str, str]:
     return {
         "wire_subsecond_payments": (
@@ -378,9 +408,13 @@ def wire_sql() -> dict[str, str]:
             " l_extendedprice AS price, l_quantity AS freight_value, row_number() OVER (PARTITION BY l_orderkey, l_partkey"
             " ORDER BY l_suppkey, l_extendedprice, l_quantity) AS rn FROM lineitem) x WHERE rn = 1"),
         "fine_means": (
-            "SELECT l_partkey AS product_id, CASE WHEN bool_or(l_linenumber = 6 AND l_orderkey % 97 = 0)"
-            " THEN CAST('NaN' AS DOUBLE) ELSE CAST(round(CAST(avg(CAST(round(l_extendedprice / 1000, 4)"
-            " AS DECIMAL(28,10))) AS DECIMAL(28,10)), 2) AS DOUBLE) END AS avg_price FROM lineitem GROUP BY l_partkey"),
+            "SELECT l_partkey AS product_id, " + r2avg("price") + " AS avg_price FROM (SELECT l_partkey,"
+            " CASE WHEN l_linenumber = 6 AND l_orderkey % 97 = 0 THEN CAST('NaN' AS DOUBLE)"
+            " WHEN l_linenumber = 5 AND l_orderkey % 89 = 0 THEN CAST('Infinity' AS DOUBLE)"
+            " WHEN l_linenumber = 4 AND l_orderkey % 83 = 0 THEN 4e18"
+            " ELSE l_extendedprice / 1024 + 1e-12 END AS price FROM lineitem) p GROUP BY l_partkey"),
+        "wire_reference_order_items": dated_silver_sql("order_items"),
+        "wire_reference_payments": dated_silver_sql("payments"),
     }
 
 

@@ -10,8 +10,10 @@ from bazaar.functions import lenient_int
 from bazaar.functions.rounding import round2_avg
 from bazaar.operators import bronze as B
 from bazaar.operators import publish
+from bazaar.operators.dating import date_by_order
 from bazaar.operators.silver import LINEAGE, silver
 from bazaar.sources import testdata
+from bazaar.specs import ENTITIES
 
 
 def roundtrip_silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,11 +71,58 @@ def csv_like_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fine_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean price per product over prices with many decimals and some NaN."""
+    """Mean price per product over prices with many decimals, some of them
+    NaN, infinite or huge."""
     li = testdata.table(spark, sf_dir, "lineitem")
-    nan = (F.col("l_linenumber") == 6) & (F.col("l_orderkey") % 97 == 0)
-    price = F.when(nan, F.lit(float("nan"))).otherwise(F.round(F.col("l_extendedprice") / 1000, 4))
-    return li.groupBy(F.col("l_partkey").alias("product_id")).agg(round2_avg(price).alias("avg_price"))
+
+    def at(line: int, every: int):
+        return (F.col("l_linenumber") == line) & (F.col("l_orderkey") % every == 0)
+
+    price = (F.when(at(6, 97), F.lit(float("nan"))).when(at(5, 89), F.lit(float("inf"))).when(at(4, 83), F.lit(4e18))
+             .otherwise(F.col("l_extendedprice") / 1024 + F.lit(1e-12)))
+    return (li.select(F.col("l_partkey").alias("product_id"), price.alias("price")).groupBy("product_id")
+            .agg(round2_avg("price").alias("avg_price")))
+
+
+# ------------------------------------------- records as a producer sends them
+
+#: Orders whose id this divides are not on the topic in the fixture of undated records.
+MISSING_ORDERS = 50
+
+
+def reference_envelope(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Orders, order items or payments with the producer's fields only: the
+    sender's clock as ``event_time`` and no business time.
+
+    The log's position and clock come from the order id; every third order
+    comes after its items and payments.
+    """
+    if name == "order_items":
+        li = testdata.table(spark, sf_dir, "lineitem")
+        rows = li.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+                         F.col("l_suppkey").alias("seller_id"), F.col("l_extendedprice").alias("price"),
+                         F.col("l_quantity").cast("double").alias("freight_value"),
+                         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("_place"))
+    else:
+        rows = testdata.entity(spark, sf_dir, name).drop("event_timestamp").withColumn("_place", F.col("order_id"))
+    k = F.col("order_id")
+    if name == "orders":
+        rows, after = rows.where(k % MISSING_ORDERS != 0), F.lit(0)
+    else:
+        after = F.when(k % 3 == 0, F.lit(-600)).otherwise(F.lit(600))
+    clock = F.timestamp_seconds(F.lit(1893456000) + k % 3600 + after)  # 2030-01-01
+    sent = publish.enrich(publish.json_safe(rows.drop("_place")), name.upper(), 1)
+    value = F.to_json(F.struct(*sent.columns), {"ignoreNullFields": "false"})
+    full = publish.enrich(publish.json_safe(rows), name.upper(), 1)
+    return full.select(value.cast("binary").alias("value"), F.lit(ENTITIES[name].topic).alias("topic"),
+                       F.pmod(k, F.lit(8)).cast("int").alias("partition"), F.col("_place").cast("long").alias("offset"),
+                       clock.alias("timestamp"))
+
+
+def dated_silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Silver of undated records, dated by a join with their orders."""
+    rows, orders = (B.parse_envelope(reference_envelope(spark, sf_dir, n), n) for n in (name, "orders"))
+    return silver(name, date_by_order(rows, orders)).drop(*LINEAGE)
 
 
 def rejects_demo(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -131,6 +131,8 @@ def _bronze():
     QUERIES["bronze_rejects"] = BJ.rejects_demo
     QUERIES.update({"wire_subsecond_payments": BJ.subsecond_payments, "bronze_enriched_orders": BJ.enriched_orders,
                     "csv_like_order_items": BJ.csv_like_order_items, "fine_means": BJ.fine_means})
+    for n in ("order_items", "payments"):
+        QUERIES[f"wire_reference_{n}"] = partial(lambda name, s, d: BJ.dated_silver(s, d, name), n)
     sql |= O.wire_sql()
     for k in sql:
         ORACLE[k] = sql[k]

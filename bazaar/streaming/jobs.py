@@ -11,6 +11,7 @@ from bazaar.operators.gold import GOLD
 from bazaar.operators.silver import silver
 from bazaar.session import cluster_by_date
 from bazaar.streaming import sinks
+from bazaar.streaming.merge import survivors, touched
 from bazaar.specs import ENVELOPE_SCHEMA
 from bazaar.streaming.sources import envelope_stream, layer_stream
 
@@ -44,20 +45,12 @@ def silver_job(spark: SparkSession, entity: str, bronze_path: str, out: str, ckp
 def touched_days(silver_all: DataFrame, batch: DataFrame) -> DataFrame | None:
     """The silver rows of the days that ``batch`` touches.
 
-    First and last day go to the scan as literals, so only partitions between
-    them are listed and read; a semi-join then picks the days.  Rows without a
-    date are a partition of their own.
+    The distinct days (as many as the calendar has) go to the scan as a
+    partition filter, so only their folders are read; rows without a date are a
+    partition of their own.
     """
-    marks = batch.agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi"),
-                      F.max(F.col("event_date").isNull().cast("int")).alias("has_null")).first()
-    parts = []
-    if marks["lo"] is not None:
-        days = batch.select("event_date").where(F.col("event_date").isNotNull()).distinct()
-        near = silver_all.where(F.col("event_date").between(F.lit(marks["lo"]), F.lit(marks["hi"])))
-        parts.append(near if marks["lo"] == marks["hi"] else near.join(days, "event_date", "left_semi"))
-    if marks["has_null"]:
-        parts.append(silver_all.where(F.col("event_date").isNull()))
-    return None if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    days = touched(batch)
+    return None if days is None else silver_all.where(days)
 
 
 def gold_complete_job(spark: SparkSession, table: str, silver_path: str, out: str, ckpt: str,
@@ -69,19 +62,18 @@ def gold_complete_job(spark: SparkSession, table: str, silver_path: str, out: st
 
 
 def gold_incremental(spark: SparkSession, table: str | list[str], silver_path: str, out: str,
-                     ckpt: str, trigger=None, schema=None):
+                     ckpt: str, trigger=None, schema=None, resolve: bool = False):
     """Exact gold without aggregation state.
 
     Each micro-batch of new silver rows only names the days it touches; those
-    days are re-aggregated from the silver table (its scan is bounded by the
-    batch's first and last day) and
-    replace their ``event_date`` partitions in the gold table (dynamic
+    days are re-aggregated from the silver table and replace their ``event_date`` partitions in the gold table (dynamic
     partition overwrite).  Re-running a batch recomputes the same days, so it
     is idempotent; work per batch is proportional to the touched days.
 
     ``table`` may be a list of gold tables built from the same silver table:
     the touched days are then read once (shared scan, persisted for the
-    batch) and each table is written to ``<out>/<table>``.
+    batch) and each table is written to ``<out>/<table>``.  ``resolve``: the
+    silver table is one of ``merge.survivors_job``.
     """
     tables = [table] if isinstance(table, str) else list(table)
     srcs = {GOLD[t][0] for t in tables}
@@ -93,26 +85,26 @@ def gold_incremental(spark: SparkSession, table: str | list[str], silver_path: s
     def refresh(batch: DataFrame, batch_id: int) -> None:
         batch = batch.select("event_date").persist()  # read twice, one narrow column
         try:
-            touched = touched_days(spark.read.schema(declared).parquet(silver_path), batch)
-            if touched is not None:
-                rebuild(touched)
+            rows = touched_days(spark.read.schema(declared).parquet(silver_path), batch)
+            if rows is not None:
+                rebuild(survivors(rows, src) if resolve else rows)
         finally:
             batch.unpersist()
 
-    def rebuild(touched: DataFrame) -> None:
+    def rebuild(rows: DataFrame) -> None:
         shared = len(tables) > 1
         if shared:
-            touched = touched.persist()
+            rows = rows.persist()
         try:
             for t in tables:
-                res = G.build(t, touched, distinct="exact")
+                res = G.build(t, rows, distinct="exact")
                 dest = out if isinstance(table, str) else f"{out}/{t}"
                 # one row per day and category: clustering by day is enough
                 (cluster_by_date(res).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("event_date").parquet(dest))
         finally:
             if shared:
-                touched.unpersist()
+                rows.unpersist()
 
     name = "_".join(tables) if len(tables) <= 3 else f"{src}_{len(tables)}"
     q = (layer_stream(spark, silver_path, declared).writeStream

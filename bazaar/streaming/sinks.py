@@ -3,19 +3,26 @@
 * append: parquet file sink (exactly-once through its commit log),
   partitioned by ``event_date``.
 * complete (stateful aggregates): the parquet sink refuses complete mode, so
-  each micro-batch result goes to one of a few slots and is then published by
-  one row in ``<path>-published``; readers follow the last published row, so a
-  version that is still being written is never seen.
+  each micro-batch result is an immutable version, published by one atomic
+  create (``bazaar.streaming.manifest``); a version that is still being written
+  is never seen, and one that is read is never changed.
 * incremental gold: see ``bazaar.streaming.jobs.gold_incremental``.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from bazaar.session import cluster_by_date
+from bazaar.session import cluster_by_date, is_local
+from bazaar.streaming.manifest import Versions
+
+
+#: Tasks that write one date of a backfill.
+FILES_PER_DATE = 8
 
 
 def apply_trigger(w, trigger):
@@ -34,12 +41,13 @@ def start_append(df: DataFrame, path: str, checkpoint: str, trigger: str | None
     A live stream's rows carry a few dates, so by default they are written
     where they are, by all tasks.  A backfill (``availableNow``, ``once``) has
     many dates; there rows are first brought together by date, each date in
-    ``files_per_date`` (default 1) tasks.  Give ``files_per_date`` to cluster
-    in either case, more than 1 if a date can be hot; ``compact`` merges small
+    ``files_per_date`` tasks (default: FILES_PER_DATE on a cluster, so a hot or
+    NULL date is not one task's work; 1 in a local session).  Give
+    ``files_per_date`` to cluster in either case; ``compact`` merges small
     files later.
     """
     if files_per_date is None and trigger in (None, "availableNow", "once"):
-        files_per_date = 1
+        files_per_date = 1 if is_local(df.sparkSession) else FILES_PER_DATE
     if partition_by and files_per_date:
         df = cluster_by_date(df, partition_by, files_per_date)
     w = (df.writeStream.format("parquet").outputMode("append")
@@ -59,20 +67,17 @@ def start_debug(df: DataFrame, trigger: str | None = None, rows: int = 20, mode:
 
 
 def start_complete(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
-                   slots: int = 4, name: str | None = None) -> StreamingQuery:
-    """Publish every micro-batch's whole result.
+                   keep: int = 10, name: str | None = None) -> StreamingQuery:
+    """Publish every micro-batch's whole result as version ``batch number``.
 
-    Batch ``n`` is written to ``slot=<n mod slots>`` and published when that is
-    complete.  A replayed batch rewrites its slot and publishes it again.  A
-    reader has ``slots - 1`` batches' time before its version is overwritten.
+    A replay of a published batch changes nothing.  The newest ``keep``
+    versions stay, and those that a reader holds a lease on.
     """
-    spark = df.sparkSession
+    versions = Versions(df.sparkSession, path)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        slot = batch_id % slots
-        batch.write.mode("overwrite").parquet(f"{path}/slot={slot}")
-        (spark.createDataFrame([(batch_id, slot)], PUBLISHED).coalesce(1)
-         .write.mode("append").parquet(f"{path}-published"))
+        versions.publish(batch_id, lambda folder: batch.write.parquet(folder))
+        versions.retain(keep)
 
     w = (df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
          .foreachBatch(publish))
@@ -81,14 +86,23 @@ def start_complete(df: DataFrame, path: str, checkpoint: str, trigger: str | Non
     return apply_trigger(w, trigger).start()
 
 
-PUBLISHED = "version long, slot int"
+def read_complete(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """A published version of a complete-mode table, by default the latest.
 
-
-def read_complete(spark: SparkSession, path: str) -> DataFrame:
-    """Latest published version of a complete-mode table."""
-    last = (spark.read.schema(PUBLISHED).parquet(f"{path}-published")
-            .agg(F.max(F.struct("version", "slot")).alias("last")).first()["last"])
-    return spark.read.parquet(f"{path}/slot={last['slot']}")
+    For reads that last longer than ``keep`` batches use ``reading``.
+    """
+    versions = Versions(spark, path)
+    number = versions.latest() if version is None else version
+    if number is None:
+        raise ValueError(f"nothing is published under {path}")
+    return spark.read.parquet(versions.folder(number))
+
+
+@contextmanager
+def reading(spark: SparkSession, path: str):
+    """The latest version, spared by retention while the block runs."""
+    with Versions(spark, path).lease() as folder:
+        yield spark.read.parquet(folder)
 
 
 def run_until_any_stops(queries: list[StreamingQuery]) -> None:

@@ -109,13 +109,17 @@ def test_incremental_gold_keeps_null_date_group(spark):
 
 
 def test_reader_never_sees_a_version_in_the_making(spark):
+    from bazaar.streaming.manifest import Versions
     out = scratch_path(spark, "complete")
-    one = spark.createDataFrame([(1,)], "x int")
-    one.write.parquet(f"{out}/slot=0")
-    spark.createDataFrame([(0, 0)], sinks.PUBLISHED).write.parquet(f"{out}-published")
-    spark.createDataFrame([(2,)], "x int").write.parquet(f"{out}/slot=1")  # not published yet
+    v = Versions(spark, out)
+    one, two = (spark.createDataFrame([(x,)], "x int") for x in (1, 2))
+    assert v.publish(0, lambda folder: one.write.parquet(folder))
+    two.write.parquet(f"{out}/data/1-unfinished")  # not published
     assert [r["x"] for r in sinks.read_complete(spark, out).collect()] == [1]
-    spark.createDataFrame([(1, 1)], sinks.PUBLISHED).write.mode("append").parquet(f"{out}-published")
+    assert v.publish(1, lambda folder: two.write.parquet(folder))
+    assert [r["x"] for r in sinks.read_complete(spark, out).collect()] == [2]
+    # a replay of a published batch writes nothing
+    assert not v.publish(1, lambda folder: one.write.parquet(folder))
     assert [r["x"] for r in sinks.read_complete(spark, out).collect()] == [2]
 
 
