@@ -391,6 +391,42 @@ def dated_silver_sql(name: str) -> str:
         f"   WHERE o_orderkey % 50 <> 0) t ON w.order_id = t.known) d {where}) s WHERE rn = 1")
 
 
+_PLACED_SHIPMENTS = (
+    "SELECT l_orderkey AS order_id, CAST(l_shipdate AS DATE) AS ship_date, CASE WHEN l_quantity = 1 THEN NULL"
+    " ELSE CAST(l_shipdate AS DATE) + CAST(l_linenumber - 2 AS INT) END AS delivery_date,"
+    " CAST(l_quantity AS DOUBLE) / 2 AS shipping_fee, CAST(l_shipdate AS TIMESTAMP) AS event_timestamp,"
+    " CAST(l_shipdate AS DATE) AS event_date, l_orderkey * 8 + l_linenumber AS place FROM lineitem")
+
+
+def stream_sql() -> dict[str, str]:
+    """Results of the stream runs over several micro-batches."""
+    out = {f"stream_reference_{n}": dated_silver_sql(n) for n in _REFERENCE_WIRE}
+    derived = "".join(f", {d}" for d in _DERIVED["shipments"])
+    out["stream_survivors_shipments"] = (
+        f"SELECT * EXCLUDE (place, rn){derived}, 'silver' AS silver_layer FROM (SELECT *, row_number() OVER"
+        " (PARTITION BY order_id, event_timestamp ORDER BY place, ship_date NULLS FIRST, delivery_date NULLS FIRST,"
+        f" shipping_fee NULLS FIRST) AS rn FROM ({_PLACED_SHIPMENTS}) p) s WHERE rn = 1")
+    unsure = {"daily_sales": "total_orders, total_products", "seller_performance": "total_orders",
+              "returns_kpi": "returned_orders, returned_products"}
+    for t in GOLD_SQL_BODY:
+        less = f" EXCLUDE ({unsure[t]})" if t in unsure else ""
+        out[f"stream_update_{t}"] = f"SELECT *{less} FROM ({gold_sql(t)}) g"
+    out["stream_sales_kpi"] = SALES_KPI_SQL
+    out["stream_late_orders"] = (
+        "WITH o AS (SELECT order_id, event_timestamp, CASE WHEN order_id % 10 = 0 THEN 9999"
+        f" ELSE year(event_timestamp) END AS turn FROM ({silver_sql('orders')}) s),"
+        " marks AS (SELECT turn, max(max(event_timestamp)) OVER (ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING"
+        " AND 1 PRECEDING) AS largest FROM o GROUP BY turn)"
+        " SELECT order_id, event_timestamp, CASE WHEN event_timestamp < largest - INTERVAL 30 DAY THEN 'late'"
+        " ELSE 'on time' END AS reason FROM o JOIN marks USING (turn)")
+    out["stream_quarantine"] = (
+        "SELECT l_orderkey * 8 + l_linenumber AS offset, l_orderkey % 13 = 0 OR l_orderkey % 17 = 0 AS rejected,"
+        " CASE WHEN l_orderkey % 13 = 0 THEN '{\"order_id\": ' || l_orderkey || ', \"price\": '"
+        " WHEN l_orderkey % 17 = 0 THEN '{\"unknown\": 1}'"
+        " ELSE '{\"order_id\":\"' || l_orderkey || '\",\"product_id\":\"' || l_partkey || '\"}' END AS raw_json FROM lineitem")
+    return out
+
+
 def wire_sql() -> dict[str, str]:
     return {
         "wire_subsecond_payments": (

@@ -125,9 +125,18 @@ def dated_silver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return silver(name, date_by_order(rows, orders)).drop(*LINEAGE)
 
 
-def rejects_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+def placed_envelope(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Shipments with a log position that any engine can repeat."""
+    li = testdata.table(spark, sf_dir, "lineitem")
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    rows = testdata.shipment_rows(li, [(key * 8 + line).alias("_place")])
+    env = B.to_wire(rows, name, offset_col="_place")
+    return env.withColumn("partition", F.pmod(F.floor(F.col("offset") / 8), F.lit(8)).cast("int"))
+
+
+def broken_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """order_items published with every 13th record truncated and every 17th
-    record carrying only an unknown key; the rejects are exactly those."""
+    record carrying only an unknown key."""
     li = testdata.table(spark, sf_dir, "lineitem")
     k = F.col("l_orderkey")
     good = F.to_json(F.struct(k.cast("string").alias("order_id"),
@@ -135,9 +144,13 @@ def rejects_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (F.when(k % 13 == 0, F.concat(F.lit('{"order_id": '), k.cast("string"), F.lit(', "price": ')))
              .when(k % 17 == 0, F.lit('{"unknown": 1}'))
              .otherwise(good))
-    env = li.select(value.cast("binary").alias("value"), F.lit("order_items_topic").alias("topic"),
-                    F.lit(0).alias("partition"),
-                    (k * 8 + F.col("l_linenumber")).alias("offset"),
-                    F.col("l_shipdate").cast("timestamp").alias("timestamp"))
-    bad = B.rejects(B.parse_envelope(env, "order_items"), "order_items")
+    return li.select(value.cast("binary").alias("value"), F.lit("order_items_topic").alias("topic"),
+                     F.lit(0).alias("partition"),
+                     (k * 8 + F.col("l_linenumber")).cast("long").alias("offset"),
+                     F.col("l_shipdate").cast("timestamp").alias("timestamp"))
+
+
+def rejects_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejects are exactly the broken records."""
+    bad = B.rejects(B.parse_envelope(broken_envelope(spark, sf_dir), "order_items"), "order_items")
     return bad.select("offset", "raw_json", "topic")

@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.operators import bronze as B
+from bazaar.operators.gold import GOLD
 from bazaar.operators.silver import LINEAGE
+from bazaar.plans import bronze_jobs, medallion
 from bazaar.session import scratch_path, tune_local
 from bazaar.sources import testdata
-from bazaar.streaming import jobs
-from bazaar.streaming import sinks
+from bazaar.streaming import jobs, merge, routing, sinks
+from bazaar.streaming.sources import envelope_stream, layer_stream
 
 
 def publish_files(spark: SparkSession, sf_dir: str, entity: str, duplicate_every: int = 0) -> str:
@@ -69,3 +71,120 @@ def stream_gold_complete(spark: SparkSession, sf_dir: str, table: str = "daily_s
     out = scratch_path(spark, f"goldc-{table}")
     _run(jobs.gold_complete_job(spark, table, silver, out, out + "-ckpt"))
     return sinks.read_complete(spark, out)
+
+
+# ------------------------------------------------- runs of several micro-batches
+
+def publish_in_turn(df: DataFrame, turn, turns: int, name: str) -> str:
+    """Write the rows of turn 0, 1, ... one after the other, a file for each.
+
+    A stream over the folder with one file a trigger meets them in that order.
+    """
+    path = scratch_path(df.sparkSession, name)
+    numbered = df.withColumn("_turn", turn)
+    for k in range(turns):
+        numbered.where(F.col("_turn") == k).drop("_turn").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def beat(env: DataFrame, entity: str) -> DataFrame:
+    """A record a month after all others, which moves the watermark on."""
+    last = F.timestamp_seconds(F.lit(1893456000 + 30 * 86400))
+    return env.limit(1).select(F.lit(_BEAT[entity]).cast("binary").alias("value"), "topic", "partition",
+                               F.lit(-1).cast("long").alias("offset"), last.alias("timestamp"))
+
+
+def stream_reference(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Undated records of a producer -> bronze -> stream-stream join with their
+    orders -> survivors of the log; those without an order come out undated."""
+    paths = {}
+    for e in (name, "orders"):
+        src, paths[e] = scratch_path(spark, f"in-{e}"), scratch_path(spark, f"bronze-{e}")
+        env = bronze_jobs.reference_envelope(spark, sf_dir, e)
+        env.unionByName(beat(env, e)).write.parquet(src)
+        df = B.parse_envelope(envelope_stream(spark, src), e, clock=True)
+        _run(sinks.start_append(df, paths[e], paths[e] + "-ckpt", partition_by=()))
+    dated = jobs.dated_stream(spark, name, paths[name], paths["orders"])
+    out = scratch_path(spark, f"dated-{name}")
+    _run(merge.survivors_job(dated, name, out, out + "-ckpt", partition_by=()))
+    return merge.read_survivors(spark, name, out).drop("processing_time", *LINEAGE)
+
+
+# Records that only move the clock.  The order has a date, so it
+# takes part in the join; the others fail silver's filters.
+_BEAT = {"orders": '{"order_id": "-1", "order_date": "2030-01-31"}', "order_items": '{"order_id": "-2"}',
+         "payments": '{"order_id": "-2"}'}
+
+
+def stream_survivors(spark: SparkSession, sf_dir: str, entity: str = "shipments") -> DataFrame:
+    """Records that arrive against the order of the log, over four micro-batches."""
+    env = bronze_jobs.placed_envelope(spark, sf_dir, entity)
+    src = publish_in_turn(env, 3 - F.pmod(F.col("offset"), F.lit(4)), 4, f"in-{entity}")
+    rows = B.parse_envelope(envelope_stream(spark, src, max_files_per_trigger=1), entity, clock=True)
+    out = scratch_path(spark, f"survivors-{entity}")
+    _run(merge.survivors_job(rows, entity, out, out + "-ckpt", partition_by=()))
+    return merge.read_survivors(spark, entity, out).drop("processing_time", *LINEAGE)
+
+
+def silver_in_turn(spark: SparkSession, sf_dir: str, entity: str, turns: int = 4) -> tuple[str, DataFrame]:
+    """Silver rows written in the order of their time, and a stream over them."""
+    rows = medallion.silver_table(spark, sf_dir, entity)
+    span = rows.agg(F.unix_timestamp(F.min("event_timestamp")).alias("lo"),
+                    F.unix_timestamp(F.max("event_timestamp")).alias("hi")).first()
+    wide = max(1, (span["hi"] - span["lo"]) // turns + 1)
+    turn = F.floor((F.unix_timestamp("event_timestamp") - F.lit(span["lo"])) / wide)
+    path = publish_in_turn(rows, turn, turns, f"silver-{entity}")
+    return path, layer_stream(spark, path, rows.schema, max_files_per_trigger=1)
+
+
+def stream_update(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A gold table kept by key in update mode, without its approximate counts."""
+    _, rows = silver_in_turn(spark, sf_dir, GOLD[table][0])
+    out = scratch_path(spark, f"update-{table}")
+    _run(merge.update_job(rows, table, out, out + "-ckpt", delay="7 days", whole_every=2))
+    return merge.read_updates(spark, table, out).drop(*APPROXIMATE.get(table, ()))
+
+
+#: Columns that a streaming aggregation can only estimate.
+APPROXIMATE = {"daily_sales": ("total_orders", "total_products"), "seller_performance": ("total_orders",),
+               "returns_kpi": ("returned_orders", "returned_products")}
+
+
+def stream_sales_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tumbling windows, each written once when the watermark closes it."""
+    path, _ = silver_in_turn(spark, sf_dir, "order_items")
+    rows = spark.read.parquet(path)
+    # a last row, years later, closes the windows of all others
+    closing = rows.limit(1).withColumn("event_timestamp", F.lit("2100-01-01").cast("timestamp"))
+    closing.coalesce(1).write.mode("append").parquet(path)
+    out = scratch_path(spark, "windows")
+    items = layer_stream(spark, path, rows.schema, max_files_per_trigger=1)
+    _run(merge.window_job(items, out, out + "-ckpt", delay="7 days"))
+    return spark.read.parquet(out)
+
+
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by year, every 10th of them in the turn after the last year's:
+    main and side table together, with the reason."""
+    orders = medallion.silver_table(spark, sf_dir, "orders").select("order_id", "event_timestamp", "event_date")
+    years = orders.agg(F.min(F.year("event_date")).alias("lo"), F.max(F.year("event_date")).alias("hi")).first()
+    turn = F.when(F.col("order_id") % 10 == 0, F.lit(years["hi"] + 1)).otherwise(F.year("event_date")) - F.lit(years["lo"])
+    path = publish_in_turn(orders, turn, years["hi"] - years["lo"] + 2, "in-late")
+    rows = layer_stream(spark, path, orders.schema, max_files_per_trigger=1)
+    main, side = scratch_path(spark, "main"), scratch_path(spark, "late")
+    _run(routing.late_rows_job(rows, "30 days", main, side, main + "-ckpt", partition_by=()))
+    cols = ["order_id", "event_timestamp"]
+    return (spark.read.parquet(main).select(*cols, F.lit("on time").alias("reason"))
+            .unionByName(spark.read.parquet(side).select(*cols, "reason")))
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order items, some of them broken, into bronze and rejects in one pass."""
+    env = bronze_jobs.broken_envelope(spark, sf_dir)
+    src = publish_in_turn(env, F.pmod(F.col("offset"), F.lit(3)), 3, "in-broken")
+    stream = envelope_stream(spark, src, max_files_per_trigger=1)
+    good, bad = scratch_path(spark, "bronze"), scratch_path(spark, "rejects")
+    _run(routing.quarantine_job(stream, "order_items", good, bad, good + "-ckpt", partition_by=()))
+    both = [spark.read.parquet(p).select("offset", "raw_json", F.lit(rejected).alias("rejected"))
+            for p, rejected in ((good, False), (bad, True))]
+    return both[0].unionByName(both[1])

@@ -180,6 +180,14 @@ def _streams():
     ORACLE["stream_dedup_watermark"] = O.silver_sql("order_items")
     QUERIES["stream_gold_daily_sales"] = lambda s, d: SR.stream_gold_exact(s, d, "daily_sales")
     ORACLE["stream_gold_daily_sales"] = O.gold_sql("daily_sales")
+    for n in ("order_items", "payments"):
+        QUERIES[f"stream_reference_{n}"] = partial(lambda name, s, d: SR.stream_reference(s, d, name), n)
+    QUERIES["stream_survivors_shipments"] = SR.stream_survivors
+    for t in GOLD:
+        QUERIES[f"stream_update_{t}"] = partial(lambda table, s, d: SR.stream_update(s, d, table), t)
+    QUERIES.update({"stream_sales_kpi": SR.stream_sales_kpi, "stream_late_orders": SR.stream_late,
+                    "stream_quarantine": SR.stream_quarantine})
+    ORACLE.update(O.stream_sql())
     # stateful complete mode with HyperLogLog distinct counts: rows-only check
     QUERIES["stream_gold_daily_sales_approx"] = lambda s, d: SR.stream_gold_complete(s, d, "daily_sales")
 

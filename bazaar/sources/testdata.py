@@ -92,7 +92,11 @@ def reviews(spark, sf_dir) -> DataFrame:
 
 
 def shipments(spark, sf_dir) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    return shipment_rows(table(spark, sf_dir, "lineitem"))
+
+
+def shipment_rows(li: DataFrame, more=()) -> DataFrame:
+    """Shipments of order lines, with further columns."""
     ship = _day("l_shipdate")
     return li.select(
         F.col("l_orderkey").alias("order_id"),
@@ -102,6 +106,7 @@ def shipments(spark, sf_dir) -> DataFrame:
         .alias("delivery_date"),
         (F.col("l_quantity") / 2).alias("shipping_fee"),
         F.col("l_shipdate").cast("timestamp").alias("event_timestamp"),
+        *more,
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from bazaar.operators import bronze as B
 from bazaar.operators import gold as G
+from bazaar.operators.dating import date_by_order_stream
 from bazaar.operators.gold import GOLD
 from bazaar.operators.silver import silver
 from bazaar.session import cluster_by_date
@@ -42,6 +43,19 @@ def silver_job(spark: SparkSession, entity: str, bronze_path: str, out: str, ckp
     return sinks.start_append(df, out, ckpt, trigger, name=f"silver_{entity}", files_per_date=files_per_date)
 
 
+def dated_stream(spark: SparkSession, entity: str, bronze_path: str, orders_path: str, wait: str = "1 hour") -> DataFrame:
+    """Bronze order items or payments, dated by the bronze orders."""
+    rows, orders = (layer_stream(spark, p, bronze_schema(spark, e)) for p, e in ((bronze_path, entity), (orders_path, "orders")))
+    return date_by_order_stream(rows, orders, wait)
+
+
+def dating_job(spark: SparkSession, entity: str, bronze_path: str, orders_path: str, out: str, ckpt: str,
+               trigger=None, wait: str = "1 hour", files_per_date: int | None = None):
+    """Append bronze rows with their dates to ``out``, a table like bronze."""
+    df = dated_stream(spark, entity, bronze_path, orders_path, wait)
+    return sinks.start_append(df, out, ckpt, trigger, name=f"dated_{entity}", files_per_date=files_per_date)
+
+
 def touched_days(silver_all: DataFrame, batch: DataFrame) -> DataFrame | None:
     """The silver rows of the days that ``batch`` touches.
 

@@ -99,13 +99,6 @@ def daily_groups(table: str, rows: DataFrame, delay: str) -> DataFrame:
     return G.build(table, day, distinct="approx").withColumn("event_date", F.to_date("event_date.start"))
 
 
-def keys_of(table: str, schema: StructType) -> list[str]:
-    """Group columns of a gold table."""
-    return [c for c in ("event_date", "product_id", "seller_id", "payment_method", "review_sentiment",
-                        "shipping_status", "inventory_status", "traffic_source")
-            if c in schema.names and c in _GROUPS[table]]
-
-
 # Group columns of the gold tables.
 _GROUPS = {
     "daily_sales": ("event_date",), "top_products": ("event_date", "product_id"),

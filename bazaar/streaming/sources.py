@@ -40,12 +40,16 @@ def source(spark: SparkSession, topic: str, *, servers: str | None = None,
     return envelope_stream(spark, path)
 
 
-def layer_stream(spark: SparkSession, path: str, schema=None) -> DataFrame:
+def layer_stream(spark: SparkSession, path: str, schema=None,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream a parquet layer table written by a file sink (schema taken from
     the table itself when not given)."""
     if schema is None:
         schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path)
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.parquet(path)
 
 
 def read_layer(spark: SparkSession, path: str, schema=None, missing_ok: bool = False) -> DataFrame:
