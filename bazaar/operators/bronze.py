@@ -32,7 +32,7 @@ def parse_envelope(env: DataFrame, ent: Entity | str, event_time: str = "busines
         F.col("timestamp").alias("kafka_timestamp"))
     parsed = base.select("*", F.from_json("raw_json", payload_schema(ent)).alias("data"))
     flat = parsed.select("raw_json", "topic", "partition", "offset", "kafka_timestamp",
-                         *[F.col(f"data.{f}").alias(f) for f in ent.fields],
+                         *[F.col(f"data.{f}").alias(f) for f in (*ent.fields, *ent.extra)],
                          F.col(f"data.{BUSINESS_TIME}").alias("_event_text"))
     text = F.trim("_event_text").try_cast("timestamp")
     own = F.trim(F.col(ent.event_column)).try_cast("timestamp")

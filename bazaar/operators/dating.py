@@ -54,8 +54,9 @@ def date_by_order_stream(rows: DataFrame, orders: DataFrame, wait: str = "1 hour
     An order is looked for among those that the log took up to ``wait`` before
     or after the row.  Both sides have a watermark of ``wait`` on the log's
     clock, so state is dropped once no partner can come, and a row without an
-    order comes out then, with NULL.  Orders that are sent again within
-    ``wait`` count once.
+    order comes out then, with NULL.  Of the copies of an order within ``wait``
+    the first to arrive counts; if copies with different dates arrive in one
+    micro-batch, either may.
     """
     o = _key(orders).select(F.col("_key").alias("_order"), F.col("event_timestamp").alias("_order_time"),
                             F.col(clock).alias("_order_clock"))

@@ -27,9 +27,9 @@ def compact(spark: SparkSession, path: str, out_path: str, partition_col: str =
     """Rewrite a date-partitioned parquet table with few files per date.
 
     Rows are rebalanced by date, so a hot date still spreads over several
-    tasks.
+    tasks.  ``out_path`` is replaced as a whole.
     """
     from bazaar.session import spread_by_date
     df = spark.read.parquet(path)
-    (spread_by_date(df, (partition_col,)).write.mode("overwrite")
+    (spread_by_date(df, (partition_col,)).write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(partition_col).parquet(out_path))

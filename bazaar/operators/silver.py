@@ -51,6 +51,8 @@ def typed(df: DataFrame, ent: Entity, id_type: str = "bigint") -> DataFrame:
             out.append(lenient_date(f, dt[f]).alias(f))
         else:
             out.append(F.col(f).cast("string").alias(f))
+    # fields that were added to the wire later are typed in the plain way
+    out += [F.trim(F.col(f).cast("string")).try_cast(kind).alias(f) for f, kind in ent.extra.items() if f in dt]
     if "event_timestamp" in dt:
         ts = event_time("event_timestamp", dt["event_timestamp"])
     elif ent.event_column in dt and ent.event_column not in ID_COLUMNS:
@@ -72,23 +74,23 @@ def _finish(df: DataFrame, clock: bool) -> DataFrame:
     return df
 
 
-def silver_orders(df, *, watermark=None, clock=False, id_type="bigint") -> DataFrame:
-    e = ENTITIES["orders"]
+def silver_orders(df, *, watermark=None, clock=False, id_type="bigint", ent=None) -> DataFrame:
+    e = ent or ENTITIES["orders"]
     s = typed(df, e, id_type).where(F.col("order_id").isNotNull())
     return _finish(dedup(s, e.dedup_keys, watermark), clock)
 
 
-def silver_order_items(df, *, watermark=None, clock=False, id_type="bigint") -> DataFrame:
-    e = ENTITIES["order_items"]
+def silver_order_items(df, *, watermark=None, clock=False, id_type="bigint", ent=None) -> DataFrame:
+    e = ent or ENTITIES["order_items"]
     s = typed(df, e, id_type).where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull())
     s = dedup(s, e.dedup_keys, watermark)
     s = s.withColumn("item_total", F.col("price") + F.col("freight_value"))
     return _finish(s, clock)
 
 
-def silver_payments(df, *, watermark=None, clock=False, id_type="bigint",
+def silver_payments(df, *, watermark=None, clock=False, id_type="bigint", ent=None,
                     dedup_keys=None) -> DataFrame:
-    e = ENTITIES["payments"]
+    e = ent or ENTITIES["payments"]
     s = typed(df, e, id_type).where(F.col("payment_value") > 0)
     s = dedup(s, dedup_keys or e.dedup_keys, watermark)
     v = F.col("payment_value")
@@ -98,8 +100,8 @@ def silver_payments(df, *, watermark=None, clock=False, id_type="bigint",
     return _finish(s, clock)
 
 
-def silver_reviews(df, *, watermark=None, clock=False, id_type="bigint") -> DataFrame:
-    e = ENTITIES["reviews"]
+def silver_reviews(df, *, watermark=None, clock=False, id_type="bigint", ent=None) -> DataFrame:
+    e = ent or ENTITIES["reviews"]
     s = typed(df, e, id_type).where(F.col("rating").between(1, 5))
     s = dedup(s, e.dedup_keys, watermark)
     r = F.col("rating")
@@ -108,8 +110,8 @@ def silver_reviews(df, *, watermark=None, clock=False, id_type="bigint") -> Data
     return _finish(s, clock)
 
 
-def silver_shipments(df, *, watermark=None, clock=False, id_type="bigint") -> DataFrame:
-    e = ENTITIES["shipments"]
+def silver_shipments(df, *, watermark=None, clock=False, id_type="bigint", ent=None) -> DataFrame:
+    e = ent or ENTITIES["shipments"]
     s = dedup(typed(df, e, id_type), e.dedup_keys, watermark)
     days = F.datediff("delivery_date", "ship_date")
     s = s.withColumn("delivery_days", days)
@@ -119,14 +121,14 @@ def silver_shipments(df, *, watermark=None, clock=False, id_type="bigint") -> Da
     return _finish(s, clock)
 
 
-def silver_returns(df, *, watermark=None, clock=False, id_type="bigint") -> DataFrame:
-    e = ENTITIES["returns"]
+def silver_returns(df, *, watermark=None, clock=False, id_type="bigint", ent=None) -> DataFrame:
+    e = ent or ENTITIES["returns"]
     s = dedup(typed(df, e, id_type), e.dedup_keys, watermark)
     return _finish(s.withColumn("return_flag", F.lit(1)), clock)
 
 
-def silver_inventory(df, *, watermark=None, clock=False, id_type="bigint") -> DataFrame:
-    e = ENTITIES["inventory"]
+def silver_inventory(df, *, watermark=None, clock=False, id_type="bigint", ent=None) -> DataFrame:
+    e = ent or ENTITIES["inventory"]
     s = dedup(typed(df, e, id_type), e.dedup_keys, watermark)
     st = F.col("stock_on_hand")
     s = s.withColumn("inventory_status", classify(
@@ -135,8 +137,8 @@ def silver_inventory(df, *, watermark=None, clock=False, id_type="bigint") -> Da
     return _finish(s, clock)
 
 
-def silver_traffic(df, *, watermark=None, clock=False, id_type="bigint") -> DataFrame:
-    e = ENTITIES["traffic"]
+def silver_traffic(df, *, watermark=None, clock=False, id_type="bigint", ent=None) -> DataFrame:
+    e = ent or ENTITIES["traffic"]
     s = dedup(typed(df, e, id_type), e.dedup_keys, watermark)
     s = s.select("*",
                  ratio2("page_views", "sessions").alias("pages_per_session"),

@@ -419,6 +419,10 @@ def stream_sql() -> dict[str, str]:
         " AND 1 PRECEDING) AS largest FROM o GROUP BY turn)"
         " SELECT order_id, event_timestamp, CASE WHEN event_timestamp < largest - INTERVAL 30 DAY THEN 'late'"
         " ELSE 'on time' END AS reason FROM o JOIN marks USING (turn)")
+    out["stream_evolution"] = (
+        "SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(payment_value AS VARCHAR) AS payment_value,"
+        " CASE WHEN order_id % 2 = 0 THEN 'none' WHEN order_id % 5 <> 0 THEN 'C' || (order_id % 10) END AS coupon,"
+        f" CAST(event_timestamp AS DATE) AS event_date FROM ({ENTITY_SQL['payments']}) p")
     out["stream_quarantine"] = (
         "SELECT l_orderkey * 8 + l_linenumber AS offset, l_orderkey % 13 = 0 OR l_orderkey % 17 = 0 AS rejected,"
         " CASE WHEN l_orderkey % 13 = 0 THEN '{\"order_id\": ' || l_orderkey || ', \"price\": '"

@@ -19,6 +19,9 @@ from bazaar.operators.indexing import dense_index
 from bazaar.plans.medallion import silver_table
 from bazaar.session import scratch_path, shared_dir
 from bazaar.specs import USER_EVENTS_SCHEMA
+from bazaar.streaming.manifest import Versions
+from bazaar.streaming.routing import write_batch
+from bazaar.streaming.sinks import apply_trigger
 
 # Factor model settings (rank, block size, cold-start policy).
 RANK = 15
@@ -123,20 +126,54 @@ def score_stream(r: Recommender, events: DataFrame, out: str, ckpt: str, trigger
     return start_append(scored, out, ckpt, trigger, partition_by=(), name="als_scores")
 
 
+def publish_model(r: Recommender, base: str, number: int | None = None) -> int:
+    """Save the model as the next immutable version under ``base``."""
+    versions = Versions(r.customers.sparkSession, base)
+    last = versions.latest()
+    number = (0 if last is None else last + 1) if number is None else number
+    if not versions.publish(number, lambda folder: save(r, folder)):
+        raise ValueError(f"version {number} is published already")
+    return number
+
+
+def score_published(models: str, events: DataFrame, out: str, ckpt: str, trigger=None):
+    """Score a stream with the newest published model under ``models``.
+
+    Each micro-batch looks the newest version up; its factors are loaded when it
+    changes, without a restart.  Rows carry ``model_version``; a replayed batch
+    replaces its own rows.
+    """
+    spark = events.sparkSession
+    versions, held = Versions(spark, models), {}
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        number = versions.latest()
+        if number is None:
+            raise ValueError(f"no model is published under {models}")
+        if number not in held:
+            held.clear()
+            held[number] = load(spark, versions.folder(number))
+        scored = score(held[number], batch).withColumnRenamed("customer_id", "user_id")
+        write_batch(scored.withColumn("model_version", F.lit(number).cast("long")), out, batch_id)
+
+    w = (parse_user_events(events).writeStream.option("checkpointLocation", ckpt).foreachBatch(run)
+         .queryName("als_scores_published"))
+    return apply_trigger(w, trigger).start()
+
+
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish review pairs as user events, score them with a streaming
-    query (availableNow) into a parquet table, return that table."""
+    """Publish a model and review pairs as user events, score them with a
+    streaming query (availableNow) that loads the model, return its table."""
     from bazaar.streaming.sources import envelope_stream
 
-    model = fitted(spark, sf_dir)
     pairs = silver_table(spark, sf_dir, "reviews").select("customer_id", "product_id", "event_timestamp")
     value = F.to_json(F.struct(F.col("customer_id").alias("user_id"), F.col("product_id")))
     env = pairs.select(value.cast("binary").alias("value"), F.lit("user_events").alias("topic"),
                        F.lit(0).alias("partition"), F.lit(0).cast("long").alias("offset"),
                        F.col("event_timestamp").alias("timestamp"))
-    src = scratch_path(spark, "in-user-events")
+    src, out, models = (scratch_path(spark, n) for n in ("in-user-events", "scores", "models"))
     env.write.parquet(src)
-    out = scratch_path(spark, "scores")
-    q = score_stream(model, envelope_stream(spark, src), out, out + "-ckpt")
+    publish_model(fitted(spark, sf_dir), models)
+    q = score_published(models, envelope_stream(spark, src), out, out + "-ckpt")
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("user_id", "product_id", "prediction")

@@ -47,7 +47,8 @@ def bronze_silver(spark: SparkSession, sf_dir: str, entity: str, duplicate_every
     bronze = scratch_path(spark, f"bronze-{entity}")
     silver = scratch_path(spark, f"silver-{entity}")
     _run(jobs.bronze_job(spark, entity, src, bronze, bronze + "-ckpt"))
-    _run(jobs.silver_job(spark, entity, bronze, silver, silver + "-ckpt", watermark=watermark))
+    _run(jobs.silver_job(spark, entity, bronze, silver, silver + "-ckpt", watermark=watermark,
+                         unbounded=watermark is None))
     return silver
 
 
@@ -188,3 +189,24 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = [spark.read.parquet(p).select("offset", "raw_json", F.lit(rejected).alias("rejected"))
             for p, rejected in ((good, False), (bad, True))]
     return both[0].unionByName(both[1])
+
+
+def stream_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments into one bronze table: even orders as ever, then odd ones with a
+    new wire field that some of them leave empty; all read together."""
+    from bazaar.specs import ENTITIES
+    from bazaar.streaming import evolution
+
+    env = B.to_wire(testdata.entity(spark, sf_dir, "payments"), "payments")
+    text = F.col("value").cast("string")
+    k = F.get_json_object(text, "$.order_id").cast("long")
+    coupon = F.when(k % 5 == 0, F.lit("null")).otherwise(F.concat(F.lit('"C'), k % 10, F.lit('"')))
+    new = F.concat(F.expr("substr(cast(value AS string), 1, length(cast(value AS string)) - 1)"),
+                   F.lit(',"coupon":'), coupon, F.lit("}")).cast("binary")
+    src, out = scratch_path(spark, "in-evolving"), scratch_path(spark, "evolving")
+    old = ENTITIES["payments"]
+    for ent, rows in ((old, env.where(k % 2 == 0)),
+                      (old.extended(coupon="string"), env.where(k % 2 == 1).withColumn("value", new))):
+        rows.write.mode("append").parquet(src)
+        _run(jobs.bronze_job(spark, ent, src, out, out + "-ckpt", defaults={"coupon": "none"}, partition_by=()))
+    return evolution.read(spark, out).select("order_id", "payment_value", "coupon", "event_date")

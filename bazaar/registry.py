@@ -186,7 +186,7 @@ def _streams():
     for t in GOLD:
         QUERIES[f"stream_update_{t}"] = partial(lambda table, s, d: SR.stream_update(s, d, table), t)
     QUERIES.update({"stream_sales_kpi": SR.stream_sales_kpi, "stream_late_orders": SR.stream_late,
-                    "stream_quarantine": SR.stream_quarantine})
+                    "stream_quarantine": SR.stream_quarantine, "stream_evolution": SR.stream_evolution})
     ORACLE.update(O.stream_sql())
     # stateful complete mode with HyperLogLog distinct counts: rows-only check
     QUERIES["stream_gold_daily_sales_approx"] = lambda s, d: SR.stream_gold_complete(s, d, "daily_sales")

@@ -6,7 +6,7 @@ streaming, fixtures) is driven from this table.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -25,10 +25,15 @@ class Entity:
     strings: tuple[str, ...] = ()
     not_null: tuple[str, ...] = ()
     dedup_keys: tuple[str, ...] = ()
+    # wire fields that were added later: name -> silver type
     extra: dict = field(default_factory=dict)
 
     def wire_schema(self) -> T.StructType:
-        return T.StructType([T.StructField(f, T.StringType()) for f in self.fields])
+        return T.StructType([T.StructField(f, T.StringType()) for f in (*self.fields, *self.extra)])
+
+    def extended(self, **types: str) -> Entity:
+        """The entity with further wire fields, e.g. ``extended(coupon="string")``."""
+        return replace(self, extra={**self.extra, **types})
 
 
 # Topic names, event columns, wire field lists and dedup keys of

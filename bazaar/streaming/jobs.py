@@ -11,9 +11,9 @@ from bazaar.operators.dating import date_by_order_stream
 from bazaar.operators.gold import GOLD
 from bazaar.operators.silver import silver
 from bazaar.session import cluster_by_date
-from bazaar.streaming import sinks
+from bazaar.streaming import evolution, sinks
 from bazaar.streaming.merge import survivors, touched
-from bazaar.specs import ENVELOPE_SCHEMA
+from bazaar.specs import ENTITIES, ENVELOPE_SCHEMA, Entity
 from bazaar.streaming.sources import envelope_stream, layer_stream
 
 def bronze_schema(spark: SparkSession, entity: str):
@@ -27,17 +27,35 @@ def silver_schema(spark: SparkSession, entity: str):
     return silver(entity, empty, clock=True).schema
 
 
-def bronze_job(spark: SparkSession, entity: str, src: str | DataFrame, out: str, ckpt: str,
-               trigger=None, event_time: str = "business", files_per_date: int | None = None):
+def bronze_job(spark: SparkSession, entity: str | Entity, src: str | DataFrame, out: str, ckpt: str,
+               trigger=None, event_time: str = "business", files_per_date: int | None = None,
+               defaults: dict | None = None, partition_by: tuple[str, ...] = ("event_date",)):
     """``src``: a folder of envelope files, or any envelope stream (for Kafka
-    ``sources.source(spark, topic, servers=...)``)."""
+    ``sources.source(spark, topic, servers=...)``).
+
+    With ``defaults`` the table may gain columns: an entity with further wire
+    fields (``Entity.extended``) goes on in the same table and checkpoint, and
+    ``evolution.read`` reads old and new rows together.
+    """
+    ent = ENTITIES[entity] if isinstance(entity, str) else entity
     env = envelope_stream(spark, src) if isinstance(src, str) else src
-    df = B.parse_envelope(env, entity, event_time=event_time, clock=True)
-    return sinks.start_append(df, out, ckpt, trigger, name=f"bronze_{entity}", files_per_date=files_per_date)
+    df = B.parse_envelope(env, ent, event_time=event_time, clock=True)
+    if defaults is not None:
+        df = evolution.fit(df, evolution.declare(spark, out, df.schema, defaults))
+    return sinks.start_append(df, out, ckpt, trigger, partition_by, name=f"bronze_{ent.name}",
+                              files_per_date=files_per_date)
 
 
 def silver_job(spark: SparkSession, entity: str, bronze_path: str, out: str, ckpt: str,
-               trigger=None, watermark: str | None = None, files_per_date: int | None = None):
+               trigger=None, watermark: str | None = None, files_per_date: int | None = None,
+               unbounded: bool = False):
+    """De-duplication by state, the first arrival of a key survives.
+
+    Without a ``watermark`` the state holds every key for ever, which must be
+    asked for with ``unbounded``.  ``merge.survivors_job`` needs no state.
+    """
+    if not watermark and not unbounded:
+        raise ValueError("give a watermark, or unbounded=True for state that is never dropped")
     df = silver(entity, layer_stream(spark, bronze_path, bronze_schema(spark, entity)),
                 watermark=watermark, clock=True)
     return sinks.start_append(df, out, ckpt, trigger, name=f"silver_{entity}", files_per_date=files_per_date)

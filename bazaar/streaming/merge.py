@@ -22,6 +22,7 @@ from pyspark.sql.types import StructType
 from bazaar.operators import gold as G
 from bazaar.operators.dedup import dedup_batch
 from bazaar.operators.silver import silver
+from bazaar.session import spread_by_date
 from bazaar.specs import ENTITIES
 from bazaar.streaming import sinks
 from bazaar.streaming.sources import read_layer
@@ -68,6 +69,8 @@ def survivors_job(rows: DataFrame, entity: str, out: str, ckpt: str, trigger=Non
             if days is not None:
                 stored = read_layer(spark, out, kind, missing_ok=True).where(days)
                 new = new_survivors(fresh, stored, keys)
+                if partition_by:
+                    new = spread_by_date(new, partition_by)
                 new.write.mode("append").partitionBy(*partition_by).parquet(out)
         finally:
             fresh.unpersist()
@@ -133,9 +136,9 @@ def update_job(rows: DataFrame, table: str, out: str, ckpt: str, delay: str, tri
 
 def versions(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All rows since the last whole version, with ``version``."""
-    kind = StructType(schema.fields).add("whole", "boolean").add("version", "long")
+    kind = StructType(list(schema.fields)).add("whole", "boolean").add("version", "long")
     every = read_layer(spark, path, kind, missing_ok=True)
-    # folder names alone answer this
+    # no data column is read for this
     last = every.where("whole").agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
     since = (F.col("version") == last) & F.col("whole") | (F.col("version") > last)
     return every.where(since).drop("whole")
