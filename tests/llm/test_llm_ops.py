@@ -664,3 +664,36 @@ def test_native_queries_use_no_python(spark, name):
     if name != "op9_rendezvous_sharding":
         assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
     assert "CartesianProduct" not in plan
+
+
+# ------------------------------------------------------ personal data, extremes
+
+def test_pii_long_numbers_and_many_spans():
+    """Zeros in front of an address may be any number; time grows with the text."""
+    import time
+    assert pii.base_spans("1.2.3." + "0" * 5000 + "1") == [("ip", 0, 5007)]
+    assert pii.base_spans("1.2.3." + "9" * 5000) == []
+    assert pii.base_spans("0.00.000.255 1.2.3.256") == [("ip", 0, 12)]
+    taken = pii.Taken([(0, 5), (3, 8), (8, 9), (20, 30)])
+    for s, e in [(9, 20), (30, 31), (7, 8), (0, 1), (19, 21), (25, 26), (10, 12)]:
+        assert taken.free(s, e) == all(e <= a or s >= b for a, b in [(0, 5), (3, 8), (8, 9), (20, 30)])
+    trees = pii.Trees(thresholds=dict.fromkeys(pii.KINDS, 0.0))
+    trees.start = 5.0
+
+    def seconds(n):
+        text = " ".join(f"user{k}@host{k}.example.org mail user{k} at host{k} dot org" for k in range(n))
+        start = time.process_time()
+        base, added = pii.find(text, trees)
+        assert len(base) == n and all(e <= a or s >= b for (_, s, e), (_, a, b) in zip(added, added[1:]))
+        return time.process_time() - start
+
+    seconds(50)
+    assert seconds(4000) < 16 * max(seconds(1000), 0.02)
+
+
+def test_pii_training_candidates_come_from_anywhere_in_a_text():
+    text = " ".join(f"192.168.0.{k % 250}" for k in range(200)) + " reach jo (at) example (dot) org please"
+    kinds = {tuple(v[:1]) for v in pii.examples(text)}
+    assert len(pii.examples(text)) <= 2 * pii.TRAIN_CANDIDATES and kinds
+    far = [pii.examples(" ".join(f"10.0.{j}.{k}" for k in range(100)) + " write jo at example dot org") for j in range(40)]
+    assert any(v[0] == 0 for rows in far for v in rows)
