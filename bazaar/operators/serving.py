@@ -107,15 +107,13 @@ def customer_metrics(orders: DataFrame, payments: DataFrame) -> DataFrame:
 
 def top_customers(orders: DataFrame, payments: DataFrame, n: int = 10) -> DataFrame:
     """``customer_metrics`` of the n customers with most orders (ties broken by
-    customer_id).  They are found on orders alone; only their orders'
-    payments are then joined."""
-    order = (F.desc("total_orders"), F.asc("customer_id"))
-    per_order = _one_row_per_order(orders)
-    top = (per_order.groupBy("customer_id").agg(F.count(F.lit(1)).alias("total_orders"))
-           .orderBy(*order).limit(n).select(F.col("customer_id").alias("c")))
-    mine = per_order.join(F.broadcast(top), F.col("customer_id").eqNullSafe(F.col("c")), "left_semi")  # n rows
-    paid = payments.join(mine.select("order_id"), "order_id", "left_semi")
-    return _metrics(mine, paid).orderBy(*order)
+    customer_id).
+
+    Orders are reduced to one row per id once, with the payments of each; the
+    n best of the customers' sums are a top-k, not a sort of all.
+    """
+    return (customer_metrics(orders, payments)
+            .orderBy(F.desc("total_orders"), F.asc("customer_id")).limit(n))
 
 
 def fraud_alert(payments: DataFrame) -> DataFrame:

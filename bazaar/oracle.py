@@ -223,9 +223,9 @@ ROLLUPS = {
 }
 
 
-def rollup_sql(name: str) -> str:
+def rollup_sql(name: str, gold=gold_sql) -> str:
     src, aggs = ROLLUPS[name]
-    return f"SELECT event_date, {', '.join(aggs)} FROM ({gold_sql(src)}) g GROUP BY event_date"
+    return f"SELECT event_date, {', '.join(aggs)} FROM ({gold(src)}) g GROUP BY event_date"
 
 
 _FT_NUMERIC = {
@@ -239,13 +239,20 @@ _FT_NUMERIC = {
 }
 
 
-def feature_table_sql() -> str:
+def aligned_gold_sql(name: str) -> str:
+    """Gold with all entities' days in one span."""
+    day = {"traffic_kpi": "DATE '2006-01-01' + CAST((event_date - DATE '2000-01-01') % 1461 AS INTEGER)",
+           "inventory_kpi": "event_date + 1826"}.get(name, "event_date + 3653")
+    return f"SELECT * REPLACE (CAST({day} AS DATE) AS event_date) FROM ({gold_sql(name)}) g"
+
+
+def feature_table_sql(gold=gold_sql) -> str:
     ctes = {
-        "ds": (f"SELECT * FROM ({gold_sql('daily_sales')}) g WHERE event_date IS NOT NULL"
+        "ds": (f"SELECT * FROM ({gold('daily_sales')}) g WHERE event_date IS NOT NULL"
                " AND event_date >= DATE '2001-01-01' AND event_date < DATE '2030-01-01'"),
-        "t": rollup_sql("traffic_daily"), "p": rollup_sql("payment_daily"),
-        "i": rollup_sql("inventory_daily"), "r": rollup_sql("returns_daily"),
-        "v": rollup_sql("reviews_daily"),
+        "t": rollup_sql("traffic_daily", gold), "p": rollup_sql("payment_daily", gold),
+        "i": rollup_sql("inventory_daily", gold), "r": rollup_sql("returns_daily", gold),
+        "v": rollup_sql("reviews_daily", gold),
     }
     with_ = ", ".join(f"{k} AS ({v})" for k, v in ctes.items())
     cols = ["spine.event_date", "ds.gold_layer"]
@@ -256,8 +263,8 @@ def feature_table_sql() -> str:
             f"SELECT {', '.join(cols)} FROM spine {joins}")
 
 
-def _ft(body: str) -> str:
-    return f"WITH ft AS ({feature_table_sql()}) {body}"
+def _ft(body: str, gold=gold_sql) -> str:
+    return f"WITH ft AS ({feature_table_sql(gold)}) {body}"
 
 
 CALENDAR_SQL = _ft(
@@ -338,6 +345,9 @@ def features_sql() -> dict[str, str]:
         "ts_split_summary": SPLIT_SUMMARY_SQL,
         "product_rolling_features": PRODUCT_ROLLING_SQL,
         "date_normalize": DATE_NORMALIZE_SQL,
+        "aligned_feature_table": feature_table_sql(aligned_gold_sql),
+        **{f"aligned_{n}": t.replace(feature_table_sql(), feature_table_sql(aligned_gold_sql))
+           for n, t in (("lag_features", LAG_SQL), ("rolling_features", ROLLING_SQL), ("ratio_features", RATIO_SQL))},
     })
     return out
 
@@ -474,6 +484,11 @@ def model_sql() -> dict[str, str]:
         "als_scored_pairs": (
             f"SELECT customer_id, product_id, count(*) AS n, count(*) AS n_finite FROM ({reviews}) r"
             " GROUP BY customer_id, product_id"),
+        "forecast_lag7": _ft(
+            "SELECT CAST(last_date + CAST(h AS INTEGER) AS DATE) AS event_date, CAST(h AS INTEGER) AS horizon,"
+            " round(greatest(total_revenue, 0), 4) AS predicted_revenue FROM (SELECT max(event_date) AS last_date FROM ft) m,"
+            " range(1, 31) r(h) JOIN (SELECT total_revenue, row_number() OVER (ORDER BY event_date DESC) AS back FROM ft) t"
+            " ON t.back = 7 - (h - 1) % 7"),
         "forecast_calendar": (
             f"SELECT last_date + CAST(h AS INT) AS event_date, CAST(h AS INT) AS horizon, true AS non_negative FROM"
             f" (SELECT max(event_date) AS last_date FROM ({SPLIT_SQL}) s), (SELECT unnest(range(1, 31)) AS h)"),

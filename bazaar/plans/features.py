@@ -14,8 +14,20 @@ from bazaar.plans.medallion import gold_table
 TARGET = "total_revenue"
 
 
-def feature_table(spark: SparkSession, sf_dir: str, gap_fill: bool = False) -> DataFrame:
-    g = lambda name: gold_table(spark, sf_dir, name)
+def aligned_gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A gold table with its days moved, so that all entities share one span of
+    sane years (the driver tables' spans hardly meet)."""
+    day = F.col("event_date")
+    if name == "traffic_kpi":
+        moved = F.date_add(F.lit("2006-01-01").cast("date"),
+                           F.pmod(F.datediff(day, F.lit("2000-01-01").cast("date")), F.lit(1461)).cast("int"))
+    else:
+        moved = F.date_add(day, 1826 if name == "inventory_kpi" else 3653)
+    return gold_table(spark, sf_dir, name).withColumn("event_date", moved)
+
+
+def feature_table(spark: SparkSession, sf_dir: str, gap_fill: bool = False, gold=gold_table) -> DataFrame:
+    g = lambda name: gold(spark, sf_dir, name)
     return R.feature_table(g("daily_sales"), g("traffic_kpi"), g("payment_analytics"),
                            g("inventory_kpi"), g("returns_kpi"), g("review_analytics"),
                            gap_fill=gap_fill)

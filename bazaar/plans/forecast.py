@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,6 +95,13 @@ def lag_predictions(frame: DataFrame, lag: int = 7, target: str = TARGET) -> Dat
                         F.col(f"revenue_lag_{lag}").alias("predicted"))
 
 
+def lag_fit(frame: DataFrame, lag: int = 7, keys: Sequence[str] = ()) -> Fit:
+    """A fit that predicts "as ``lag`` rows ago": the recursive forecast with it
+    is one that any engine can repeat."""
+    same = SQLTransformer(statement=f"SELECT *, revenue_lag_{lag} AS prediction FROM __THIS__")
+    return Fit(same, TS.feature_columns(frame, TARGET, "reference", keys), frame, tuple(keys))
+
+
 def predictions(fit: Fit, target: str = TARGET) -> DataFrame:
     """Actual vs predicted for every row (the plotted val/test series)."""
     out = fit.model.transform(fit.frame)

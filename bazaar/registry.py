@@ -80,6 +80,21 @@ def _features():
     table = {k: (lambda s, d, fn=fn, src=src: shown(fn(R.normalize_event_date(g(s, d, src)))))
              for k, (fn, src) in roll.items()}
 
+    def lag_columns(ft):
+        df = TS.traffic_lag_features(TS.lag_features(ft, "total_revenue"))
+        return df.select("event_date", "total_revenue", *[c for c in df.columns if "_lag_" in c])
+
+    def rolling_columns(ft):
+        df = TS.rolling_features(ft, "total_revenue")
+        return TS.round_doubles(df.select("event_date", *[c for c in df.columns if "_roll_" in c]), 4)
+
+    def ratio_columns(ft):
+        return TS.round_doubles(TS.ratio_features(ft).select(
+            "event_date", "conversion_rate", "return_rate", "avg_revenue_per_order", "revenue_per_visitor"), 6)
+
+    def aligned(s, d):
+        return FP.feature_table(s, d, gold=FP.aligned_gold)
+
     def calendar(s, d):
         df = TS.cyclical_features(TS.calendar_features(FP.feature_table(s, d)))
         cyc = ["month_sin", "month_cos", "dow_sin", "dow_cos"]
@@ -87,26 +102,16 @@ def _features():
                                           "day_of_year", "week_of_year", "is_weekend", "quarter",
                                           *cyc), 6, cyc)
 
-    def lags(s, d):
-        df = TS.traffic_lag_features(TS.lag_features(FP.feature_table(s, d), "total_revenue"))
-        keep = ["event_date", "total_revenue"] + [c for c in df.columns if "_lag_" in c]
-        return df.select(*keep)
-
-    def rolling(s, d):
-        df = TS.rolling_features(FP.feature_table(s, d), "total_revenue")
-        return TS.round_doubles(df.select("event_date", *[c for c in df.columns if "_roll_" in c]), 4)
-
-    def ratios(s, d):
-        df = TS.ratio_features(FP.feature_table(s, d))
-        return TS.round_doubles(df.select("event_date", "conversion_rate", "return_rate",
-                                          "avg_revenue_per_order", "revenue_per_visitor"), 6)
-
     table.update({
         "feature_table": lambda s, d: shown(FP.feature_table(s, d)),
         "calendar_features": calendar,
-        "lag_features": lags,
-        "rolling_features": rolling,
-        "ratio_features": ratios,
+        "lag_features": lambda s, d: lag_columns(FP.feature_table(s, d)),
+        "rolling_features": lambda s, d: rolling_columns(FP.feature_table(s, d)),
+        "ratio_features": lambda s, d: ratio_columns(FP.feature_table(s, d)),
+        "aligned_feature_table": lambda s, d: shown(aligned(s, d)),
+        "aligned_lag_features": lambda s, d: lag_columns(aligned(s, d)),
+        "aligned_rolling_features": lambda s, d: rolling_columns(aligned(s, d)),
+        "aligned_ratio_features": lambda s, d: ratio_columns(aligned(s, d)),
         "ts_split": lambda s, d: FP.model_frame(s, d).select("event_date", "rn", "n_rows", "split"),
         "ts_split_summary": lambda s, d: TS.split_summary(FP.model_frame(s, d)),
         "product_rolling_features": FP.product_rolling,
@@ -267,7 +272,13 @@ def _graded_models():
         near = [F.abs(F.col(f"a.{c}") - F.col(f"e.{c}")) <= 0.1 * F.col(f"e.{c}") for c in ("total_orders", "total_products")]
         return exact.alias("e").join(approx.alias("a"), "year").select("year", (near[0] & near[1]).alias("close"))
 
+    def recursion(s, d):
+        frame = FP.model_frame(s, d)
+        out = FC.forecast(s, FC.lag_fit(frame), frame).select("event_date", "horizon", "predicted_revenue")
+        return TS.round_doubles(out, 4, ["predicted_revenue"])
+
     QUERIES.update({
+        "forecast_lag7": recursion,
         "als_factor_counts": lambda s, d: RC.factor_summary(RC.fitted(s, d)),
         "als_scored_pairs": pairs,
         "forecast_calendar": calendar,

@@ -14,7 +14,7 @@ from bazaar.session import cluster_by_date
 from bazaar.streaming import evolution, sinks
 from bazaar.streaming.merge import survivors, touched
 from bazaar.specs import ENTITIES, ENVELOPE_SCHEMA, Entity
-from bazaar.streaming.sources import envelope_stream, layer_stream
+from bazaar.streaming.sources import envelope_stream, layer_stream, source
 
 def bronze_schema(spark: SparkSession, entity: str):
     """Declared bronze table schema (streams start before any file exists)."""
@@ -46,6 +46,13 @@ def bronze_job(spark: SparkSession, entity: str | Entity, src: str | DataFrame,
                               files_per_date=files_per_date)
 
 
+def kafka_bronze_job(spark: SparkSession, entity: str, servers: str, out: str, ckpt: str, trigger="10 seconds",
+                     starting: str = "earliest", **kw):
+    """The entity's topic on ``servers`` into its bronze table (needs the Kafka connector)."""
+    return bronze_job(spark, entity, source(spark, ENTITIES[entity].topic, servers=servers, starting=starting),
+                      out, ckpt, trigger, **kw)
+
+
 def silver_job(spark: SparkSession, entity: str, bronze_path: str, out: str, ckpt: str,
                trigger=None, watermark: str | None = None, files_per_date: int | None = None,
                unbounded: bool = False):

@@ -54,3 +54,21 @@ def test_gap_filled_spine(spark):
                                 ("b", dt.date(2020, 1, 2))], "s string, event_date date")
     got = sorted((r["s"], r["event_date"].day) for r in date_spine(df, ["s"], gap_fill=True).collect())
     assert got == [("a", 1), ("a", 2), ("a", 3), ("a", 4), ("b", 2)]
+
+
+def test_a_missing_library_costs_only_its_own_queries(monkeypatch):
+    """Without a library that the training-data subpackage needs, the others stay."""
+    import sys
+
+    import pytest
+
+    import __spark_entry__ as E
+    from bazaar.registry import QUERIES
+    for name in [n for n in sys.modules if n.startswith("bazaar.llm") or n == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    import bazaar
+    monkeypatch.delattr(bazaar, "llm", raising=False)
+    monkeypatch.setitem(sys.modules, "numpy", None)
+    monkeypatch.setitem(sys.modules, "xxhash", None)
+    with pytest.warns(UserWarning, match="left out"):
+        assert E.queries().keys() == QUERIES.keys()

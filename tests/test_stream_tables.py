@@ -354,6 +354,68 @@ def test_scorer_takes_a_model_that_is_published_in_mid_run(spark):
         assert sorted(map(tuple, mine.collect())) == want and want
 
 
+# ---------------------------------------------------- jobs from end to end
+
+class FakeKafka:
+    """A session whose Kafka reader gives a file stream; it notes the options."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path, self.options = spark, path, {}
+
+    def __getattr__(self, name):
+        return getattr(self.spark, name)
+
+    @property
+    def readStream(self):
+        return self
+
+    def format(self, name):
+        assert name == "kafka"
+        return self
+
+    def option(self, key, value):
+        self.options[key] = value
+        return self
+
+    def load(self):
+        # Kafka has more columns than the job reads
+        return envelope_stream(self.spark, self.path).withColumn("key", F.lit(None).cast("binary")).withColumn("timestampType", F.lit(0))
+
+
+@pytest.mark.parametrize("starting", ["earliest", "latest"])
+def test_topic_to_bronze(spark, starting):
+    from bazaar.streaming import jobs
+    src, out = scratch_path(spark, "topic"), scratch_path(spark, "from-topic")
+    envelope(spark, ORDERS, "orders_topic").write.parquet(src)
+    kafka = FakeKafka(spark, src)
+    jobs.kafka_bronze_job(kafka, "orders", "host1:9092,host2:9092", out, out + "-ckpt", trigger=None,
+                          starting=starting).awaitTermination()
+    assert kafka.options == {"kafka.bootstrap.servers": "host1:9092,host2:9092", "subscribe": "orders_topic",
+                             "startingOffsets": starting}
+    got = spark.read.parquet(out)
+    assert got.count() == len(ORDERS) and got.where("topic = 'orders_topic' AND data_source = 'orders_topic'").count() == len(ORDERS)
+
+
+def test_the_first_query_that_stops_ends_all(spark):
+    src = scratch_path(spark, "any")
+    envelope(spark, ORDERS).write.parquet(src)
+    rows = envelope_stream(spark, src)
+    out = scratch_path(spark, "any-out")
+    live = sinks.start_append(B.parse_envelope(rows, "orders"), out, out + "-ckpt", trigger="1 second", partition_by=())
+    short = sinks.start_debug(rows.select(F.col("value").cast("string").alias("text")), rows=3)
+    sinks.run_until_any_stops([live, short])
+    assert not live.isActive and not short.isActive
+    assert sum(p["numInputRows"] for p in short.recentProgress) == len(ORDERS)
+    assert "ConsoleTable" in short.lastProgress["sink"]["description"]
+    sinks.run_until_any_stops([])
+
+
+def test_silver_state_without_bound_must_be_asked_for(spark):
+    from bazaar.streaming import jobs
+    with pytest.raises(ValueError, match="unbounded"):
+        jobs.silver_job(spark, "orders", "/nowhere", "/nowhere", "/nowhere")
+
+
 # ------------------------------------------------------------------ means
 
 def test_means_keep_every_value(spark):

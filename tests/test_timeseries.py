@@ -71,3 +71,16 @@ def test_ratios_guard_zero_and_null(spark):
     assert rows[0]["conversion_rate"] == 0.0 and rows[0]["revenue_per_visitor"] == 0.0
     assert rows[1]["return_rate"] == 0.0 and rows[1]["avg_revenue_per_order"] == 0.0
     assert rows[2]["conversion_rate"] == 0.0 and rows[2]["avg_revenue_per_order"] == 2.0
+
+
+def test_no_feature_is_zero_throughout(spark):
+    """With all entities in one span of days every model feature carries values."""
+    from pyspark.sql import functions as F
+
+    from bazaar.operators import timeseries as TS
+    from bazaar.plans import features as FP
+    from conftest import SF001
+    frame = TS.all_features(FP.feature_table(spark, SF001, gold=FP.aligned_gold), FP.TARGET)
+    cols = TS.feature_columns(frame, FP.TARGET)
+    got = frame.agg(*[F.count_if(F.col(c) != 0).alias(c) for c in cols]).first().asDict()
+    assert len(cols) > 30 and [c for c in cols if not got[c]] == []
