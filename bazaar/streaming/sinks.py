@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -106,16 +107,30 @@ def reading(spark: SparkSession, path: str):
 
 
 def run_until_any_stops(queries: list[StreamingQuery]) -> None:
-    """Block until one query ends, then stop the others; its error is raised."""
+    """Block until one of the queries ends, then stop the others; its error is raised.
+
+    Queries of the session that are not in the list, running or ended, don't
+    matter.
+    """
     if not queries:
         return
-    spark = queries[0].sparkSession if hasattr(queries[0], "sparkSession") else SparkSession.getActiveSession()
+    streams = SparkSession.getActiveSession().streams
     try:
-        spark.streams.awaitAnyTermination()
+        while True:
+            streams.resetTerminated()  # what ends from here on is not missed
+            if not all(q.isActive for q in queries):
+                break
+            try:
+                streams.awaitAnyTermination()
+            except StreamingQueryException:
+                pass  # its own, if it is in the list, is raised below
     finally:
         for q in queries:
             if q.isActive:
                 q.stop()
+    for q in queries:
+        if q.exception():
+            raise q.exception()
 
 
 def publish_envelopes(frames: dict[str, DataFrame], path: str, mode: str = "append") -> None:

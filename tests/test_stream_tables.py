@@ -408,6 +408,13 @@ def test_the_first_query_that_stops_ends_all(spark):
     assert sum(p["numInputRows"] for p in short.recentProgress) == len(ORDERS)
     assert "ConsoleTable" in short.lastProgress["sink"]["description"]
     sinks.run_until_any_stops([])
+    # one that fails raises its error, one outside the list doesn't
+    bad = rows.select(F.raise_error(F.lit("broken record")).alias("x"))
+    sinks.start_debug(bad)
+    live = sinks.start_append(B.parse_envelope(rows, "orders"), out, out + "-ckpt", trigger="1 second", partition_by=())
+    with pytest.raises(Exception, match="broken record"):
+        sinks.run_until_any_stops([live, sinks.start_debug(bad)])
+    assert not live.isActive
 
 
 def test_silver_state_without_bound_must_be_asked_for(spark):
