@@ -55,13 +55,14 @@ def assign_shards(df: DataFrame, key_col: str, weights: Sequence[float],
     """Add the shard of each record.  ``weights[s]`` is shard ``s``'s share.
 
     Keys of any type are hashed by their text.  Columns of ``df`` are left
-    alone but for ``out``.
+    alone, whatever their names, but for ``out``.
     """
     if not weights or any(w <= 0 for w in weights):
         raise ValueError("shard weights must be positive")
     x, y, _ = key_words(F.col(key_col))
-    return (df.withColumns({"_x": x, "_y": y})
-            .withColumn(out, rendezvous(F.col("_x"), F.col("_y"), weights)).drop("_x", "_y"))
+    kept = [F.col(f"row.`{c}`") for c in df.columns if c != out]
+    return (df.select(F.struct("*").alias("row"), x.alias("x"), y.alias("y"))
+            .select(*kept, rendezvous(F.col("x"), F.col("y"), weights).alias(out)))
 
 
 def number_slots(df: DataFrame, shard_col: str, group: Column, order: Sequence[str],

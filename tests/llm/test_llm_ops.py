@@ -697,3 +697,12 @@ def test_pii_training_candidates_come_from_anywhere_in_a_text():
     assert len(pii.examples(text)) <= 2 * pii.TRAIN_CANDIDATES and kinds
     far = [pii.examples(" ".join(f"10.0.{j}.{k}" for k in range(100)) + " write jo at example dot org") for j in range(40)]
     assert any(v[0] == 0 for rows in far for v in rows)
+
+
+def test_shards_leave_clashing_columns_alone(spark):
+    df = spark.range(50).selectExpr("id", "'a' AS _x", "'b' AS x", "'c' AS row", "7 AS shard", "'d' AS `dotted.name`")
+    got = sharding.assign_shards(df, "id", [1.0, 2.0, 1.0])
+    assert got.columns == ["id", "_x", "x", "row", "dotted.name", "shard"]
+    assert {tuple(r)[1:5] for r in got.collect()} == {("a", "b", "c", "d")}
+    plain = sharding.assign_shards(df.select("id"), "id", [1.0, 2.0, 1.0])
+    assert {r.id: r.shard for r in got.collect()} == {r.id: r.shard for r in plain.collect()}
