@@ -15,6 +15,8 @@ reader needs only the versions since.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -31,13 +33,24 @@ _PLACE = ("partition", "offset")
 
 
 def touched(batch: DataFrame, column: str = "event_date") -> Column | None:
-    """Filter on the distinct days of a batch (as many as the calendar has), NULL included."""
+    """Filter on the distinct days of a batch (as many as the calendar has), NULL included.
+
+    Days that follow one another are one range, so a backfill's filter is short.
+    """
     days = [r[0] for r in batch.select(column).distinct().collect()]
-    some = [d for d in days if d is not None]
-    found = F.col(column).isin(some) if some else F.lit(False)
+    some = sorted(d for d in days if d is not None)
+    runs: list[list] = []
+    for d in some:
+        if runs and (d - runs[-1][1]).days == 1:
+            runs[-1][1] = d
+        else:
+            runs.append([d, d])
+    single = [lo for lo, hi in runs if lo == hi]
+    parts = [F.col(column).isin(single)] if single else []
+    parts += [F.col(column).between(F.lit(lo), F.lit(hi)) for lo, hi in runs if lo != hi]
     if len(some) < len(days):
-        found = found | F.col(column).isNull()
-    return found if days else None
+        parts.append(F.col(column).isNull())
+    return reduce(lambda x, y: x | y, parts) if parts else None
 
 
 # ---------------------------------------------------------------- survivors
