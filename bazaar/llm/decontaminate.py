@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -50,6 +51,8 @@ SEED = 11
 
 #: Words handled at a time in a task.
 BLOCK_WORDS = 1 << 17
+#: Rows of a matrix handled at a time, so that the temporaries stay in cache.
+SLAB = 512
 #: The tasks' parts of the sketch are summed SUM_FAN at a time, in SUM_LEVELS.
 SUM_FAN, SUM_LEVELS = 16, 4
 
@@ -95,8 +98,7 @@ class Space:
         return max(RANK, len(self.items) // RANK_ITEMS)
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        get = self.terms.get
-        return np.fromiter((get(w, -1) for w in words), np.int32, len(words))
+        return np.fromiter(map(self.terms.get, words, repeat(-1)), np.int32, len(words))
 
 
 def _blocks(space: Space, texts) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
@@ -104,22 +106,26 @@ def _blocks(space: Space, texts) -> Iterator[tuple[np.ndarray, np.ndarray, list]
 
     A document's last segment is filled up with -2, which is no word.
     """
-    ids, owner, docs, size = [], [], [], 0
+    ids, segments, docs, size = [], [], [], 0
+    fill = [np.full(k, -2, np.int32) for k in range(SEGMENT)]
+
+    def block():
+        return np.concatenate(ids).reshape(-1, SEGMENT), np.repeat(np.arange(len(docs)), segments), docs
+
     for key, text in texts:
         words = words_of(text)
         if not words:
             continue
-        own = space.ids(words)
-        pad = -len(own) % SEGMENT
-        ids.append(np.concatenate([own, np.full(pad, -2, np.int32)]) if pad else own)
-        owner.append(np.full(len(ids[-1]) // SEGMENT, len(docs)))
-        docs.append((key, words))
+        pad = -len(words) % SEGMENT
+        ids += [space.ids(words), fill[pad]]
+        segments.append((len(words) + pad) // SEGMENT)
+        docs.append((key, text))
         size += len(words)
         if size >= BLOCK_WORDS:
-            yield np.concatenate(ids).reshape(-1, SEGMENT), np.concatenate(owner), docs
-            ids, owner, docs, size = [], [], [], 0
+            yield block()
+            ids, segments, docs, size = [], [], [], 0
     if docs:
-        yield np.concatenate(ids).reshape(-1, SEGMENT), np.concatenate(owner), docs
+        yield block()
 
 
 def _pairs(batches: Iterator[pd.DataFrame]):
@@ -161,14 +167,29 @@ def _norms(space: Space, ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray
 
 def _project(space: Space, ids: np.ndarray, matrix: np.ndarray) -> np.ndarray:
     """Sum over each segment of the weighted rows of ``matrix`` (terms first)."""
-    out = np.zeros((len(ids), matrix.shape[1]), np.float32)
+    rows = np.concatenate([matrix, np.zeros((2, matrix.shape[1]), np.float32)])  # for ids -2 and -1
+    out = np.empty((len(ids), matrix.shape[1]), np.float32)
+    word = np.empty((SLAB, matrix.shape[1]), np.float32)
+    for s in range(0, len(ids), SLAB):
+        part, total = ids[s:s + SLAB], out[s:s + SLAB]
+        np.take(rows, part[:, 0], axis=0, out=total, mode="wrap")
+        for k in range(1, SEGMENT):
+            total += np.take(rows, part[:, k], axis=0, out=word[:len(part)], mode="wrap")
+    return out
+
+
+def _add_by_term(total: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+    """Add the row of each segment to those of its terms in ``total``."""
     flat = ids.ravel()
     hit = np.flatnonzero(flat >= 0)
-    if len(hit):
-        seg = hit // SEGMENT
-        first = np.flatnonzero(np.append(True, seg[1:] != seg[:-1]))
-        out[seg[first]] = np.add.reduceat(matrix[flat[hit]], first, axis=0)
-    return out
+    order = hit[np.argsort(flat[hit], kind="stable")]
+    buffer = np.empty((SLAB * SEGMENT, rows.shape[1]), np.float32)
+    for s in range(0, len(order), len(buffer)):
+        at = order[s:s + len(buffer)]
+        term = flat[at]
+        first = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
+        part = np.take(rows, at // SEGMENT, axis=0, out=buffer[:len(at)], mode="wrap")
+        total[term[first]] += np.add.reduceat(part, first, axis=0)
 
 
 def _windows(x: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -191,13 +212,7 @@ def sketch(docs: DataFrame, space: Space) -> tuple[np.ndarray, np.ndarray, float
             y = _windows(_project(space, ids, weighted), two) * (scale ** 2)[:, None]
             back = y.copy()  # a segment lies in the window it starts and in the one before
             back[1:] += np.where(two[:-1, None], y[:-1], 0)
-            flat = ids.ravel()
-            hit = np.flatnonzero(flat >= 0)
-            order = hit[np.argsort(flat[hit], kind="stable")]
-            if len(order):
-                term = flat[order]
-                first = np.flatnonzero(np.append(True, term[1:] != term[:-1]))
-                total[term[first]] += np.add.reduceat(back[order // SEGMENT], first, axis=0)
+            _add_by_term(total, ids, back)
             mass += len(ids)
         total *= space.idf[:, None]
         yield pd.DataFrame({"part": [TaskContext.get().partitionId() % SUM_FAN ** SUM_LEVELS], "mass": [mass],
@@ -277,9 +292,10 @@ def _candidates(space: Space, ids: np.ndarray, owner: np.ndarray):
     weights = np.concatenate([space.weights, np.zeros((2, space.weights.shape[1]), np.float32)])
     follow = np.full_like(ids, -2)
     follow[:-1][two[:-1]] = ids[1:][two[:-1]]
-    for at in range(0, len(some), 4096):
-        rows = some[at:at + 4096]
-        win, query = np.nonzero((x[rows] / size[rows, None]) @ space.latent >= LATENT)
+    queries = space.latent.shape[1]
+    for at in range(0, len(some), SLAB):
+        rows = some[at:at + SLAB]
+        win, query = np.divmod(np.flatnonzero((x[rows] / size[rows, None]) @ space.latent >= LATENT), queries)
         win = rows[win]
         for k in range(0, len(win), 1 << 15):
             w, q = win[k:k + (1 << 15)], query[k:k + (1 << 15)]
@@ -300,9 +316,12 @@ def search(docs: DataFrame, space: Space) -> DataFrame:
         for ids, owner, docs_ in _blocks(space, _pairs(batches)):
             begin = np.searchsorted(owner, np.arange(len(docs_)))
             best: dict = {}
+            texts: dict = {}
             for w, q, cosine in _candidates(space, ids, owner):
                 doc, item = int(owner[w]), int(space.query_item[q])
-                n, words = len(space.items[item][1]), docs_[doc][1]
+                if doc not in texts:
+                    texts[doc] = words_of(docs_[doc][1])
+                n, words = len(space.items[item][1]), texts[doc]
                 mid = int(w - begin[doc]) * SEGMENT + SEGMENT
                 near = words[max(0, mid - SEGMENT - n):mid + SEGMENT + n]
                 share = lcs(masks[item], n, near) / n
