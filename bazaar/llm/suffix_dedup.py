@@ -95,21 +95,22 @@ def _anchors(data: np.ndarray, sizes: np.ndarray, length: int, gram: int):
     if not len(keys):
         return empty
     ends = np.cumsum(sizes)
-    doc = np.repeat(np.arange(len(sizes)), sizes)[:len(keys)]
-    inside = np.arange(len(keys)) + length <= ends[doc]
-    at = np.flatnonzero(inside)
-    if not len(at):
+    # a run ends with its anchor, its document or the document's last window
+    edge = np.append(True, keys[1:] != keys[:-1])
+    cut = np.concatenate([ends - sizes, np.maximum(ends - sizes, ends - length + 1)])
+    edge[cut[cut < len(keys)]] = True
+    first = np.flatnonzero(edge)
+    n = np.diff(np.append(first, len(keys)))
+    doc = np.searchsorted(ends, first, side="right")
+    inside = first + length <= ends[doc]
+    first, n, doc = first[inside], n[inside], doc[inside]
+    if not len(first):
         return empty
-    keys, doc = keys[at], doc[at]
-    new = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
-    first = np.flatnonzero(np.append(True, new))
-    n = np.diff(np.append(first, len(at)))
     most = length - gram + 1
     pieces = -(-n // most)  # long runs (repetitive text) are cut
     k = ranges(np.zeros(len(n), np.int64), pieces)
     run = np.repeat(np.arange(len(n)), pieces)
-    begin = first[run] + k * most
-    return keys[first][run], at[begin], np.minimum(n[run] - k * most, most), doc[first][run]
+    return keys[first][run], first[run] + k * most, np.minimum(n[run] - k * most, most), doc[run]
 
 
 def _rows_of(pdf: pd.DataFrame) -> Iterator[tuple]:
@@ -216,18 +217,23 @@ def suffix_order(text: np.ndarray, length: int) -> np.ndarray:
         have += step
 
 
+def _words(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place of ``text`` as one number."""
+    pad = np.concatenate([text, np.zeros(8, np.uint8)])
+    return np.ndarray((len(text),), np.uint64, pad.data, strides=(1,))
+
+
 def neighbour_prefixes(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     """Whether each suffix shares ``length`` bytes with the one before it.
 
     Kasai's common prefixes, cut off at ``length`` and computed for all
     neighbours at once, eight bytes a step; pairs that differ drop out.
     """
-    pad = np.concatenate([text, np.zeros(length + 8, np.uint8)])
+    word = _words(np.concatenate([text, np.zeros(length, np.uint8)]))
     same = np.zeros(len(order), bool)
     live = np.arange(1, len(order))
     for k in range(0, length, 8):
         k = min(k, length - 8) if length >= 8 else k
-        word = np.ndarray((len(pad) - 7,), np.uint64, pad.data, strides=(1,))
         live = live[word[order[live] + k] == word[order[live - 1] + k]]
     same[live] = True
     return same
@@ -284,10 +290,7 @@ def requests(shards: DataFrame, shared: DataFrame, buckets: int, length: int, gr
             anchor, begin, n, doc = anchor[keep], begin[keep], n[keep], doc[keep]
             if not len(begin):
                 continue
-            edge = np.zeros(len(data) + 1, np.int32)
-            np.add.at(edge, begin, 1)
-            np.add.at(edge, begin + n + length - 1, -1)
-            covered = np.cumsum(edge[:-1]) > 0
+            covered = _covered(begin, begin + n + length - 1, len(data))
             text = data[covered]
             place = np.cumsum(covered) - 1
             starts = place[ranges(begin, n)]
@@ -321,18 +324,23 @@ def merge(work: DataFrame, length: int) -> DataFrame:
         sizes = [np.frombuffer(b, np.uint8).astype(np.int64) for b in pdf["sizes"]]
         texts = [np.frombuffer(b, np.uint8) for b in pdf["text"]]
         least = [_decode_runs(b) for b in pdf["least"]]
-        base, runs, starts = 0, [], []
+        base, runs, starts, orders = 0, [], [], []
         text = np.concatenate(texts)
         every = window_hashes(text, length)
         for n, t in zip(sizes, texts, strict=True):
             begin = base + np.cumsum(n + length - 1) - (n + length - 1)
             at = ranges(begin, n)
             starts.append(at)
-            runs.append(np.sort(every[at]))  # the shard's sorted run
+            orders.append(np.argsort(every[at]))
+            runs.append(every[at[orders[-1]]])  # the shard's sorted run
             base += len(t)
         merged = np.unique(np.concatenate(runs))
         at = np.concatenate(starts)
-        slot = np.searchsorted(merged, every[at])
+        slot = np.empty(len(at), np.int64)
+        done = 0
+        for run, order in zip(runs, orders, strict=True):
+            slot[done + order] = np.searchsorted(merged, run)
+            done += len(run)
         low = np.full(len(merged), LAST)
         np.minimum.at(low, slot, np.concatenate(least))
         sample = np.zeros(len(merged), np.int64)
@@ -356,10 +364,34 @@ def merge(work: DataFrame, length: int) -> DataFrame:
             .groupBy("bucket").applyInPandas(one, "shard long, bucket long, sizes binary, least binary"))
 
 
+def _covered(first: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """Which of 0 .. n - 1 lie in an interval [first, end)."""
+    return np.cumsum(np.bincount(first, minlength=n + 1) - np.bincount(end, minlength=n + 1))[:n] > 0
+
+
 def _differ(text: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Whether the windows at ``a`` and ``b`` differ.
+
+    Pairs that follow one another in both are compared as one stretch; only
+    those of a stretch that differs are looked at one by one.
+    """
     out = np.zeros(len(a), bool)
+    live = np.flatnonzero(a != b)
+    if not len(live):
+        return out
+    x, y = a[live], b[live]
+    first = np.flatnonzero(np.append(True, (x[1:] != x[:-1] + 1) | (y[1:] != y[:-1] + 1)))
+    n = np.diff(np.append(first, len(live)))
+    size = n + length - 1
+    bad = size < 8
+    steps = -(-size // 8)
+    run = np.repeat(np.arange(len(n)), steps)
+    k = np.minimum(ranges(np.zeros(len(n), np.int64), steps) * 8, np.maximum(size - 8, 0)[run])
+    word = _words(text)
+    bad[run[word[x[first][run] + k] != word[y[first][run] + k]]] = True
+    some = live[np.repeat(bad, n)]
     for k in range(length):
-        out |= text[a + k] != text[b + k]
+        out[some] |= text[a[some] + k] != text[b[some] + k]
     return out
 
 
@@ -375,7 +407,7 @@ def mark(shards: DataFrame, places: DataFrame, answers: DataFrame, length: int,
         out = []
         for _, ids, sizes, data in _rows_of(left):
             ends = np.cumsum(sizes)
-            edge = np.zeros(len(data) + 1, np.int32)
+            hits = [np.zeros(0, np.int64)]
             here = right[right["bucket"] == -1]
             told = right[right["bucket"] >= 0]
             for s, p, b, k in zip(here["sizes"], here["place"], here["part"], here["nth"], strict=True):
@@ -387,12 +419,10 @@ def mark(shards: DataFrame, places: DataFrame, answers: DataFrame, length: int,
                     lo, hi = np.searchsorted(part, [bucket, bucket + 1])  # places are in order of buckets
                     at, size = place[lo:hi], n[lo:hi]
                     value = low[ranges((np.cumsum(m) - m)[nth[lo:hi]], size)]
-                    window = ranges(at, size)
-                    doc = np.searchsorted(ends, window, side="right")
-                    hit = window[value < ids[doc]]
-                    np.add.at(edge, hit, 1)
-                    np.add.at(edge, hit + length, -1)
-            gone = np.cumsum(edge[:-1]) > 0
+                    own = ids[np.searchsorted(ends, at, side="right")]  # a snippet lies in one document
+                    hits.append(ranges(at, size)[value < np.repeat(own, size)])
+            first = np.concatenate(hits)
+            gone = _covered(first, first + length, len(data))
             for i, (e, size) in enumerate(zip(ends, sizes, strict=True)):
                 mine = gone[e - size:e]
                 flips = np.diff(np.concatenate([[0], mine.astype(np.int8), [0]]))
