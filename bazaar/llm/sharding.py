@@ -71,19 +71,28 @@ def number_slots(df: DataFrame, shard_col: str, group: Column, order: Sequence[s
 
     A shard is cut into ``groups`` groups by the value of ``group``.  Groups are
     counted (a table of shards x groups rows), their offsets summed, and rows
-    numbered inside their group only, so no task sees a whole shard.
+    numbered inside their group only, so no task sees a whole shard.  The
+    frame's columns may have any names.
     """
-    g = df.withColumn("_g", F.pmod(group, F.lit(groups)).cast("int"))
-    sizes = g.groupBy(shard_col, "_g").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(shard_col).orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(F.col(shard_col).alias("_s"), F.col("_g").alias("_h"),
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(shard_col, "_g").orderBy(*order)
-    ranked = g.withColumn("_rank", F.row_number().over(inside))
+    taken = {c.lower() for c in [*df.columns, out]}
+
+    def fresh(name: str) -> str:
+        while name in taken:
+            name = f"_{name}"
+        return name
+
+    g_, n_, s_, h_, before_, rank_ = map(fresh, ("_g", "_n", "_s", "_h", "_before", "_rank"))
+    g = df.withColumn(g_, F.pmod(group, F.lit(groups)).cast("int"))
+    sizes = g.groupBy(shard_col, g_).agg(F.count(F.lit(1)).alias(n_))
+    before = Window.partitionBy(shard_col).orderBy(g_).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col(shard_col).alias(s_), F.col(g_).alias(h_),
+                           F.coalesce(F.sum(n_).over(before), F.lit(0)).alias(before_))
+    inside = Window.partitionBy(shard_col, g_).orderBy(*order)
+    ranked = g.withColumn(rank_, F.row_number().over(inside))
     return (ranked.join(F.broadcast(offsets),  # at most shards x groups rows
-                        (F.col(shard_col) == F.col("_s")) & (F.col("_g") == F.col("_h")))
-            .withColumn(out, (F.col("_before") + F.col("_rank") - 1).cast("long"))
-            .drop("_g", "_s", "_h", "_before", "_rank"))
+                        (F.col(shard_col) == F.col(s_)) & (F.col(g_) == F.col(h_)))
+            .withColumn(out, (F.col(before_) + F.col(rank_) - 1).cast("long"))
+            .drop(g_, s_, h_, before_, rank_))
 
 
 def shard_documents(docs: DataFrame, shards: int, id_col: str = "doc_id",

@@ -706,3 +706,18 @@ def test_shards_leave_clashing_columns_alone(spark):
     assert {tuple(r)[1:5] for r in got.collect()} == {("a", "b", "c", "d")}
     plain = sharding.assign_shards(df.select("id"), "id", [1.0, 2.0, 1.0])
     assert {r.id: r.shard for r in got.collect()} == {r.id: r.shard for r in plain.collect()}
+
+
+def test_slots_keep_columns_with_helper_names(spark):
+    from pyspark.sql import functions as F
+
+    names = ["_g", "_n", "_s", "_h", "_before", "_RANK", "__g"]
+    rows = [(k, k % 3, *[k + 100 * c for c in range(len(names))]) for k in range(40)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` long" for c in ["id", "shard", *names]))
+    out = sharding.number_slots(df, "shard", F.col("id"), ["id"], groups=4)
+    assert out.columns == [*df.columns, "slot"]
+    got = out.collect()
+    assert sorted(tuple(r)[:-1] for r in got) == rows
+    for s in range(3):
+        mine = sorted(r["slot"] for r in got if r["shard"] == s)
+        assert mine == list(range(len(mine)))
