@@ -85,50 +85,74 @@ def document_files(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.concat_ws("/", "source", "lang", name).alias("path"))
 
 
-_TERM = r"[\p{L}\p{N}]+(?:[.\-][\p{L}\p{N}]+)*"
 _TEMPLATE_ROWS = ", ".join("('{}', '{}')".format(*t) for t in L.TEMPLATES)
 
 OP4_SQL = f"""
 WITH files AS (
-  SELECT doc_id, coalesce(text, '') AS text,
-         regexp_matches(lower(text), '{L.CUES}') AS cue,
-         coalesce(length(text) <= {NOTICE_CHARS} AND regexp_matches(lower(text), '{L.CUES}'), false) AS named,
-         source || '/' || lang || '/' || CASE WHEN length(text) <= {NOTICE_CHARS}
-           AND regexp_matches(lower(text), '{L.CUES}') THEN 'LICENSE-' ELSE 'doc-' END || doc_id AS path
-  FROM documents),
-lines AS (
-  SELECT doc_id, path, named, line FROM (
-    SELECT doc_id, path, named, unnest(regexp_split_to_array(text, '\\r\\n|\\r|\\n')) AS line FROM files WHERE cue)
-  WHERE (named OR regexp_matches(lower(line), '{L.CUES}')) AND length(trim(line)) > 0),
-texts AS (SELECT DISTINCT line FROM lines),
-tf AS (SELECT line, term, count(*) AS tf FROM (
-         SELECT line, unnest(regexp_extract_all(lower(line), '{_TERM}')) AS term FROM texts) GROUP BY ALL),
+  SELECT doc_id, coalesce(text, '') AS text, named,
+         concat_ws('/', source, lang, CASE WHEN named THEN 'LICENSE-' ELSE 'doc-' END || doc_id) AS path
+  FROM (SELECT *, coalesce(length(text) <= {NOTICE_CHARS} AND regexp_matches(lower(text), '{L.CUES}'), false) AS named
+        FROM documents)),
+cued AS (SELECT doc_id, path, named, regexp_replace(text, '\\r\\n?', chr(10), 'g') AS text
+         FROM files WHERE named OR regexp_matches(lower(text), '{L.CUES}')),
+paragraphs AS (
+  SELECT * FROM (SELECT doc_id, path, named, unnest(regexp_split_to_array(text, '{L.BLANK_LINE}')) AS part FROM cued)
+  WHERE regexp_matches(lower(part), '{L.CUES}')),
+pieces AS (
+  SELECT doc_id, path, named, regexp_extract_all(lower(part), '{L.TERM}') AS terms FROM (
+    SELECT doc_id, path, named, unnest(regexp_extract_all(part, '{L.PIECE}')
+           || regexp_extract_all(regexp_replace(part, '{L.HALF_PIECE}', ''), '{L.PIECE}')) AS part FROM paragraphs)
+  WHERE regexp_matches(lower(part), '{L.CUE_WORDS}')),
+parts AS (
+  SELECT * FROM (
+    SELECT doc_id, path, named, 'line' AS kind, unnest(string_split(text, chr(10))) AS part FROM cued)
+  WHERE named OR regexp_matches(lower(part), '{L.CUES}')
+  UNION ALL SELECT doc_id, path, named, 'paragraph', part FROM paragraphs
+  UNION ALL
+  SELECT doc_id, path, named, 'window', array_to_string(terms[greatest(p - {L.BEFORE}, 1):
+         greatest(p - {L.BEFORE}, 1) + {L.AROUND} - 1], ' ')
+  FROM (SELECT *, unnest(range(1, len(terms) + 1)) AS p FROM pieces) WHERE regexp_matches(terms[p], '{L.CUE_WORDS}')
+  UNION ALL SELECT doc_id, path, named, 'whole', text FROM cued WHERE named
+  UNION ALL
+  SELECT doc_id, path, named, 'head', array_to_string(
+         regexp_extract_all(lower(regexp_extract(text, '{L.HALF_PIECE}')), '{L.TERM}')[1:{L.HEAD}], ' ')
+  FROM cued WHERE named),
+texts AS (SELECT DISTINCT part FROM parts WHERE length(trim(part)) > 0),
 templates(license, notice) AS (VALUES {_TEMPLATE_ROWS}),
-ttf AS (SELECT license, term, count(*) AS ttf FROM (
-         SELECT license, unnest(regexp_extract_all(lower(notice), '{_TERM}')) AS term FROM templates) GROUP BY ALL),
+ttf AS (SELECT license, notice, term, count(*) AS ttf FROM (
+          SELECT license, notice, unnest(regexp_extract_all(lower(notice), '{L.TERM}')) AS term FROM templates) GROUP BY ALL),
+tf AS (SELECT part, term, count(*) AS tf FROM (
+         SELECT part, unnest(regexp_extract_all(lower(part), '{L.TERM}')) AS term FROM texts)
+       WHERE term IN (SELECT term FROM ttf) GROUP BY ALL),
 df AS (SELECT term, count(*) AS df FROM (SELECT term FROM tf UNION ALL SELECT term FROM ttf) GROUP BY term),
 idf AS (SELECT term, ln(((SELECT count(*) FROM texts) + (SELECT count(*) FROM templates) + 1.0) / (df + 1.0)) + 1.0 AS idf
         FROM df),
-w AS (SELECT line, term, tf * idf AS w FROM tf JOIN idf USING (term)),
-tw AS (SELECT license, term, ttf * idf AS tw FROM ttf JOIN idf USING (term)),
-norm AS (SELECT line, sqrt(sum(w * w)) AS norm FROM w GROUP BY line),
-tnorm AS (SELECT license, sqrt(sum(tw * tw)) AS tnorm FROM tw GROUP BY license),
-cosine AS (SELECT line, license, round(dot / (norm * tnorm), 6) AS cosine
-           FROM (SELECT line, license, sum(w * tw) AS dot FROM w JOIN tw USING (term) GROUP BY ALL)
-           JOIN norm USING (line) JOIN tnorm USING (license)),
-best AS (SELECT line, license, cosine FROM cosine WHERE cosine >= {L.MIN_COSINE}
-         QUALIFY row_number() OVER (PARTITION BY line ORDER BY cosine DESC, license) = 1),
-own AS (SELECT doc_id, path, named, license, cosine, n_lines FROM (
-          SELECT doc_id, path, named, license, max(cosine) AS cosine, count(*) AS n_lines
-          FROM lines JOIN best USING (line) GROUP BY ALL)
-        QUALIFY row_number() OVER (PARTITION BY doc_id, path ORDER BY cosine DESC, license) = 1),
-dirs AS (SELECT regexp_replace(path, '/[^/]*$', '') AS dir, license, cosine FROM own WHERE named
-         QUALIFY row_number() OVER (PARTITION BY regexp_replace(path, '/[^/]*$', '') ORDER BY cosine DESC, license) = 1)
+w AS (SELECT part, term, tf * idf AS w FROM tf JOIN idf USING (term)),
+tw AS (SELECT license, notice, term, ttf * idf AS tw FROM ttf JOIN idf USING (term)),
+norm AS (SELECT part, sqrt(sum(w * w)) AS norm FROM w GROUP BY part),
+tnorm AS (SELECT license, notice, sqrt(sum(tw * tw)) AS tnorm FROM tw GROUP BY ALL),
+cosine AS (SELECT part, license, round(dot / (norm * tnorm), 6) AS cosine
+           FROM (SELECT part, license, notice, sum(w * tw) AS dot FROM w JOIN tw USING (term) GROUP BY ALL)
+           JOIN norm USING (part) JOIN tnorm USING (license, notice)),
+best AS (SELECT part, license, cosine FROM cosine WHERE cosine >= {L.MIN_COSINE}
+         QUALIFY row_number() OVER (PARTITION BY part ORDER BY cosine DESC, license) = 1),
+hits AS (SELECT doc_id, path, named, kind, license, cosine, license = '{L.LAST_RESORT}' AS late
+         FROM parts JOIN best USING (part)),
+own AS (SELECT doc_id, path, named, license, cosine, late,
+               count(*) FILTER (kind = 'line') OVER (PARTITION BY doc_id, path) AS n_lines FROM hits
+        QUALIFY row_number() OVER (PARTITION BY doc_id, path
+                                   ORDER BY late, kind NOT IN ('whole', 'head'), cosine DESC, license) = 1),
+dirs AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, license, cosine FROM own WHERE named
+         QUALIFY row_number() OVER (PARTITION BY dir ORDER BY late, cosine DESC, license) = 1),
+near AS (SELECT f.dir AS here, d.* FROM (SELECT DISTINCT regexp_replace(path, '/?[^/]*$', '') AS dir FROM files) f
+         JOIN dirs d ON d.dir = '' OR starts_with(f.dir || '/', d.dir || '/')
+         QUALIFY row_number() OVER (PARTITION BY f.dir ORDER BY length(d.dir) DESC) = 1)
 SELECT f.doc_id, f.path, coalesce(o.license, d.license) AS license,
        CASE WHEN o.license IS NOT NULL THEN 'header' WHEN d.license IS NOT NULL THEN 'inherited' ELSE 'none' END AS found,
        CASE WHEN o.license IS NULL THEN d.dir END AS from_dir,
        coalesce(o.cosine, d.cosine) AS cosine, coalesce(o.n_lines, 0) AS n_lines
-FROM files f LEFT JOIN own o USING (doc_id) LEFT JOIN dirs d ON d.dir = regexp_replace(f.path, '/[^/]*$', '')
+FROM files f LEFT JOIN own o ON o.doc_id = f.doc_id AND o.path = f.path
+     LEFT JOIN near d ON d.here = regexp_replace(f.path, '/?[^/]*$', '')
 """
 
 

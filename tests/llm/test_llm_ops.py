@@ -514,6 +514,32 @@ def test_license_root_file(spark):
     assert got[2] == ("MIT", "inherited", "")
 
 
+def test_license_texts_wrapped_and_embedded_notices(spark):
+    mit = licenses._MIT_GRANT + "\n\n" + licenses._MIT_REST
+    bsd = licenses._BSD_GRANT + licenses._BSD_NAMES + "\n\n" + licenses._BSD_REST
+    gnu, affero = "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n", "under the GNU Affero General Public License, version 3"
+    prose = "many people worked on this over the years and it should be used with the care that is due to all such things"
+    files = [
+        ("GPL-3.0", "g/LICENSE", gnu), ("MIT", "m/LICENSE", mit),
+        ("GPL-3.0", "k/COPYING", gnu + licenses._GNU_HEAD + f"\n\n13. Use with works licensed {affero}.\n" + "covered work\n" * 500),
+        ("AGPL-3.0", "a/COPYING", "GNU AFFERO GENERAL PUBLIC LICENSE\r\nVersion 3, 19 November 2007\r\n"),
+        ("BSD-3-Clause", "b/LICENSE", "BSD 3-Clause License\n\nCopyright (c) 2021, A B\nAll rights reserved.\n\n" + bsd),
+        ("Apache-2.0", "x.py", f"{prose} and is licensed under the Apache License, Version 2.0, {prose}"),
+        ("AGPL-3.0", "y.py", "# This work is licensed under the GNU Affero\n# General Public License,\n# version 3.\nimport os\n"),
+        ("MIT", "h.c", "/*\n * Copyright 2020 A B. All rights reserved.\n *\n * " + mit.replace(". ", ".\n * ") + "\n */\ncode"),
+        ("BSD-2-Clause", "s.c", "// SPDX-License-Identifier: BSD-2-Clause\nint x;"), ("Proprietary", "q.py", "All rights reserved."),
+        ("MIT", "far.txt", "word " * 195 + "this is released under the MIT License " + "word " * 400),
+        (None, "p.py", "the patent license that he has is his, and the copyright office is closed on the day of the public domain review"),
+        (None, "r.py", "x" * 100000 + " license to kill is no notice " + "y" * 100000)]
+    df = spark.createDataFrame([(k, *f[1:]) for k, f in enumerate(files)], "k long, p string, t string")
+    got = {r.key: r.license for r in licenses.license_scan(df, "k", "p", "t").collect()}
+    assert got == {k: f[0] for k, f in enumerate(files)}
+    own = spark.createDataFrame([("X-1", "Use as you like under X one"), ("X-1", "Use as you like under X one"), ("X-2", None)],
+                                "license string, notice string")
+    mine = spark.createDataFrame([(1, "a/LICENSE", "Use as you like under X one"), (2, "a/b", None)], "k long, p string, t string")
+    assert {r.license for r in licenses.license_scan(mine, "k", "p", "t", templates=own).collect()} == {"X-1"}
+
+
 # -------------------------------------------------------------- benchmark
 
 def test_decontamination(spark, awkward, nothing):
