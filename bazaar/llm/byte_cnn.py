@@ -149,16 +149,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     The rows are those with the smallest hash of their id, so the sample does
     not depend on the order of the input.  Only their chunk samples reach the
-    driver (at most ``max_docs`` x TRAIN_CHUNKS x 2 x BLOCK bytes).  Without a
-    label the model gives 0.5 everywhere.
+    driver (at most ``max_docs`` x TRAIN_CHUNKS x 2 x BLOCK bytes).  Of rows
+    that repeat an id one is used, of repeated labels the larger; rows without
+    an id or a label teach nothing.  Without a label the model gives 0.5
+    everywhere.
     """
     pick = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
             .groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_label"))
             .orderBy(F.xxhash64("_id"), "_id").limit(max_docs))
     cut = F.pandas_udf(lambda s: s.map(sample_chunks), "binary")
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-            .join(F.broadcast(pick), "_id")  # at most max_docs rows
-            .select("_id", "_label", cut("_text").alias("chunks")).orderBy("_id", "chunks").collect())
+            .join(F.broadcast(pick), "_id")  # pick has at most max_docs rows
+            .select("_id", "_label", cut("_text").alias("chunks"))
+            # of rows that repeat an id one counts, so max_docs rows are collected at most
+            .groupBy("_id").agg(F.max("_label").alias("_label"), F.min("chunks").alias("chunks"))
+            .orderBy("_id").collect())
     if not rows:
         zero = np.zeros(FILTERS, np.float32)
         return Model(np.zeros((WIDTH, 256, FILTERS), np.float32), zero, zero, 0.0)
@@ -175,13 +180,22 @@ def scorer(model: Model):
 
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
              threshold: float = 0.3) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted."""
+    """One row per document: doc_id, held_out, score, predicted.
+
+    A null text counts as empty, and empty ones are scored like any other.
+    Rows that repeat an id or a text are each scored; equal texts have equal
+    scores.  A null id is in no way special but for its fold.
+    """
     return (docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"),
                         scorer(model)(F.col(text_col)).alias("score"))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, all columns."""
+    """The rows of ``docs`` that the classifier accepts, all columns.
+
+    Null, empty and repeated texts are judged by their score as in
+    ``classify``; an empty table gives an empty one.
+    """
     scored = docs.select(scorer(model)(F.col(text_col)).alias("score"), F.struct("*").alias("row"))
     return scored.where(F.col("score") >= threshold).select("row.*")
