@@ -43,41 +43,45 @@ LENGTH = 50
 GRAM = 16
 SHARD_BYTES = 4 << 20
 
-#: Stands for a null id: larger than every id.
+#: Orders a null id: no id is larger, and the table notes which ids are null.
 LAST = np.iinfo(np.int64).max
 
 
 # ------------------------------------------------------------------ shards
 
 def pack(docs: DataFrame, id_col: str, text_col: str, shard_bytes: int) -> DataFrame:
-    """One row per shard: ids, byte lengths and bytes of its documents.
+    """One row per shard: ids, byte lengths and bytes of its documents, and
+    the bits of those whose id is null.
 
     Every task fills shards from its own part of the input, so the text is not
     shuffled; the written table fixes the numbering.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
+    rows = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def fill(batches):
         number = TaskContext.get().partitionId() << 32
-        ids, data, size = [], [], 0
+        ids, nameless, data, size = [], [], [], 0
 
         def shard():
             return pd.DataFrame({"shard": [number], "ids": [np.array(ids, np.int64)],
-                                 "sizes": [np.array([len(b) for b in data], np.int64)], "data": [b"".join(data)]})
+                                 "sizes": [np.array([len(b) for b in data], np.int64)], "data": [b"".join(data)],
+                                 "nameless": [np.packbits(nameless).tobytes()]})
         for pdf in batches:
+            # digits, as a column of numbers with nulls would become floats
             for i, t in zip(pdf["doc_id"], pdf["text"], strict=True):
-                ids.append(LAST if pd.isna(i) else int(i))
+                nameless.append(i is None)
+                ids.append(LAST if i is None else int(i))
                 data.append(t.encode("utf-8", "surrogatepass"))
                 size += len(data[-1])
                 if size >= shard_bytes:
                     yield shard()
-                    number, ids, data, size = number + 1, [], [], 0
+                    number, ids, nameless, data, size = number + 1, [], [], [], 0
         if ids:
             yield shard()
 
-    packed = rows.mapInPandas(fill, "shard long, ids array<long>, sizes array<long>, data binary")
+    packed = rows.mapInPandas(fill, "shard long, ids array<long>, sizes array<long>, data binary, nameless binary")
     name = f"shards_{uuid.uuid4().hex}"
     (packed.write.bucketBy(shuffle_parts(spark), "shard").option("path", scratch_path(spark, "shards"))
      .option("compression", "zstd").saveAsTable(name))
@@ -87,6 +91,12 @@ def pack(docs: DataFrame, id_col: str, text_col: str, shard_bytes: int) -> DataF
     return table
 
 
+def null_ids(left: pd.DataFrame) -> list[np.ndarray]:
+    """By shard: which of its ids are null."""
+    return [np.unpackbits(np.frombuffer(b, np.uint8), count=len(i)).astype(bool)
+            for b, i in zip(left["nameless"], left["ids"], strict=True)]
+
+
 def _anchors(data: np.ndarray, sizes: np.ndarray, length: int, gram: int):
     """(anchor, first window, windows, document) of every run of windows with
     one anchor, at most ``length - gram + 1`` windows in a run."""
@@ -405,7 +415,7 @@ def mark(shards: DataFrame, places: DataFrame, answers: DataFrame, length: int,
 
     def one(key, left, right):
         out = []
-        for _, ids, sizes, data in _rows_of(left):
+        for (_, ids, sizes, data), nameless in zip(_rows_of(left), null_ids(left), strict=True):
             ends = np.cumsum(sizes)
             hits = [np.zeros(0, np.int64)]
             here = right[right["bucket"] == -1]
@@ -428,7 +438,7 @@ def mark(shards: DataFrame, places: DataFrame, answers: DataFrame, length: int,
                 flips = np.diff(np.concatenate([[0], mine.astype(np.int8), [0]]))
                 first, last = np.flatnonzero(flips == 1), np.flatnonzero(flips == -1)
                 kept = data[e - size:e][~mine].tobytes()
-                out.append((None if ids[i] == LAST else int(ids[i]), int(size), int(mine.sum()), len(first),
+                out.append((None if nameless[i] else int(ids[i]), int(size), int(mine.sum()), len(first),
                             hashlib.sha256(kept).hexdigest(), kept if with_text else None,
                             np.stack([first, last], axis=1).ravel() if with_text else None))
         pdf = pd.DataFrame(out, columns=[c.split()[0] for c in RESULT.split(", ")])
@@ -443,7 +453,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     and, ``with_text``, the bytes that stay and the removed spans (start, end).
 
     Null and empty texts have no bytes.  A null id counts as larger than every
-    id.  Rows that repeat an id remove nothing from each other.
+    id but the largest of 64 bits, of which it is an equal.  Rows that repeat an id remove nothing from each other.
     """
     gram = min(GRAM, length)
     shards = pack(docs, id_col, text_col, SHARD_BYTES)

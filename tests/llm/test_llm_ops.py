@@ -355,6 +355,15 @@ def test_suffix_dedup_awkward(awkward, nothing, monkeypatch, shard_bytes):
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
 
+def test_largest_id_is_no_null(spark):
+    top = 2 ** 63 - 1
+    rows = spark.createDataFrame([(top, PASSAGE), (None, PASSAGE), (2 ** 53 + 1, "x " + PASSAGE)], "doc_id long, text string")
+    out = {r.doc_id: r for r in suffix_dedup.remove_repeats(rows).collect()}
+    assert set(out) == {top, None, 2 ** 53 + 1} and out[top].n_removed == out[None].n_removed == len(PASSAGE)
+    out = {r.doc_id: r for r in compact_windows.near_duplicate_passages(rows).collect()}
+    assert set(out) == {top, None, 2 ** 53 + 1} and list(out[top].source_ids) == [2 ** 53 + 1]
+
+
 def test_suffix_dedup_random_small_alphabet(spark):
     r = random.Random(6)
     rows = [(k, "".join(r.choice("ab") for _ in range(r.randint(0, 60)))) for k in range(60)]
