@@ -187,6 +187,38 @@ def _among(x: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------ suffix arrays
 
+def _refine(starts: np.ndarray, value: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, whether it differs from the one before) of slots that are
+    sorted by ``value`` (of so many bits) inside each group; ``starts`` has the
+    groups' first slots and the number of slots.
+
+    Group, value and slot are packed into one number, as numpy sorts numbers
+    much faster than it finds their order; so groups go some at a time.
+    """
+    room = (64 - bits) // 2  # every group has two slots at least
+    by, new = np.empty(len(value), np.int64), np.empty(len(value), bool)
+    g = 0
+    while g < len(starts) - 1:
+        lo = starts[g]
+        end = int(np.searchsorted(starts, lo + (1 << room), side="right")) - 1
+        if end == g:  # one group larger than that
+            end = g + 1
+            order = np.argsort(value[lo:starts[end]])
+            key = value[lo:starts[end]][order]
+        else:
+            hi = starts[end]
+            group = np.repeat(np.arange(end - g), np.diff(starts[g:end + 1]))
+            key = (((group << bits) | value[lo:hi]) << room) | np.arange(hi - lo)
+            key.sort()
+            order = key & ((1 << room) - 1)
+            key >>= room
+        by[lo:starts[end]] = order + lo
+        new[lo] = True
+        new[lo + 1:starts[end]] = key[1:] != key[:-1]
+        g = end
+    return by, new
+
+
 def suffix_order(text: np.ndarray, length: int) -> np.ndarray:
     """Positions of ``text`` sorted by their first ``length`` bytes.
 
@@ -204,26 +236,25 @@ def suffix_order(text: np.ndarray, length: int) -> np.ndarray:
     key = key[:size]
     order = np.argsort(key)
     sorted_key = key[order]
-    fresh = np.append(True, sorted_key[1:] != sorted_key[:-1])
+    slots, u = np.arange(size), order
+    new = np.append(True, sorted_key[1:] != sorted_key[:-1])
     rank = np.empty(size, np.int64)
     have = 8
     while True:
-        first = np.flatnonzero(fresh)
-        group = np.repeat(first, np.diff(np.append(first, size)))
-        rank[order] = group
-        if have >= length:
+        # a group's rank is its first slot; groups of one slot are in place
+        first = np.flatnonzero(new)
+        counts = np.diff(np.append(first, len(slots)))
+        rank[u] = np.repeat(slots[first], counts)
+        many = counts > 1
+        live = np.repeat(many, counts)
+        slots, u = slots[live], u[live]
+        if have >= length or not len(slots):
             return order[order < n]
         step = min(have, length - have)
-        counts = np.diff(np.append(first, size))
-        slots = np.flatnonzero(np.repeat(counts > 1, counts))
-        if not len(slots):
-            return order[order < n]
-        u = order[slots]
-        pair = (rank[u] << 32) | rank[np.minimum(u + step, size - 1)]
-        by = np.argsort(pair)
-        order[slots] = u[by]
-        pair = pair[by]
-        fresh[slots] |= np.append(True, pair[1:] != pair[:-1])
+        starts = np.append(0, np.cumsum(counts[many]))
+        by, new = _refine(starts, rank[np.minimum(u + step, size - 1)], size.bit_length())
+        u = u[by]
+        order[slots] = u
         have += step
 
 
