@@ -375,7 +375,8 @@ def merge(work: DataFrame, length: int) -> DataFrame:
             orders.append(np.argsort(every[at]))
             runs.append(every[at[orders[-1]]])  # the shard's sorted run
             base += len(t)
-        merged = np.unique(np.concatenate(runs))
+        merged = np.sort(np.concatenate(runs))
+        merged = merged[run_starts(merged)]
         at = np.concatenate(starts)
         slot = np.empty(len(at), np.int64)
         done = 0
