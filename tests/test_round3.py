@@ -31,3 +31,19 @@ def test_dated_stream_does_not_hold_the_text(spark):
     assert {"partition", "offset", "order_id", "event_timestamp"} <= set(df.columns)
 
 
+def test_small_groups_have_small_sketches(spark):
+    rows = spark.range(0, 30000).select(
+        F.when(F.col("id") < 28000, F.lit(0)).otherwise(F.col("id")).alias("seller_id"), F.lit("2020-01-01").cast("date").alias("event_date"),
+        F.col("id").alias("order_id"), F.lit(1.0).alias("item_total"))
+    df = G.seller_performance(rows, distinct="approx")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "approx_count_distinct" not in plan
+    got = {r.seller_id: r.total_orders for r in df.collect()}
+    assert abs(got.pop(0) - 28000) < 0.1 * 28000 and set(got.values()) == {1}
+    held = rows.groupBy("seller_id").agg(F.length(F.hll_sketch_agg("order_id", 12)).alias("n")).where("seller_id > 0")
+    assert held.agg(F.max("n")).first()[0] < 100
+    nulls = spark.range(3).select(F.lit(1).alias("seller_id"), F.lit(None).cast("date").alias("event_date"),
+                                  F.lit(None).cast("long").alias("order_id"), F.lit(1.0).alias("item_total"))
+    assert G.seller_performance(nulls, distinct="approx").first().total_orders == 0
+
+
