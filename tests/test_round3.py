@@ -20,6 +20,34 @@ from bazaar.streaming.sources import layer_stream
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
+def parquet(spark, path):
+    return sorted(n for n in Files(spark, path).names(path) if n.endswith(".parquet"))
+
+
+def test_turns_of_several_files_arrive_turn_by_turn(spark):
+    rows = spark.range(0, 1000, 1, 8).withColumn("t", F.when(F.col("id") < 990, F.col("id") % 2).otherwise(F.lit(2)))
+    rows = stream_runs.stored(rows, "turn-rows")
+    path = stream_runs.publish_in_turn(rows, F.col("t"), 4, "turns", files=3)
+    assert len(parquet(spark, path)) == 4 * 3  # thin and empty turns are made up
+    seen = []
+
+    def note(batch, batch_id):
+        seen.append(sorted({r.t for r in batch.select("t").distinct().collect()}))
+
+    q = (layer_stream(spark, path, rows.schema, max_files_per_trigger=3).writeStream.foreachBatch(note)
+         .option("checkpointLocation", scratch_path(spark, "turns-ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert seen == [[0], [1], [2], []]
+    assert spark.read.parquet(path).count() == 1000
+
+
+def test_large_turns_are_written_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(stream_runs, "ROWS_PER_FILE", 10)
+    rows = stream_runs.stored(spark.range(0, 400, 1, 8), "large-turns")
+    assert stream_runs.turn_files(rows, 2) == 20
+    assert stream_runs.turn_files(rows.limit(3), 2) == 1
+
+
 def test_dated_stream_does_not_hold_the_text(spark):
     for name in ("order_items", "orders"):
         os.makedirs(scratch_path(spark, f"none-{name}"))
