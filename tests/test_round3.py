@@ -48,6 +48,43 @@ def test_large_turns_are_written_by_several_tasks(spark, monkeypatch):
     assert stream_runs.turn_files(rows.limit(3), 2) == 1
 
 
+def tiny_tables(spark):
+    """lineitem and orders of a few rows, the order of item 1 missing its line twice."""
+    path = scratch_path(spark, "tiny")
+    day = datetime(1995, 1, 1)
+    items = [(k, k % 5, k % 3, n, float(k), 10.0 * k, "A", "O", day + timedelta(days=k)) for k in range(1, 60) for n in (1, 2)]
+    spark.createDataFrame(items + items[:3], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                          "l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+                          ).write.parquet(f"{path}/lineitem.parquet")
+    orders = [(k, k % 7, "O", 100.0 * k, "1-URGENT", day + timedelta(days=k)) for k in range(1, 60)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string, "
+                          "o_orderdate timestamp_ntz").write.parquet(f"{path}/orders.parquet")
+    return path
+
+
+def test_undated_items_are_parsed_once_and_compared_without_their_text(spark):
+    path = tiny_tables(spark)
+    out = bronze_jobs.dated_silver(spark, path, "order_items")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    survivors = plan[plan.index("_survivor"):].split("\n")[0]
+    assert "raw_json" not in survivors
+    assert plan.count("lineitem.parquet") <= 1 and plan.count("Join LeftOuter") == 1
+    rows = out.collect()
+    assert len(rows) == 59 and {r.order_id for r in rows if r.event_timestamp is None} == {50}
+
+
+def test_rows_that_are_not_looked_up_are_spread_and_kept(spark):
+    day = datetime(2020, 1, 1)
+    rows = spark.createDataFrame([(str(k) if k % 2 else None, day if k % 3 else None, None, 0, k) for k in range(300)],
+                                 "order_id string, event_timestamp timestamp, event_date date, partition int, offset long")
+    orders = spark.createDataFrame([(str(k), datetime(2021, 1, 1)) for k in range(0, 300, 3)], "order_id string, event_timestamp timestamp")
+    got = {r.offset: r for r in date_by_order(rows, orders).collect()}
+    assert len(got) == 300
+    for k, r in got.items():
+        want = day if k % 3 else datetime(2021, 1, 1) if k % 2 else None
+        assert r.event_timestamp == want and (r.event_date is None) == (want is None)
+
+
 def test_dated_stream_does_not_hold_the_text(spark):
     for name in ("order_items", "orders"):
         os.makedirs(scratch_path(spark, f"none-{name}"))
@@ -73,5 +110,3 @@ def test_small_groups_have_small_sketches(spark):
     nulls = spark.range(3).select(F.lit(1).alias("seller_id"), F.lit(None).cast("date").alias("event_date"),
                                   F.lit(None).cast("long").alias("order_id"), F.lit(1.0).alias("item_total"))
     assert G.seller_performance(nulls, distinct="approx").first().total_orders == 0
-
-
