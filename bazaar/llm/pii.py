@@ -14,7 +14,7 @@
    candidates held back from training; candidates above it that overlap no
    base span are added, the likeliest first.
 
-The trees learn from a bounded sample of documents: spans that pass a
+The trees learn from all candidates of all documents: spans that pass a
 validator are positive, and so are wider candidates that pass it once they are
 normalised and have a cue (a cue word near, or brackets for signs); the others
 are negative.  Positives rewritten the way generators normalise them (spelled
@@ -35,6 +35,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaar.llm.common import stored
+
 KINDS = ("email", "ip", "card", "phone")
 
 # The base patterns.
@@ -65,12 +67,13 @@ CUE_WORDS = {
     "phone": ("phone", "tel", "call", "mobile", "fax", "telefon", "llamar"),
 }
 
-#: Bounds of the training sample and shape of the boosted trees.
-TRAIN_DOCS = 4000
+#: Candidates that ``examples`` gives unless asked for all, and shape of the boosted trees.
 TRAIN_CANDIDATES = 40
 ROUNDS, DEPTH, RATE, BINS = 40, 3, 0.2, 16
 PRECISION = 0.98
 CONTEXT = 24
+#: Examples without which nothing is learnt, and parts of one in sums of gradients.
+LEAST, UNIT = 20, 2 ** 24
 
 
 def luhn(digits: str) -> bool:
@@ -224,8 +227,8 @@ class Taken:
         self.ends.insert(k, e)
 
 
-def examples(text: str | None) -> list[list[float]]:
-    """Feature vectors of TRAIN_CANDIDATES candidates of a text, the label last.
+def examples(text: str | None, most: int | None = TRAIN_CANDIDATES) -> list[list[float]]:
+    """Feature vectors of ``most`` candidates of a text (None: all), the label last.
 
     They are those of smallest checksum, wherever in the text they are; one
     that passes its validator comes in a rewritten form as well.
@@ -236,7 +239,7 @@ def examples(text: str | None) -> list[list[float]]:
     wide = [(kind, s, e, False) for kind, s, e in candidates(text) if taken.free(s, e)]
     every = base + wide
     mark = [zlib.crc32(f"{kind}:{s}:{text[s:e]}".encode()) for kind, s, e, _ in every]
-    for k in sorted(range(len(mark)), key=mark.__getitem__)[:TRAIN_CANDIDATES]:
+    for k in sorted(range(len(mark)), key=mark.__getitem__)[:most]:
         kind, s, e, plain = every[k]
         good = valid(kind, text[s:e]) if plain else sound(kind, text, s, e)
         out.append([*features(kind, text, s, e), float(good)])
@@ -268,68 +271,174 @@ class Trees:
         return 1 / (1 + np.exp(-z))
 
 
-def _grow(x: np.ndarray, edges: list[np.ndarray], grad: np.ndarray, hess: np.ndarray):
-    """One tree, level by level, by the gain of gradient and hessian sums."""
-    feature, cut = np.zeros(2 ** DEPTH - 1, np.int64), np.full(2 ** DEPTH - 1, np.inf)
-    at = np.zeros(len(x), np.int64)
+def _binned(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    """Per feature the number of edges below the value, so ``x > edges[j]`` is ``bin > j``."""
+    return np.stack([np.searchsorted(m, x[:, f]) for f, m in enumerate(edges)], axis=1).astype(np.uint8)
+
+
+def _margin(bins: np.ndarray, start: float, done) -> np.ndarray:
+    """Sum of the finished trees, which are (features, bins of the cuts, leaves)."""
+    z = np.full(len(bins), start)
+    for feature, mark, leaf in done:
+        z += leaf[_node(bins, feature, mark, DEPTH) - (2 ** DEPTH - 1)]
+    return z
+
+
+def _node(bins: np.ndarray, feature: np.ndarray, mark: np.ndarray, level: int) -> np.ndarray:
+    at = np.zeros(len(bins), np.int64)
+    for _ in range(level):
+        at = 2 * at + 1 + (bins[np.arange(len(bins)), feature[at]] > mark[at])
+    return at
+
+
+def _level_sums(bins: np.ndarray, n: np.ndarray, good: np.ndarray, start: float, done, tree, level: int) -> np.ndarray:
+    """Gradient and hessian sums by node of a level, feature and bin.
+
+    They are whole multiples of 1 / UNIT, so their sums over tasks do not
+    depend on an order.
+    """
+    width = bins.shape[1] * (BINS + 1)
+    p = 1 / (1 + np.exp(-_margin(bins, start, done)))
+    cell = ((_node(bins, *tree, level) - (2 ** level - 1)) * width)[:, None] + (
+        np.arange(bins.shape[1]) * (BINS + 1) + bins)
+    sums = [np.bincount(cell.ravel(), np.repeat(np.rint(w * UNIT), bins.shape[1]), 2 ** level * width)
+            for w in (p * n - good, p * (1 - p) * n)]
+    return np.stack(sums, axis=1).astype(np.int64)
+
+
+def _boost(edges: list[np.ndarray], start: float, level_sums) -> tuple[Trees, list]:
+    """Trees level by level, by the gain of the sums that ``level_sums`` gives."""
+    trees, done = Trees(start, thresholds=dict.fromkeys(KINDS, 2.0)), []
     gain_of = lambda g, h: g * g / (h + 1.0)
-    for node in range(2 ** DEPTH - 1):
-        rows = np.flatnonzero(at == node)
-        if len(rows):
-            best, g, h = 1e-6, grad[rows], hess[rows]
-            for f, marks in enumerate(edges):
-                for m in marks:
-                    right = x[rows, f] > m
-                    gr, hr = g[right].sum(), h[right].sum()
-                    gain = gain_of(gr, hr) + gain_of(g.sum() - gr, h.sum() - hr) - gain_of(g.sum(), h.sum())
-                    if gain > best:
-                        best, feature[node], cut[node] = gain, f, m
-            at[rows] = 2 * node + 1 + (x[rows, feature[node]] > cut[node])
-    leaf = at - (2 ** DEPTH - 1)
-    g, h = np.bincount(leaf, grad, 2 ** DEPTH), np.bincount(leaf, hess, 2 ** DEPTH)
-    return (feature, cut), -RATE * g / (h + 1.0)
+    real = np.array([np.arange(BINS + 1) < len(m) for m in edges])
+    for _ in range(ROUNDS):
+        nodes = 2 ** DEPTH - 1
+        feature, mark = np.zeros(nodes, np.int64), np.full(nodes, 255)
+        cut, leaf = np.full(nodes, np.inf), np.zeros(nodes + 1)
+        for level in range(DEPTH):
+            sums = level_sums(start, done, (feature, mark), level).reshape(2 ** level, len(edges), BINS + 1, 2) / UNIT
+            for k, s in enumerate(sums):
+                node, whole = 2 ** level - 1 + k, s[0].sum(axis=0)
+                right = whole - s.cumsum(axis=1)  # beyond each bin
+                gain = np.where(real, gain_of(*np.moveaxis(right, -1, 0)) + gain_of(*np.moveaxis(whole - right, -1, 0))
+                                - gain_of(*whole), 0.0)
+                f, j = np.unravel_index(gain.argmax(), gain.shape)
+                over = np.zeros(2)
+                if gain[f, j] > 1e-6:
+                    feature[node], mark[node], cut[node], over = f, j, edges[f][j], right[f, j]
+                if level == DEPTH - 1:
+                    for side, (g, h) in enumerate((whole - over, over)):
+                        leaf[2 * node + 1 + side - nodes] = -RATE * g / (h + 1.0)
+        trees.splits.append((feature, cut))
+        trees.leaves.append(leaf)
+        done.append((feature, mark, leaf))
+    return trees, done
+
+
+def _start(n: float, good: float) -> float:
+    return float(np.log((good / n + 1e-3) / (1 - good / n + 1e-3)))
+
+
+def _threshold(p: np.ndarray, n: np.ndarray, good: np.ndarray) -> float:
+    """Lowest probability that keeps ``PRECISION`` (at least 0.5); 2.0 if none does."""
+    order = np.argsort(-p, kind="stable")
+    ok = np.flatnonzero(np.cumsum(good[order]) / np.cumsum(n[order]) >= PRECISION)
+    return max(0.5, float(p[order][ok[-1]])) if len(ok) else 2.0
 
 
 def fit(rows: np.ndarray) -> Trees:
     """Boost on three quarters of the rows, calibrate on the rest."""
-    trees = Trees(thresholds=dict.fromkeys(KINDS, 2.0))
-    if len(rows) < 20 or len(set(rows[:, -1])) < 2:
-        return trees
+    if len(rows) < LEAST or len(set(rows[:, -1])) < 2:
+        return Trees(thresholds=dict.fromkeys(KINDS, 2.0))
     back = np.arange(len(rows)) % 4 == 0
     x, y = rows[~back, :-1], rows[~back, -1]
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[:-1])) for f in range(x.shape[1])]
-    trees.start = float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)))
-    z = np.full(len(x), trees.start)
-    for _ in range(ROUNDS):
-        p = 1 / (1 + np.exp(-z))
-        split, leaf = _grow(x, edges, p - y, p * (1 - p))
-        trees.splits.append(split)
-        trees.leaves.append(leaf)
-        z += leaf[trees.leaf(x, split)]
+    bins, one = _binned(x, edges), np.ones(len(x))
+    trees, _ = _boost(edges, _start(len(y), y.sum()), lambda *a: _level_sums(bins, one, y, *a))
     p, y = trees.probability(rows[back, :-1]), rows[back, -1]
     for k, kind in enumerate(KINDS):
         mine = rows[back, 0] == k
-        order = np.argsort(-p[mine], kind="stable")
-        precision = np.cumsum(y[mine][order]) / np.arange(1, len(order) + 1)
-        ok = np.flatnonzero(precision >= PRECISION)
-        if len(ok):
-            trees.thresholds[kind] = max(0.5, float(p[mine][order][ok[-1]]))
+        trees.thresholds[kind] = _threshold(p[mine], np.ones(mine.sum()), y[mine])
     return trees
 
 
-def train(docs: DataFrame, text_col: str = "text", max_docs: int = TRAIN_DOCS) -> Trees:
-    """Fit on the ``max_docs`` distinct texts with a digit or '@' of smallest hash.
+def train(docs: DataFrame, text_col: str = "text") -> Trees:
+    """Fit on every candidate of every document.
 
-    The sample does not depend on the order of the rows or on copies; at most
-    ``max_docs`` x 2 x TRAIN_CANDIDATES vectors reach the driver.
+    The candidates stay in tasks: a quarter of the texts (by checksum) is held
+    back, cuts come from quantiles of all others, equal vectors of cut features
+    are counted once, and each level of a tree takes the sums of gradients by
+    node, feature and bin.  The driver gets these sums, and for the thresholds
+    the counts by kind and probability to four places.
     """
-    vectors = F.pandas_udf(lambda s: s.map(examples), "array<array<double>>")
-    texts = docs.select(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
-    pick = texts.where(F.col("t").rlike("[0-9@]")).select("h").distinct().orderBy("h").limit(max_docs)
-    rows = (texts.join(F.broadcast(pick), "h")  # at most max_docs rows
-            .dropDuplicates(["h"]).select("h", vectors("t").alias("v")).orderBy("h").collect())
-    flat = [v for r in rows for v in r["v"]]
-    return fit(np.array(flat, float).reshape(-1, len(flat[0])) if flat else np.zeros((0, 2)))
+    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out: list = []
+            for t in batch["t"]:
+                back = zlib.crc32((t or "").encode("utf-8", "surrogatepass")) % 4 == 0
+                out += [(v[:-1], int(v[-1]), back) for v in examples(t, None)]
+                if len(out) > 5000:
+                    yield pd.DataFrame(out, columns=["v", "y", "back"])
+                    out = []
+            yield pd.DataFrame(out, columns=["v", "y", "back"])
+
+    every = stored(docs.select(F.col(text_col).alias("t")).mapInPandas(vectors, "v array<double>, y long, back boolean"),
+                   "pii-examples")
+    width = len(features("email", "", 0, 0))
+    marks = [float(q) for q in np.linspace(0, 1, BINS + 1)[:-1]]
+    total = every.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("good")).first()
+    seen = every.where(~F.col("back")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").alias("good"),
+        *[F.percentile(F.col("v")[f], F.array(*map(F.lit, marks))).alias(f"q{f}") for f in range(width)]).first()
+    if total["n"] < LEAST or not 0 < total["good"] < total["n"] or not seen["n"]:
+        return Trees(thresholds=dict.fromkeys(KINDS, 2.0))
+    edges = [np.unique(np.array(seen[f"q{f}"])) for f in range(width)]
+
+    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                bins = _binned(np.stack(batch["v"].to_numpy()), edges)
+                yield pd.DataFrame({"bins": [b.tobytes() for b in bins], "kind": [int(v[0]) for v in batch["v"]],
+                                    "y": batch["y"], "back": batch["back"]})
+
+    counted = stored(every.mapInPandas(cells, "bins binary, kind int, y long, back boolean")
+                     .groupBy("bins", "kind", "back").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("good")), "pii-cells")
+    learn, check = counted.where(~F.col("back")), counted.where("back")
+
+    def of(batch: pd.DataFrame) -> np.ndarray:
+        return np.frombuffer(b"".join(batch["bins"]), np.uint8).reshape(-1, width)
+
+    def level_sums(*state) -> np.ndarray:
+        def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            got = 0
+            for batch in batches:
+                got = got + _level_sums(of(batch), batch["n"].to_numpy(), batch["good"].to_numpy(), *state)
+            if not isinstance(got, int):
+                cell = np.flatnonzero(got.any(axis=1))
+                yield pd.DataFrame({"cell": cell, "g": got[cell, 0], "h": got[cell, 1]})
+
+        out = np.zeros((2 ** state[-1] * width * (BINS + 1), 2), np.int64)
+        # a task has a row per cell at most, so one more task can add them up
+        sums = learn.mapInPandas(part, "cell long, g long, h long").repartition(1).groupBy("cell").agg(F.sum("g"), F.sum("h"))
+        for r in sums.collect():
+            out[r[0]] = r[1:]
+        return out
+
+    trees, done = _boost(edges, _start(seen["n"], seen["good"]), level_sums)
+    start = trees.start
+
+    def rated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            p = 1 / (1 + np.exp(-_margin(of(batch), start, done)))
+            yield pd.DataFrame({"kind": batch["kind"], "place": np.floor(p * 1e4).astype(np.int64), "n": batch["n"],
+                                "good": batch["good"]})
+
+    rates = np.array(check.mapInPandas(rated, "kind int, place long, n long, good long").groupBy("kind", "place")
+                     .agg(F.sum("n"), F.sum("good")).collect(), float).reshape(-1, 4)
+    for k, kind in enumerate(KINDS):
+        mine = rates[rates[:, 0] == k]
+        trees.thresholds[kind] = _threshold(mine[:, 1] / 1e4, mine[:, 2], mine[:, 3])
+    return trees
 
 
 def find(text: str | None, trees: Trees) -> tuple[list, list]:

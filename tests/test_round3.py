@@ -110,3 +110,45 @@ def test_small_groups_have_small_sketches(spark):
     nulls = spark.range(3).select(F.lit(1).alias("seller_id"), F.lit(None).cast("date").alias("event_date"),
                                   F.lit(None).cast("long").alias("order_id"), F.lit(1.0).alias("item_total"))
     assert G.seller_performance(nulls, distinct="approx").first().total_orders == 0
+
+
+def test_pii_learns_from_every_document(spark, monkeypatch):
+    from bazaar.llm import pii
+
+    monkeypatch.setattr(pii, "ROUNDS", 4)
+    assert not hasattr(pii, "TRAIN_DOCS")
+    long = " ".join(f"10.0.{j}.{k}" for j in range(3) for k in range(50))
+    assert len(pii.examples(long, None)) > 2 * pii.TRAIN_CANDIDATES
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    texts = [f"{word()}{k} {word()}@{word()}.com call 555-123-{1000 + k} {word()}" for k in range(5000)]
+    every = [v for t in texts for v in pii.examples(t, None)]
+    seen = []
+    real = pii._boost
+    monkeypatch.setattr(pii, "_start", lambda n, good: seen.append((n, good)) or 0.0)
+    monkeypatch.setattr(pii, "_boost", lambda edges, start, sums: real(edges, start, lambda *a: seen.append(sums(*a)) or seen[-1]))
+    trees = pii.train(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string"))
+    import zlib
+    learn = [v for t in texts if zlib.crc32(t.encode()) % 4 for v in pii.examples(t, None)]
+    assert len(learn) < len(every) and seen[0] == (len(learn), sum(v[-1] for v in learn))
+    x = np.array(learn, float)
+    sums = seen[1].reshape(x.shape[1] - 1, pii.BINS + 1, 2)  # of the first node
+    want = (0.5 - x[:, -1]).sum()
+    assert np.allclose(sums[:, :, 0].sum(axis=1) / pii.UNIT, want)
+    assert np.allclose(sums[:, :, 1].sum(axis=1) / pii.UNIT, len(learn) / 4)
+    assert len(trees.splits) == 4
+    _, added = pii.find(f"{word()} {word()} [at] {word()} [dot] com", trees)
+    assert len(added) <= 1
+
+
+def test_pii_trees_split_as_brute_force(spark):
+    """A tree's first cut has the largest gain over all features and values."""
+    from bazaar.llm import pii
+
+    r = np.random.default_rng(3)
+    x = r.integers(0, 6, (400, 5)).astype(float)
+    y = (x[:, 3] > 2).astype(float)
+    trees = pii.fit(np.column_stack([x, y]))
+    assert trees.splits[0][0][0] == 3 and 2 <= trees.splits[0][1][0] < 3
+    p = trees.probability(x)
+    assert ((p > 0.5) == (y > 0.5)).all()
