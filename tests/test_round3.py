@@ -9,9 +9,14 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from bazaar.operators import bronze as B
+from bazaar.operators import dedup as D
 from bazaar.operators import gold as G
+from bazaar.operators import journey as J
 from bazaar.operators.dating import date_by_order
+from bazaar.operators.gold import GOLD
 from bazaar.plans import bronze_jobs, stream_runs
+from bazaar.plans import medallion as M
+from bazaar.plans import recommend as RC
 from bazaar.session import scratch_path
 from bazaar.streaming import jobs
 from bazaar.streaming.manifest import Files
@@ -152,3 +157,53 @@ def test_pii_trees_split_as_brute_force(spark):
     assert trees.splits[0][0][0] == 3 and 2 <= trees.splits[0][1][0] < 3
     p = trees.probability(x)
     assert ((p > 0.5) == (y > 0.5)).all()
+
+
+def test_survivors_are_compared_up_to_the_columns_that_are_used(spark):
+    rows = spark.createDataFrame(
+        [(1, None, 5, "b"), (1, 2, 4, "a"), (1, None, 3, "c"), (2, 7, None, "a"), (2, 7, 1, "b"), (None, 1, 1, "a")],
+        "k int, a int, b int, c string")
+    whole = D.dedup_batch(rows, ["k"])
+    for keep in ((), ("a",), ("b",), ("a", "b"), ("c",)):
+        part = D.dedup_batch(rows, ["k"], keep)
+        assert set(keep) <= set(part.columns)
+        assert sorted(map(str, part.collect())) == sorted(map(str, whole.select(*part.columns).collect())), keep
+    assert "c" not in D.dedup_batch(rows, ["k"], ("b",)).columns
+    plan = D.dedup_batch(rows, ["k"], ("a",))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_readers_of_silver_get_the_same_columns_without_the_rest(spark):
+    path = tiny_tables(spark)
+    for name, keep in (*((GOLD[t][0], uses) for t, uses in G.USES.items() if t != "traffic_kpi" and t != "inventory_kpi"),
+                       *((n, uses) for n, uses in J.USES.items() if n not in ("traffic", "inventory"))):
+        part = M.silver_table(spark, path, name, keep=keep)
+        assert {*keep, "event_date", "event_timestamp"} <= set(part.columns)
+        assert sorted(map(str, part.collect())) == sorted(map(str, M.silver_table(spark, path, name).select(*part.columns).collect()))
+    ratings = RC.explicit_ratings(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert "review_title" not in ratings and "to_date" not in ratings
+    buyers = RC.implicit_purchases(spark, path)._jdf.queryExecution().optimizedPlan().toString()
+    assert "payment_method" not in buyers
+
+
+def test_replay_key_is_made_after_the_sort(spark):
+    path = tiny_tables(spark)
+    journey = J.order_journey(M.all_silver(spark, path, [s[0] for s in J.STEPS], keep=J.USES))
+    log = J.replay_log(journey, seed=42)
+    plan = log._jdf.queryExecution().optimizedPlan().toString()
+    assert "replay_key" not in plan[plan.index("Sort ["):].split("\n", 1)[1]
+    rows = log.collect()
+    assert [(r.replay_day, r.replay_key) for r in rows] == sorted((r.replay_day, r.replay_key) for r in rows)
+
+
+def test_backfill_reads_silver_without_text_and_sizes_its_files(spark, monkeypatch):
+    path = tiny_tables(spark)
+    silver = spark.read.parquet(stream_runs.bronze_silver(spark, path, "order_items"))
+    assert "raw_json" not in silver.columns and "offset" in silver.columns
+    assert silver.count() == M.silver_table(spark, path, "order_items").count()
+    env = spark.read.parquet(stream_runs.publish_files(spark, path, "order_items"))
+    assert stream_runs.files_per_day(env) == 1 and stream_runs.files_per_day(env.limit(0)) == 1
+    monkeypatch.setattr(stream_runs, "ROWS_PER_FILE", 2)
+    assert stream_runs.files_per_day(env) == 2
+    monkeypatch.setattr(stream_runs, "ROWS_PER_FILE", 0.1)
+    assert stream_runs.files_per_day(env) == stream_runs.sinks.FILES_PER_DATE
