@@ -27,7 +27,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pandas as pd
@@ -38,10 +38,11 @@ from bazaar.llm.common import stored
 
 #: Characters of a chunk; longer texts go through the scan.
 CHUNK = 1 << 15
-#: Words, and pairs of pieces, remembered by a Python worker (two generations).
+#: Pairs of pieces remembered by a Python worker (spines of pieces: two generations).
 MEMO = 1 << 18
 
-#: Texts whose ids a worker holds before it hands them on.
+#: Characters whose words a worker encodes together, and texts whose ids it hands on at a time.
+TOGETHER = 1 << 24
 ROWS = 256
 
 SPACE = "▁"
@@ -103,8 +104,10 @@ class Vocabulary:
         self.words = re.compile(f"[{single}]|{SPACE}*[^{SPACE}{single}]+|{SPACE}+")
         self.spine = Memo(self._spine)
         self.compatible = Memo(self._compatible, MEMO // 4)
-        self.last = Memo(self._last_piece)
-        self.encoded = Memo(self._encode_word)
+        # by piece: whether the pieces seen behind it are compatible with it
+        self.behind: dict[str, dict[str, bool]] = {}
+        self.pairs = 0
+        self.packed = {p: (p, np.int32(k).tobytes()) for p, k in self.id.items()}
 
     # -- lattice ----------------------------------------------------------
 
@@ -210,31 +213,57 @@ class Vocabulary:
             out += [k] if k is not None else [self.byte[b] for b in p.encode("utf-8", "surrogatepass")]
         return out
 
-    def _last_piece(self, prefix: str) -> str:
-        """The last piece of the feasible path of a text, as ``walk`` gives it
-        for the position after the text.  Words share their prefixes' answers."""
-        known, compatible, seen, last = self.id, self.compatible, self.compatible.get, self.last
-        end = len(prefix) - 1
-        for q in range(max(0, end + 1 - self.longest), end + 1):
-            piece = prefix[q:]
-            if piece in known or q == end:
-                pair = (last[prefix[:q]] if q else "", piece)
-                fits = seen(pair)
-                if fits or (fits is None and compatible[pair]):
-                    return piece
+    def _fits(self, before: str, piece: str) -> bool:
+        """``_compatible``, remembered; when there are too many pairs, all are forgotten."""
+        if self.pairs >= MEMO:
+            for row in self.behind.values():
+                row.clear()
+            self.pairs = 0
+        self.pairs += 1
+        fits = self._compatible((before, piece))
+        self.behind[before][self.packed.get(piece, (piece,))[0]] = fits
+        return fits
+
+    def _step(self, word: str, p: int, ends: list[tuple | None]) -> tuple[str, bytes, dict]:
+        """The feasible path of ``word[:p]``: its last piece, its ids (32-bit
+        integers) and the row of ``behind`` of that piece.  ``ends`` holds those
+        of the positions that were looked at before; a position off the path
+        is looked at only where a longer piece must be ruled out."""
+        packed, longest = self.packed, self.longest
+        for q in range(p - longest if p > longest else 0, p):
+            piece = word[q:p]
+            own = packed.get(piece)
+            if own is not None or q == p - 1:
+                before = ends[q] or self._step(word, q, ends)
+                fits = before[2].get(piece)
+                if fits is None:
+                    fits = self._fits(before[0], piece)
+                if fits:
+                    if own is None:
+                        own = piece, np.array(self.ids([piece]), np.int32).tobytes()
+                    found = ends[p] = (own[0], before[1] + own[1], self.behind.setdefault(own[0], {}))
+                    return found
         raise ValueError("no feasible path")
 
-    def _encode_word(self, word: str) -> bytes:
-        """Ids (as 32-bit integers) of the feasible path of a word, backtraced from its end; positions off
-        the path are looked at only where a longer piece must be ruled out."""
-        if len(word) > 64:
-            pieces = self.trace(self.walk(word, 0, len(word), ""), 0, len(word))
-            return np.array(self.ids(pieces), np.int32).tobytes()
-        pieces = []
-        while word:
-            pieces.append(self.last[word])
-            word = word[:-len(pieces[-1])]
-        return np.array(self.ids(pieces[::-1]), np.int32).tobytes()
+    def _encode_distinct(self, words) -> dict[str, bytes]:
+        """Ids (32-bit integers) of each word.  In their order, a word shares
+        the paths of its prefixes with the word before it."""
+        out, last = {}, ""
+        ends: list[tuple | None] = [("", b"", self.behind.setdefault("", {}))]
+        for word in sorted(words):
+            n = len(word)
+            if n > 64:
+                pieces = self.trace(self.walk(word, 0, n, ""), 0, n)
+                out[word] = np.array(self.ids(pieces), np.int32).tobytes()
+                continue
+            k = 0
+            for a, b in zip(word, last):  # noqa: B905 (the shorter one ends it)
+                if a != b:
+                    break
+                k += 1
+            ends[k + 1:] = [None] * (n - k)
+            out[word], last = self._step(word, n, ends)[1], word
+        return out
 
     # -- whole texts ------------------------------------------------------
 
@@ -247,8 +276,20 @@ class Vocabulary:
 
     def encode_words(self, text: str) -> np.ndarray:
         """Ids of a normalised text that begins and ends at borders."""
-        known, words = self.encoded, self.words.findall(text)
-        return np.frombuffer(b"".join([known[w] if len(w) <= 64 else self._encode_word(w) for w in words]), np.int32)
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts) -> Iterator[np.ndarray]:
+        """The same for many texts; the distinct words of TOGETHER characters are encoded once."""
+        held, size = [], 0
+        for text in chain(texts, [None]):
+            if held and (text is None or size + len(text) > TOGETHER):
+                known = self._encode_distinct(set().union(*held))
+                for words in held:
+                    yield np.frombuffer(b"".join([known[w] for w in words]), np.int32)
+                held, size = [], 0
+            if text is not None:
+                held.append(self.words.findall(text))
+                size += len(text)
 
     def decode_raw(self, ids) -> str:
         """Pieces and bytes joined; word marks are left in."""
@@ -285,9 +326,7 @@ class Vocabulary:
 
     def _borders(self, text: str, start: int, end: int) -> tuple[int, int] | None:
         """First and last position in [start, end] that no piece crosses."""
-        inside = [p for p in range(start, min(start + 4096, end) + 1) if 0 < p < len(text) and self.hard(text[p - 1], text[p])]
-        first = inside[0] if inside else next(
-            (p for p in range(start, end + 1) if 0 < p < len(text) and self.hard(text[p - 1], text[p])), None)
+        first = next((p for p in range(start, end + 1) if 0 < p < len(text) and self.hard(text[p - 1], text[p])), None)
         if first is None:
             return None
         last = next(p for p in range(end, start - 1, -1) if 0 < p < len(text) and self.hard(text[p - 1], text[p]))
@@ -327,22 +366,28 @@ class Vocabulary:
                 matrix[s] = {x: enter[START] + v for x, v in leave.items()}
         return matrix
 
-    def backtrace(self, text: str, begin: int, end: int, enter: State, leave: State) -> tuple[list[int], bool]:
-        """Ids of the pieces that start in text[begin:end], and whether they
-        decode to the text they cover."""
+    def edges(self, text: str, begin: int, end: int, enter: State, leave: State) -> tuple[list[int], str, list[int], str]:
+        """The pieces that start in text[begin:end]: ids before the first border, the text up to the last
+        border, ids behind it; and the text that they cover."""
         at = begin + enter[1]
         last = text[begin - enter[0]:at] if enter != START else ""
         stop = end - leave[0]
         final = [text[stop:end + leave[1]]] if leave != START else []
         borders = self._borders(text, at + 1, stop - 1) if stop - at > 1 else None
+        covered = text[at:end + leave[1]]
         if borders is None:
-            ids = self.ids(self.trace(self.walk(text, at, stop, last), at, stop) + final)
-        else:
-            head, tail = borders
-            ids = self.ids(self.trace(self.walk(text, at, head, last), at, head))
-            ids += self.encode_words(text[head:tail]).tolist()
-            ids += self.ids(self.trace(self.walk(text, tail, stop, ""), tail, stop) + final)
-        return ids, self.decode_raw(ids) == text[at:end + leave[1]]
+            return self.ids(self.trace(self.walk(text, at, stop, last), at, stop) + final), "", [], covered
+        head, tail = borders
+        return (self.ids(self.trace(self.walk(text, at, head, last), at, head)), text[head:tail],
+                self.ids(self.trace(self.walk(text, tail, stop, ""), tail, stop) + final), covered)
+
+    def backtrace(self, chunks) -> Iterator[tuple[np.ndarray, bool]]:
+        """Of each chunk (text, begin, end and its two boundary states): ids of
+        the pieces that start in it, and whether they decode to the text they cover."""
+        parts = [self.edges(*c) for c in chunks]
+        for (head, _, tail, covered), middle in zip(parts, self.encode_all(p[1] for p in parts), strict=True):
+            ids = np.concatenate([np.array(head, np.int32), middle, np.array(tail, np.int32)])
+            yield ids, self.decode_raw(ids) == covered
 
 
 @lru_cache(maxsize=2)
@@ -409,9 +454,10 @@ def encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
     def whole(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         v = vocabulary(model)
         for batch in texts:
+            every = v.encode_all(v.normalise(t or "") for t in batch)
             for k in range(0, len(batch), ROWS):  # a few texts' ids at a time
                 part = batch.iloc[k:k + ROWS]
-                ids = [v.encode(t) for t in part]
+                ids = list(islice(every, len(part)))
                 yield pd.DataFrame({"ids": ids, "n_tokens": [len(x) for x in ids],
                                     "round_trip": [v.decode(x) == (t or "") for x, t in zip(ids, part, strict=True)]})
 
@@ -461,8 +507,8 @@ def _encode_giants(rows: DataFrame, model: bytes, chunk: int) -> DataFrame:
     @F.pandas_udf("ids array<int>, same boolean")
     def trace(lead: pd.Series, body: pd.Series, text: pd.Series, enter: pd.Series, leave: pd.Series) -> pd.DataFrame:
         v = vocabulary(model)
-        rows = [v.backtrace(t, a, a + b, tuple(map(int, e)), tuple(map(int, x)))
-                for a, b, t, e, x in zip(lead, body, text, enter, leave, strict=True)]
+        rows = list(v.backtrace((t, a, a + b, tuple(map(int, e)), tuple(map(int, x)))
+                                for a, b, t, e, x in zip(lead, body, text, enter, leave, strict=True)))
         return pd.DataFrame({"ids": [r[0] for r in rows], "same": [r[1] for r in rows]})
 
     states = (chunks.select("row", "n", matrix("n", "last", "lead", "body", "text").alias("m"))

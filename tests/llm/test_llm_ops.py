@@ -656,6 +656,20 @@ def test_sentencepiece_compatible_pairs(vocabulary):
         assert vocabulary.compatible[a, b] == ([p[0] for p in vocabulary.merge(a + b)] == [a, b])
 
 
+def test_sentencepiece_texts_share_their_words(vocabulary, library, monkeypatch):
+    """Texts encoded together give what each gives alone; a word of all is looked at once."""
+    texts = hard_texts() + [prose(200, 2)]
+    want = [library.encode(t) for t in texts]
+    for together, memo in ((1, 1 << 18), (1000, 50), (1 << 24, 50)):
+        monkeypatch.setattr(sentencepiece_scan, "TOGETHER", together)
+        monkeypatch.setattr(sentencepiece_scan, "MEMO", memo)  # pairs are forgotten on the way
+        assert [x.tolist() for x in vocabulary.encode_all(map(vocabulary.normalise, texts))] == want
+    asked, step = [], vocabulary._step
+    monkeypatch.setattr(vocabulary, "_step", lambda word, p, ends: (asked.append(word[:p]), step(word, p, ends))[1])
+    assert len(list(vocabulary.encode_all([vocabulary.normalise("there in the there")] * 100))) == 100
+    assert len(asked) == len(set(asked)) and "▁there" in asked
+
+
 def test_sentencepiece_scan_awkward(spark, awkward, nothing, library):
     with open(VOCAB, "rb") as f:
         model = f.read()
