@@ -477,6 +477,35 @@ def test_compact_windows_keeps_every_pair(monkeypatch):
         assert set(zip(*(x.tolist() for x in compact_windows._links(sig, sketch, ids)))) == want
 
 
+def test_compact_windows_exchanges_little(spark, monkeypatch):
+    """Many shards find what one finds; a shard asks for no text of its own, and is sent text, once."""
+    base = [prose(120, 40 + k).split() for k in range(3)]
+    rows = [(k, " ".join(w if (k + n) % 61 else f"x{k}" for n, w in enumerate(base[k % 3]))) for k in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    want = sorted(compact_windows.near_duplicate_passages(docs).collect())
+    assert sum(len(x.source_ids) for x in want) > 0
+    monkeypatch.setattr(compact_windows, "SHARD_BYTES", 1500)
+    assert sorted(compact_windows.near_duplicate_passages(docs).collect()) == want
+    span = compact_windows.WORDS - compact_windows.SHINGLE + 1
+    shards = compact_windows.pack(docs, "doc_id", "text", 1500)
+    runs = compact_windows.shared_runs(shards, compact_windows.shared_signatures(shards, 4, span), 4, span).cache()
+    for r in runs.where("bucket = -1").collect():
+        n = len(r.starts) // 4
+        assert len(r.starts) + len(r.sketches) + len(r.members) <= 9 * n + 1 and r.ids is None
+    asked = compact_windows.ask(compact_windows.link(runs)).cache()
+    assert asked.count() > 0 and asked.where("owner = shard").count() == 0
+    whole = sum(len(t) for _, t in rows)
+    sent = compact_windows.give(shards, asked, span).collect()
+    assert sent and all(len(r.text) <= whole // shards.count() * 2 for r in sent)
+    runs.unpersist()
+    asked.unpersist()
+
+
+def test_compact_windows_numbers_travel_as_planes():
+    for x in (np.zeros(0, np.int64), np.array([0, 1, 255, 256, 70000, 1 << 31])):
+        assert compact_windows._numbers(compact_windows._planes(x)).tolist() == x.tolist()
+
+
 def test_compact_windows_verifies_every_start():
     """All starts of a chain are tested, repeated shingles and shifted texts too."""
     r, span = random.Random(21), 20
