@@ -501,6 +501,18 @@ def test_compact_windows_exchanges_little(spark, monkeypatch):
     asked.unpersist()
 
 
+def test_compact_windows_copies_are_not_searched(monkeypatch):
+    """A copy, and one with a word changed, are known along the given shift alone."""
+    x = np.random.default_rng(5).integers(0, 1 << 40, 200).astype(np.uint64)
+    y = x.copy()
+    y[80:85] += np.uint64(1)  # the shingles of a word
+    monkeypatch.setattr(compact_windows, "ranges", None)  # used by the search only
+    for part in (x, y):
+        for shift in (0, 10):
+            got = compact_windows._verify(x, 20, 120, part[20 - shift:], shift - 20, 46, 0.8)
+            assert got.tolist() == list(range(20, 120))
+
+
 def test_compact_windows_numbers_travel_as_planes():
     for x in (np.zeros(0, np.int64), np.array([0, 1, 255, 256, 70000, 1 << 31])):
         assert compact_windows._numbers(compact_windows._planes(x)).tolist() == x.tolist()
