@@ -811,3 +811,51 @@ def test_slots_keep_columns_with_helper_names(spark):
     for s in range(3):
         mine = sorted(r["slot"] for r in got if r["shard"] == s)
         assert mine == list(range(len(mine)))
+
+
+def test_snippets_are_merged_in_turns_that_leave_no_shuffle_files(spark):
+    """Peak disk: a turn's snippets are shuffled, and no turn's files are there when the next one begins."""
+    from bazaar.llm import common
+
+    line = "the same fifty bytes stand in every one of these texts, again and again, "
+    docs = spark.createDataFrame([(i, f"{i} " + line * 3 + f"{i % 5} own words") for i in range(40)], "doc_id long, text string")
+    asked = []
+
+    def noted(df, name, by=()):
+        asked.append((name, by))
+        assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+        return common.stored(df, name, by)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(suffix_dedup, "stored", noted)
+        got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(docs, with_text=False).collect()}
+    assert [n for n, _ in asked] == ["anchors", "snippets"] + ["answers"] * suffix_dedup.TURNS
+    assert ("snippets", ("turn",)) in asked
+    texts = {r.doc_id: r.text.encode() for r in docs.collect()}
+    for i, t in texts.items():
+        before = {texts[j][k:k + 50] for j in range(i) for k in range(len(texts[j]) - 49)}
+        gone = {p for k in range(len(t) - 49) if t[k:k + 50] in before for p in range(k, k + 50)}
+        assert got[i] == len(gone)
+
+
+def test_stored_tables_free_their_shuffle_files(spark):
+    import time
+
+    from bazaar.llm.common import stored
+
+    def files():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {f for f in disk.getAllFiles().mkString(",").split(",") if "/shuffle_" in f}
+
+    df = spark.range(0, 20_000, 1, 4).selectExpr("id % 777 AS k").groupBy("k").count()
+    before = files()
+    df.collect()
+    kept = files() - before
+    assert kept  # a query of a session that doesn't ask for it leaves them
+    before |= kept
+    out = stored(df, "freed")
+    until = time.time() + 20  # they go in the background
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert out.count() == 777
