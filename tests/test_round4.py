@@ -91,3 +91,20 @@ def test_backfill_with_a_watermark_is_one_batch(spark, tables, monkeypatch):
     path = scratch_path(spark, "none")
     with pytest.raises(ValueError, match="one micro-batch"):
         jobs.silver_job(spark, "order_items", path, path + "-out", path + "-ckpt", watermark="1 day", batch_bytes=1)
+
+
+def test_undated_records_are_joined_with_state_on_disk(spark, tables, unset, monkeypatch):
+    seen = []
+    run = stream_runs._run
+
+    def noted(q):
+        run(q)
+        state = [s for p in q.recentProgress for s in p["stateOperators"]]
+        seen.append((q.name, any("rocksdb" in k for s in state for k in s["customMetrics"])))
+
+    monkeypatch.setattr(stream_runs, "_run", noted)
+    got = stream_runs.stream_reference(spark, tables, "order_items")
+    assert ("survivors_order_items", True) in seen and spark.conf.get(PROVIDER, None) is None
+    undated = got.where(F.col("event_timestamp").isNull()).select("order_id").distinct().collect()
+    assert sorted(r[0] for r in undated) == [0, 50]
+    assert got.select("order_id").distinct().count() == 60
