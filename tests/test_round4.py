@@ -108,3 +108,16 @@ def test_undated_records_are_joined_with_state_on_disk(spark, tables, unset, mon
     undated = got.where(F.col("event_timestamp").isNull()).select("order_id").distinct().collect()
     assert sorted(r[0] for r in undated) == [0, 50]
     assert got.select("order_id").distinct().count() == 60
+
+
+def test_replay_log_sorts_steps_that_are_written_one_by_one(spark, tables):
+    from bazaar.operators import journey as J
+    from bazaar.registry import QUERIES
+
+    got = QUERIES["replay_log"](spark, tables)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan  # done, and its shuffle files gone, before the sort
+    whole = J.replay_log(J.order_journey(M.all_silver(spark, tables, [n for n, _, _ in J.STEPS], keep=J.USES)), seed=42)
+    rows = got.collect()
+    assert got.columns == whole.columns and len(rows) > 300
+    assert rows == whole.collect()
