@@ -121,3 +121,20 @@ def test_replay_log_sorts_steps_that_are_written_one_by_one(spark, tables):
     rows = got.collect()
     assert got.columns == whole.columns and len(rows) > 300
     assert rows == whole.collect()
+
+
+def test_factor_blocks_grow_in_number_with_the_ratings(spark, tables, monkeypatch):
+    from bazaar.plans import recommend as RC
+
+    pairs = RC.implicit_purchases(spark, tables)
+    n = pairs.count()
+    assert RC.blocks_of(pairs) == RC.LEAST_BLOCKS == RC.blocks_of(pairs.limit(0))
+    monkeypatch.setattr(RC, "RATINGS_PER_BLOCK", 9)
+    assert RC.blocks_of(pairs) == -(-n // 9) > RC.LEAST_BLOCKS
+    used = []
+    als = RC._als
+    monkeypatch.setattr(RC, "_als", lambda *a, **kw: used.append(als(*a, **kw)) or used[-1])
+    scored = RC.score(RC.train(pairs, "purchases", True), pairs)
+    assert scored.count() == n and scored.where("prediction IS NULL OR isnan(prediction)").isEmpty()
+    assert used[0].getNumUserBlocks() == used[0].getNumItemBlocks() == -(-n // 9)
+    assert used[0].getCheckpointInterval() == RC.CHECKPOINT_EVERY
